@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,3 +92,8 @@ def reference(t: Tables) -> DataFrame:
 def in_double(df: DataFrame) -> DataFrame:
     """Decimal columns as double for comparison outside Spark."""
     return df.select(*[F.col(n).cast("double").alias(n) if k.startswith("decimal") else F.col(n) for n, k in df.dtypes])
+
+
+def site_union(frames: list[DataFrame]) -> DataFrame:
+    """Frames with site-specific columns as one wide frame (PRJ9)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
