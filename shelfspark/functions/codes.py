@@ -75,7 +75,7 @@ def query_values(url: Column) -> Column:
 
 def is_valid_url(url: Column, pattern: Column) -> Column:
     """Site url rule as a regular expression column."""
-    return F.lower(url).rlike(pattern)
+    return F.regexp_like(F.lower(url), pattern)
 
 
 def is_redirect(first_url: Column, final_url: Column) -> Column:

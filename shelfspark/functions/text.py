@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html.entities
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -36,10 +37,15 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """One foldable expression instead of a literal per entry."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
 def ascii_fold(text: Column) -> Column:
     """Accents and compatibility forms to ASCII; what has no ASCII form is dropped."""
     one, many = _ascii_folds()
-    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    table = _literal_map(many)
     without = F.translate(text, "".join(many), "")
     spelled = F.when(
         F.length(without) < F.length(text),
@@ -101,7 +107,7 @@ def _entities() -> dict[str, str]:
 
 def unescape(markup: Column) -> Column:
     """One pass over named and numeric entities; unknown ones stay."""
-    table = F.create_map(*[F.lit(x) for pair in _entities().items() for x in pair])
+    table = _literal_map(_entities())
 
     def char(code: Column) -> Column:
         return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
