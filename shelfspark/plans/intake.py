@@ -99,16 +99,19 @@ def results_of(lineitem):
     return lineitem.groupBy(F.col("l_orderkey").alias("msg_id")).agg(top.alias("_top")).select("msg_id", F.when(F.col("_top") > 3, key).alias("bucket_key"))
 
 
-def _result_messages(t):
+def result_messages_of(t):
     spiders = t.region.where("r_regionkey < 3").select(F.when(F.col("r_regionkey") == 2, "shop_products").otherwise(
         F.concat(F.lit("shop"), F.col("r_regionkey").cast("string"), F.lit("_products"))).alias("spider"))
     now = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
     return messages.result_messages(_tasks(t), results_of(t.lineitem), spiders, "results", now)
 
 
+ORACLE_SNK2_FILES = f"""WITH {_RESULTS_SQL} SELECT queue, count(*) AS n, count(*) FILTER (WHERE dialect = 'sc' AND okey IS NOT NULL) AS successes FROM j GROUP BY 1"""
+
+
 @query("jn18_task_results", f"WITH {_RESULTS_SQL} SELECT msg_id, queue, okey IS NOT NULL AS delivered FROM j")
 def _(t):
-    return _result_messages(t).select("msg_id", "queue", "delivered")
+    return result_messages_of(t).select("msg_id", "queue", "delivered")
 
 
 @query("snk2_result_message_rows", f"""WITH {_RESULTS_SQL} SELECT msg_id, CAST(CASE
@@ -117,7 +120,7 @@ def _(t):
   WHEN okey IS NOT NULL THEN json_object('url', url, 'date', '2024-01-01 12:00:00', 'status', 'failure', 's3_filepath', okey, 'bucket_name', 'results', 'failure_type', 'Response too large')
   ELSE json_object('url', url, 'date', '2024-01-01 12:00:00', 'status', 'failure') END AS VARCHAR) AS value FROM j""")
 def _(t):
-    return _result_messages(t).select("msg_id", "value")
+    return result_messages_of(t).select("msg_id", "value")
 
 
 # ---- fragments ------------------------------------------------------------
