@@ -99,13 +99,20 @@ def results_of(lineitem):
     return lineitem.groupBy(F.col("l_orderkey").alias("msg_id")).agg(top.alias("_top")).select("msg_id", F.when(F.col("_top") > 3, key).alias("bucket_key"))
 
 
-def result_messages_of(t):
-    spiders = t.region.where("r_regionkey < 3").select(F.when(F.col("r_regionkey") == 2, "shop_products").otherwise(
+def known_spiders(t):
+    return t.region.where("r_regionkey < 3").select(F.when(F.col("r_regionkey") == 2, "shop_products").otherwise(
         F.concat(F.lit("shop"), F.col("r_regionkey").cast("string"), F.lit("_products"))).alias("spider"))
+
+
+def result_messages_of(t):
     now = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
-    return messages.result_messages(_tasks(t), results_of(t.lineitem), spiders, "results", now)
+    return messages.result_messages(_tasks(t), results_of(t.lineitem), known_spiders(t), "results", now)
 
 
+ORACLE_INTAKE = f"""WITH {_TASKS_SQL} SELECT msg_id, CASE WHEN spider IN ('shop_products', 'shop0_products', 'shop1_products') THEN
+  CASE WHEN shelf_url IS NOT NULL THEN 'shelf' WHEN search_term IS NOT NULL THEN 'search' ELSE 'url' END END AS task_type,
+  CASE WHEN spider NOT IN ('shop_products', 'shop0_products', 'shop1_products') THEN 'unknown_spider' END AS reason FROM tasks
+  UNION ALL SELECT msg_id, NULL, reject_reason FROM r WHERE reject_reason IS NOT NULL"""
 ORACLE_SNK2_FILES = f"""WITH {_RESULTS_SQL} SELECT queue, count(*) AS n, count(*) FILTER (WHERE dialect = 'sc' AND okey IS NOT NULL) AS successes FROM j GROUP BY 1"""
 
 
