@@ -79,6 +79,12 @@ def chunked_lists(df: DataFrame, keys: list[str], order: list[str], value: str,
     return placed.groupBy(*keys, "chunk").agg(F.transform(pairs, lambda p: p["_v"]).alias(out))
 
 
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on expensive columns that is not pushed below them, where they would be computed twice."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.array_compact(F.array(F.when(condition, row)))))
+
+
 def fallback(primary: DataFrame, secondary: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``primary`` where a key has any, else those of ``secondary``."""
     return primary.unionByName(secondary.join(primary.select(*keys).distinct(), keys, "left_anti"))

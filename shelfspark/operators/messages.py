@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.select import truthy
+from shelfspark.operators.groups import where_once
 
 # Message conventions.
 SPIDER_SUFFIX = "_products"
@@ -151,7 +152,8 @@ def checked(messages: DataFrame, dialects: dict[str, Dialect] = DIALECTS) -> Dat
 
 def split_valid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) frames of checked messages."""
-    return messages.where("reject_reason IS NULL"), messages.where("reject_reason IS NOT NULL")
+    bad = F.col("reject_reason").isNotNull()
+    return where_once(messages, ~bad), messages.where(bad)
 
 
 def tasks(valid: DataFrame, dialects: dict[str, Dialect] = DIALECTS) -> DataFrame:

@@ -144,12 +144,18 @@ def extract_fields(pages: DataFrame, candidates: list[Candidate]) -> DataFrame:
 SiteHook = Callable[[DataFrame], DataFrame]
 
 
-def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook]) -> DataFrame:
-    """Run each site's own DataFrame function on its pages and union the results (UDF3)."""
-    rows = pages.withColumn("site", codes.domain(F.col("url")))
+def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook], store: str) -> DataFrame:
+    """Run each site's own DataFrame function on its pages and union the results (UDF3).
+
+    The pages of these sites are written once under ``store``, by site, so that each hook
+    reads its own partition instead of the whole corpus.
+    """
+    rows = pages.withColumn("site", codes.domain(F.col("url"))).where(F.col("site").isin(*hooks))
+    rows.write.partitionBy("site").mode("overwrite").parquet(store)
+    stored = pages.sparkSession.read.schema(rows.schema).parquet(store)
     out = None
     for name, hook in hooks.items():
-        part = hook(rows.where(F.col("site") == name))
+        part = hook(stored.where(F.col("site") == name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

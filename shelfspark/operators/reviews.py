@@ -6,13 +6,14 @@ Reviews: product_id, rating, review_date, pos. Histogram rows: product_id, star,
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.dates import any_date
 from shelfspark.functions.select import truthy
-from shelfspark.operators.groups import first_by
+from shelfspark.operators.groups import first_by, where_once
 
 STARS = (1, 2, 3, 4, 5)
 KEY = ["product_id"]
@@ -99,59 +100,73 @@ _ROLL = "struct<rating_histogram:array<bigint>,review_count:bigint,average_ratin
 _HISTOGRAM = f"results array<struct<rollup:{_ROLL},metrics:{_ROLL}>>"
 
 
-def _unified(df: DataFrame, stars: list[Column], count: Column, average: Column, last: Column) -> DataFrame:
+def _unified(stars: list[Column], count: Column, average: Column, last: Column, readable: Column) -> Column:
+    """One histogram struct; null when the payload holds no reviews."""
     filled = [F.coalesce(c, F.lit(0)).cast("bigint") for c in stars]
-    return df.select(
-        "product_id", *[c.alias(f"star_{s}") for s, c in zip(STARS, filled)],
+    return F.when(readable, F.struct(
+        *[c.alias(f"star_{s}") for s, c in zip(STARS, filled)],
         F.coalesce(truthy(count, "number"), sum(filled[1:], filled[0])).alias("review_count"),
-        truthy(average, "number").alias("average"), last.alias("last_review_date"))
+        truthy(average, "number").alias("average"), last.alias("last_review_date")))
 
 
-def from_distribution(feed: DataFrame) -> DataFrame:
-    """Layout with a list of (rating, count) pairs; products without results drop out."""
-    rows = feed.withColumn("_r", F.from_json("payload", _DISTRIBUTION))
-    rows = rows.withColumn("_s", F.get(F.col("_r.BatchedResults.q0.Results"), F.lit(0))["ReviewStatistics"]).where("_s IS NOT NULL")
-    pairs = F.col("_s.RatingDistribution")
+def _read_distribution(stats: Column) -> Column:
+    pairs = stats["RatingDistribution"]
 
     def votes_of(star: int) -> Column:
         # The last pair of a star counts, as in a keyed assignment.
         return F.try_element_at(F.filter(pairs, lambda p: p["RatingValue"] == star), F.lit(-1))["Count"]
 
-    votes = [votes_of(s) for s in STARS]
-    last = any_date(F.substring("_s.LastSubmissionTime", 1, 10), "yyyy-MM-dd")
-    return _unified(rows, votes, F.col("_s.TotalReviewCount"), F.col("_s.AverageOverallRating"), last)
+    last = any_date(F.substring(stats["LastSubmissionTime"], 1, 10), "yyyy-MM-dd")
+    return _unified([votes_of(s) for s in STARS], stats["TotalReviewCount"], stats["AverageOverallRating"], last, stats.isNotNull())
 
 
-def from_histogram(feed: DataFrame, descending: bool = False) -> DataFrame:
-    """Layout with a star histogram and metrics; the rollup stands in for missing metrics."""
-    rows = feed.withColumn("_r", F.get(F.from_json("payload", _HISTOGRAM)["results"], F.lit(0))).where("_r IS NOT NULL")
-    bars = F.col("_r.rollup.rating_histogram")
+def _read_histogram(first: Column, descending: bool = False) -> Column:
+    bars = first["rollup"]["rating_histogram"]
     votes = [F.get(bars, F.lit(5 - s if descending else s - 1)) for s in STARS]
-    metrics = F.coalesce("_r.metrics", "_r.rollup")
-    return _unified(rows, votes, metrics["review_count"], metrics["average_rating"], F.lit(None).cast("date"))
+    # The rollup stands in for missing metrics.
+    metrics = F.coalesce(first["metrics"], first["rollup"])
+    return _unified(votes, metrics["review_count"], metrics["average_rating"], F.lit(None).cast("date"), first.isNotNull())
 
 
-def from_cells(feed: DataFrame) -> DataFrame:
-    """Layout with one markup cell per star; needs both count and average."""
-    cell = lambda pattern: F.regexp_extract("payload", pattern, 1)
+def _read_cells(payload: Column) -> Column:
+    cell = lambda pattern: F.regexp_extract(payload, pattern, 1)
     votes = [cell(rf'<div id="TTreviewSummaryBreakdown-{s}"[^>]*>\s*(\d+)').try_cast("bigint") for s in STARS]
     count = F.replace(cell(r'<div class="TTreviewCount"[^>]*>[^<\d]*([\d,]+)'), F.lit(","), F.lit("")).try_cast("bigint")
     average = cell(r'<span id="TTreviewSummaryAverageRating"[^>]*>.*?(\d\.\d)').try_cast("double")
-    rows = feed.where((count != 0) & average.isNotNull())
-    return _unified(rows, votes, count, average, F.lit(None).cast("date"))
+    # Both count and average must be shown.
+    return _unified(votes, count, average, F.lit(None).cast("date"), (count != 0) & average.isNotNull())
 
 
-VENDOR_LAYOUTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "distribution": from_distribution,
-    "histogram": from_histogram,
-    "cells": from_cells,
+@dataclass(frozen=True)
+class Layout:
+    """``parse`` runs once per payload; ``read`` makes the histogram struct from its result."""
+
+    parse: Callable[[Column], Column]
+    read: Callable[[Column], Column]
+
+
+def _parse_histogram(payload: Column) -> Column:
+    return F.get(F.from_json(payload, _HISTOGRAM)["results"], F.lit(0))
+
+
+VENDOR_LAYOUTS: dict[str, Layout] = {
+    # A list of (rating, count) pairs.
+    "distribution": Layout(
+        lambda payload: F.get(F.from_json(payload, _DISTRIBUTION)["BatchedResults"]["q0"]["Results"], F.lit(0))["ReviewStatistics"], _read_distribution),
+    # Votes by star, worst star first, with metrics; and the same with the best star first.
+    "histogram": Layout(_parse_histogram, _read_histogram),
+    "histogram_descending": Layout(_parse_histogram, lambda first: _read_histogram(first, descending=True)),
+    # One markup cell per star.
+    "cells": Layout(lambda payload: payload, _read_cells),
 }
 
 
-def unified_feed(feed: DataFrame) -> DataFrame:
-    """All vendor layouts as one histogram table (AGG5). ``feed``: product_id, vendor, payload."""
-    parts = [read(feed.where(F.col("vendor") == name)) for name, read in VENDOR_LAYOUTS.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def unified_feed(feed: DataFrame, layouts: dict[str, Layout] = VENDOR_LAYOUTS) -> DataFrame:
+    """All vendor layouts as one histogram table in one scan (AGG5). ``feed``: product_id, vendor, payload."""
+    mine = lambda name: F.col("vendor") == name
+    parsed = feed.select("product_id", "vendor", *[F.when(mine(n), x.parse(F.col("payload"))).alias(f"_{n}") for n, x in layouts.items()])
+    read = F.when(F.lit(False), None)
+    for name, layout in layouts.items():
+        read = read.when(mine(name), layout.read(F.col(f"_{name}")))
+    rows = parsed.select("product_id", read.alias("_r"))
+    return where_once(rows, F.col("_r").isNotNull()).select("product_id", "_r.*")

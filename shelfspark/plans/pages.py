@@ -8,6 +8,7 @@ from shelfspark.functions import codes
 from shelfspark.functions.text import between
 from shelfspark.operators import pages as op
 from shelfspark.plans.registry import query
+from shelfspark.session import work_path
 
 _UN = ("replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
 _DOMAIN = "replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', '')"
@@ -111,7 +112,7 @@ def _(t):
         "casino-win.example.org": lambda df: df.select("page_id", "site", F.length("html").alias("size")),
         "spam-farm.example.org": lambda df: df.select("page_id", "site", codes.without_query(F.col("url")).alias("bare")),
     }
-    return op.apply_site_hooks(t.pages, hooks)
+    return op.apply_site_hooks(t.pages, hooks, work_path(t.spark, "sites"))
 
 
 @query("pag6_listing_links", """WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS a FROM pages)

@@ -102,14 +102,15 @@ def _vendor_feed(t):
         F.lit(4.5).alias("AverageOverallRating"),
         F.concat(F.date_format("last", "yyyy-MM-dd"), F.lit("T10:00:00.000+00:00")).alias("LastSubmissionTime"))
     distribution = F.to_json(F.struct(F.struct(F.struct(F.array(F.struct(stats.alias("ReviewStatistics"))).alias("Results")).alias("q0")).alias("BatchedResults")))
-    roll = F.struct(F.array(*stars).alias("rating_histogram"), (total + 1).alias("review_count"), F.lit(3.5).alias("average_rating"))
+    bars = F.when(k % 4 == 3, F.array(*reversed(stars))).otherwise(F.array(*stars))
+    roll = F.struct(bars.alias("rating_histogram"), (total + 1).alias("review_count"), F.lit(3.5).alias("average_rating"))
     metrics = F.when(k % 2 == 0, F.struct(F.lit(None).cast("array<bigint>").alias("rating_histogram"), F.lit(0).cast("bigint").alias("review_count"),
                                           F.lit(2.5).alias("average_rating")))
     histogram = F.to_json(F.struct(F.array(F.struct(roll.alias("rollup"), metrics.alias("metrics"))).alias("results")))
     cells = F.concat(
         F.lit('<div class="TTreviewCount">'), F.format_number(total, 0), F.lit(' Reviews</div><span id="TTreviewSummaryAverageRating">4.1 of 5</span>'),
         *[F.concat(F.lit(f'<div id="TTreviewSummaryBreakdown-{s}">'), F.col(f"star_{s}").cast("string"), F.lit("</div>")) for s in op.STARS])
-    vendor = F.when(k % 3 == 0, "distribution").when(k % 3 == 1, "histogram").otherwise("cells")
+    vendor = F.when(k % 3 == 0, "distribution").when((k % 3 == 1) & (k % 4 == 3), "histogram_descending").when(k % 3 == 1, "histogram").otherwise("cells")
     payload = F.when(k % 3 == 0, distribution).when(k % 3 == 1, histogram).otherwise(cells)
     return base.select("product_id", vendor.alias("vendor"), payload.alias("payload"))
 

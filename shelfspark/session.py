@@ -35,6 +35,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 

@@ -16,13 +16,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 
-def settled_change(rows: pd.DataFrame) -> pd.Series:
-    """Requests minus usable answers per fingerprint; a failed answer to the initial request is not usable."""
-    asked = rows["kind"].eq("request").astype(int)
-    usable = (rows["kind"].eq("response") & (rows["ok"].eq(True) | rows["initial"].ne(True))).astype(int)
-    return (asked - usable).groupby(rows["fingerprint"]).sum()
-
-
 class FragmentMerge(StatefulProcessor):
     """State per guid: open requests by fingerprint, best (seq, value) by field, and two counts."""
 
@@ -41,11 +34,20 @@ class FragmentMerge(StatefulProcessor):
         changes: dict[str, int] = {}
         first: dict[str, tuple[int, str]] = {}
         new_requests = 0
+        columns = ["kind", "fingerprint", "initial", "ok", "seq", *self.fields]
         for batch in rows:
-            new_requests += int(batch["kind"].eq("request").sum())
-            for name, change in settled_change(batch).items():
-                changes[name] = changes.get(name, 0) + int(change)
-            self._first_values(batch, first)
+            # Most groups are a few rows, where plain lists beat frame operations.
+            for kind, name, initial, ok, seq, *values in zip(*(batch[c].tolist() for c in columns)):
+                if kind == "request":
+                    new_requests += 1
+                    changes[name] = changes.get(name, 0) + 1
+                elif ok or not initial:
+                    # A failed answer settles a request, except the initial one.
+                    changes[name] = changes.get(name, 0) - 1
+                if kind == "response" and ok:
+                    for field, value in zip(self.fields, values):
+                        if value is not None and (field not in first or seq < first[field][0]):
+                            first[field] = (int(seq), value)
         known = self.counts.exists()
         outstanding, requests = (int(n) for n in self.counts.get()) if known else (0, 0)
         requests += new_requests
@@ -82,16 +84,6 @@ class FragmentMerge(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _first_values(self, batch: pd.DataFrame, first: dict[str, tuple[int, str]]) -> None:
-        good = batch[batch["kind"].eq("response") & batch["ok"].eq(True)]
-        for name in self.fields:
-            present = good[good[name].notna()]
-            if present.empty:
-                continue
-            row = present.loc[present["seq"].idxmin()]
-            if name not in first or int(row["seq"]) < first[name][0]:
-                first[name] = (int(row["seq"]), row[name])
-
     def _drop_timers(self) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
