@@ -30,11 +30,15 @@ def read_brand_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_cells(line: Column) -> Column:
-    """Trimmed cells of one CSV line; quoted cells may hold commas and doubled quotes."""
-    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'\s*("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
-    bare = lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1),
-                            F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.transform(cells, lambda c: strip(bare(strip(c))))
+    """Trimmed cells of one CSV line; a cell that starts with a quote may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'("(?:[^"]|"")*"[^,]*|[^,]*),'), F.lit(1))
+    quoted = r'(?s)^"((?:[^"]|"")*)"(.*)$'
+
+    def bare(c: Column) -> Column:
+        inner = F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(c.rlike(quoted), F.concat(inner, F.regexp_extract(c, quoted, 2))).otherwise(c)
+
+    return F.transform(cells, lambda c: strip(bare(c)))
 
 
 def alias_table(lines: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def _aliases(t):
     path = work_path(t.spark, "brands")
     names = t.part.select("p_name").distinct()
     word, group = F.substring_index("p_name", " ", 1), F.substring_index("p_name", " ", -1)
-    line = F.concat(group, F.lit(" ,"), F.col("p_name"), F.lit(","), word, F.lit(', "the '), word, F.lit(", "), group, F.lit('", '))
+    line = F.concat(group, F.lit(" ,"), F.col("p_name"), F.lit(","), word, F.lit(',"the '), word, F.lit(", "), group, F.lit('", '))
     names.orderBy("p_name").select(line.alias("value")).write.text(path)
     return brands.alias_table(brands.read_brand_lines(t.spark, path))
 
