@@ -64,9 +64,9 @@ def _(t):
     return jobs.settled_log(t.spark, out)
 
 
-# One renewal every ten minutes or more often keeps a task; events of one user are its renewals.
+# Events of one user as renewals of one task, with a lease that fits their spacing.
 _GAP_S = 36000
-_SESSION_SQL = f"""r AS (SELECT user_id AS task_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < {_GAP_S}::BIGINT * 1000000 THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+_SESSION_SQL = f"""r AS (SELECT user_id AS task_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= {_GAP_S}::BIGINT * 1000000 THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, sum(opens) OVER (PARTITION BY task_id ORDER BY ts) AS n FROM r),
 h AS (SELECT task_id, n, min(ts) AS a, max(ts) + to_seconds({_GAP_S}) AS b, count(*) AS renewals FROM s GROUP BY 1, 2)"""
 

@@ -1,4 +1,4 @@
-"""Lease gaps (ST4): a silence as long as the lease means the task was delivered again."""
+"""Lease gaps (ST4): a silence longer than the lease means the task was delivered again."""
 
 from __future__ import annotations
 
