@@ -10,7 +10,7 @@ from shelfspark.functions.dates import stamp_text
 from shelfspark.functions.flags import job_outcome
 from shelfspark.functions.text import bullet_columns, term_in_title
 from shelfspark.operators.groups import chunked_lists
-from shelfspark.operators.pages import attribute
+from shelfspark.operators.pages import attribute, attribute_values
 from shelfspark.sources.schemas import conform
 
 LIST_CHUNK = 1000
@@ -49,7 +49,7 @@ def _page_attributes() -> Column:
         c("image_colors"), _size("image_urls").alias("image_count"), c("image_dimensions"), c("image_res"), _or_empty("image_urls").alias("image_urls"),
         c("meta.keywords").alias("keywords"), c("_loaded_in_seconds").alias("loaded_in_seconds"), c("price_lowest").alias("lowest_item_price"),
         c("meta.description").alias("meta_description"), F.coalesce(F.length("meta.description"), F.lit(0)).alias("meta_description_count"),
-        _size("meta.meta_tags").alias("meta_tags_count"), c("meta.meta_tags").alias("meta_tags"),
+        _size("meta.meta_tags").alias("meta_tags_count"), F.transform("meta.meta_tags", attribute_values).alias("meta_tags"),
         _size("pdf_urls").alias("pdf_count"), _or_empty("pdf_urls").alias("pdf_urls"),
         _or_zero("questions_total").alias("questions_total"), _or_zero("questions_unanswered").alias("questions_unanswered"),
         flag(c("_redirect")).alias("redirect"),
@@ -130,19 +130,19 @@ def export_records(items: DataFrame) -> DataFrame:
     match = term_in_title(c("search_term"), c("title"))
     own_id = F.coalesce(select.truthy(c("site_product_id"), "string"), c("reseller_id"))
     crawled = stamp_text(c("_date"))
-    return df.select(
-        "url", "title", "site", "ranking", "search_term", "total_matches", "results_per_page", "scraped_results_per_page", "is_single_result", "crawl_date",
-        "department", select.main_image(c("image_url"), c("image_urls")).alias("image_url"),
-        F.when(voted, c("buyer_reviews")).alias("buyer_reviews"), crawled.alias("crawled_at"),
-        F.struct(c("brand"), _or_empty("departments").alias("categories"), c("department").alias("category_name"), crawled.alias("date")).alias("classification"),
-        _page_attributes().alias("page_attributes"), "product_id", own_id.alias("site_product_id"), own_id.alias("reseller_id"),
-        _product_info().alias("product_info"),
-        prices.flat_price(c("price_amount"), c("price")).alias("price_amount"), prices.currency_or_default(c("price_currency")).alias("price_currency"),
-        prices.was_now(c("now_price"), c("was_price")).alias("was_now"), reviews.alias("reviews"), _sellers().alias("sellers"),
-        F.when(~c("shipping"), True).otherwise(c("_out_of_stock")).alias("is_out_of_stock"),
-        F.lit(2).alias("site_version"), c("_response_code").alias("status_code"), "walmart_no", status.alias("status"), failure.alias("failure_type"),
-        *[F.when(searched, v).alias(f"search_term_in_title_{n}") for n, v in match.items()],
-    )
+    computed = {
+        "image_url": select.main_image(c("image_url"), c("image_urls")), "buyer_reviews": F.when(voted, c("buyer_reviews")), "crawled_at": crawled,
+        "classification": F.struct(c("brand"), _or_empty("departments").alias("categories"), c("department").alias("category_name"), crawled.alias("date")),
+        "page_attributes": _page_attributes(), "site_product_id": own_id, "reseller_id": own_id, "product_info": _product_info(),
+        "price_amount": prices.flat_price(c("price_amount"), c("price")), "price_currency": prices.currency_or_default(c("price_currency")),
+        "was_now": prices.was_now(c("now_price"), c("was_price")), "reviews": reviews, "sellers": _sellers(),
+        "is_out_of_stock": F.when(~c("shipping"), True).otherwise(c("_out_of_stock")), "site_version": F.lit(2),
+        "status_code": c("_response_code"), "status": status, "failure_type": failure,
+        **{f"search_term_in_title_{n}": F.when(searched, v) for n, v in match.items()},
+    }
+    # All item fields stay on the top level, next to and below the computed ones.
+    flat = [n for n in df.columns if n not in computed and n != "_out_of_stock"]
+    return df.select(*flat, *[v.alias(n) for n, v in computed.items()])
 
 
 def without_nulls(record: Column) -> Column:

@@ -50,12 +50,11 @@ def meta_table(pages: DataFrame) -> DataFrame:
 
 def heading_rows(pages: DataFrame, levels: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Text nodes of headings with level and position (PAG2)."""
-    out = None
     blocks = lambda n: F.regexp_extract_all("html", F.lit(rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>"), F.lit(1))
     nodes = lambda n: F.filter(F.flatten(F.transform(blocks(n), lambda b: F.split(b, r"<[^>]*>"))), lambda s: s != "")
     found = F.array(*[F.struct(F.lit(n).alias("level"), nodes(n).alias("nodes")) for n in levels])
-    out = pages.select("page_id", F.inline(found))
-    return out.select("page_id", "level", F.posexplode("nodes").alias("pos", "raw")).select("page_id", "level", "pos", unescape(F.col("raw")).alias("text"))
+    rows = pages.select("page_id", F.inline(found))
+    return rows.select("page_id", "level", F.posexplode("nodes").alias("pos", "raw")).select("page_id", "level", "pos", unescape(F.col("raw")).alias("text"))
 
 
 def heading_arrays(pages: DataFrame) -> DataFrame:
@@ -65,13 +64,25 @@ def heading_arrays(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", nodes(1).alias("h1"), nodes(2).alias("h2"))
 
 
+_PAIR = rf"""\s([\w:-]+\s*=\s*{_QUOTED})"""
+
+
+def _pair_value(pair: Column) -> Column:
+    return unescape(F.regexp_replace(F.regexp_replace(pair, r"^[\w:-]+\s*=\s*", ""), r"""^["']|["']$""", ""))
+
+
+def attribute_values(tag: Column) -> Column:
+    """Values of all attributes of one tag, in order."""
+    return F.transform(F.regexp_extract_all(tag, F.lit(_PAIR), F.lit(1)), _pair_value)
+
+
 def meta_attributes(pages: DataFrame) -> DataFrame:
     """Every attribute of every meta tag in page order (PAG3)."""
     rows = pages.select("page_id", F.posexplode(tags(F.col("html"), "meta")).alias("tag_no", "tag"))
-    pairs = F.regexp_extract_all("tag", F.lit(rf"""\s([\w:-]+\s*=\s*{_QUOTED})"""), F.lit(1))
+    pairs = F.regexp_extract_all("tag", F.lit(_PAIR), F.lit(1))
     rows = rows.select("page_id", "tag_no", F.posexplode(pairs).alias("pos", "pair"))
-    value = F.regexp_replace(F.regexp_replace("pair", r"^[\w:-]+\s*=\s*", ""), r"""^["']|["']$""", "")
-    return rows.select("page_id", "tag_no", "pos", F.lower(F.regexp_extract("pair", r"^([\w:-]+)", 1)).alias("name"), unescape(value).alias("value"))
+    name = F.lower(F.regexp_extract("pair", r"^([\w:-]+)", 1))
+    return rows.select("page_id", "tag_no", "pos", name.alias("name"), _pair_value(F.col("pair")).alias("value"))
 
 
 def meta_model(pages: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def search_results(hits: DataFrame, quantities: DataFrame | None = None, quantit
     if quantities is None:
         return rows.where(F.col("ranking") <= quantity)
     wanted = quantities.select("term", F.col("quantity").alias("_q"))
-    rows = rows.join(wanted, "term", "left").withColumn("_q", F.coalesce("_q", F.lit(quantity)))
+    rows = rows.join(wanted, "term", "left").withColumn("_q", F.coalesce(F.nullif("_q", F.lit(0)), F.lit(quantity)))
     return rows.where(F.col("ranking") <= F.col("_q")).drop("_q")
 
 

@@ -64,5 +64,8 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def pinned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later plans read the stored rows, even after executor loss."""
-    shared_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()
