@@ -21,6 +21,7 @@ VND VUV WST XAF XAG XAU XBA XBB XBC XBD XCD XDR XFU XOF XPD XPF XPT XSU XTS XUA
 # Sale labels that mean a temporary price cut.
 SALE_LABELS = ("OnSale", "Clearance")
 
+# Fixed value: a number as shops print it.
 NUMBER = r"\d{1,3}[,\d{3}]*\.?\d*"
 
 

@@ -213,6 +213,7 @@ def contained_matches(titles: DataFrame, aliases: DataFrame) -> DataFrame:
     sets = titles.select(F.array_sort(F.array_distinct(tokens(F.col("title")))).alias("words")).where("size(words) > 0")
     sets = sets.select(F.array_join("words", " ").alias("title_key"), "words").distinct()
     known = aliases.select("alias", F.array_sort(F.array_distinct(tokens(F.col("alias")))).alias("alias_words")).where("size(alias_words) > 0")
+    known = longest(known, ["alias_words"])
     title_words = sets.select("title_key", "words", F.explode("words").alias("word"))
     alias_words = known.select("alias", "alias_words", F.explode("alias_words").alias("word"))
 

@@ -11,34 +11,28 @@ OUT = ("OUT_OF_STOCK", "RETIRED")
 INVALID = ("NON_TRANSACTABLE_STORE_ONLY", "DISPLAY_ONLY")
 
 
-def walk(offers, reference, include_oos):
-    """Plain walk over one product's offers in order, as the rule is told in words."""
-    stocked = lambda o: o["availability"] not in OUT
-    online = lambda o: "ONLINE" in (o["offer_type"] or "")
-    kept = []
-    for i, o in enumerate(offers):
-        if o["seller_id"] not in (None, HOUSE):
-            if not reference:
-                continue
-            if not stocked(o):
-                if not any(map(stocked, offers)) and online(o) and o["price"] == reference:
-                    kept.append(o["offer_id"])
-                    break
-                continue
-        if not stocked(o) and not include_oos and any(stocked(x) and online(x) for x in offers):
-            continue
-        if o["offer_type"] in INVALID:
-            if i or any(x["offer_type"] not in INVALID for x in offers):
-                continue
-        kept.append(o["offer_id"])
-    return kept
+def expected(offers, reference, include_oos):
+    """Ids a page shows, from sets over one product's ordered offers."""
+    places = range(len(offers))
+    stocked = {i for i in places if offers[i]["availability"] not in OUT}
+    online = {i for i in places if "ONLINE" in (offers[i]["offer_type"] or "")}
+    market = {i for i in places if offers[i]["seller_id"] not in (None, HOUSE)}
+    valid = {i for i in places if offers[i]["offer_type"] not in INVALID}
+    at_reference = {i for i in places if reference and offers[i]["price"] == reference}
+    # Sold-out marketplace offers show only as a last resort, and the first one ends the page.
+    last_resort = set() if stocked else market & online & at_reference
+    end = min(last_resort, default=len(offers))
+    own = valid if valid else {0}
+    listed = set(places) if include_oos or not stocked & online else stocked
+    ordinary = (listed & own) - (market - stocked if reference else market)
+    return [offers[i]["offer_id"] for i in places if i <= end and (i in ordinary or i == end)]
 
 
 def random_offers(seed, products=300):
     rnd = random.Random(seed)
-    out, references = [], {}
+    out, refs = [], {}
     for p in range(products):
-        references[p] = rnd.choice([None, 0, 10, 20])
+        refs[p] = rnd.choice([None, 0, 10, 20])
         sold_out = rnd.random() < 0.5
         for n in range(rnd.randint(1, 6)):
             out.append(dict(
@@ -47,36 +41,36 @@ def random_offers(seed, products=300):
                 availability=rnd.choice(OUT) if sold_out else rnd.choice([None, "IN_STOCK", *OUT]), price=rnd.choice([10, 20]),
                 was_price=rnd.choice([None, 0, 30]), list_price=rnd.choice([None, 40]), savings=None, shippable=rnd.choice([None, True, False]),
                 pickupable=rnd.choice([True, False]), pickup_method=None, rollback=False))
-    return out, references
+    return out, refs
 
 
-def frames(spark, rows, references):
+def frames(spark, rows, refs):
     from decimal import Decimal
 
     names = [f.split()[0] for f in SCHEMA.replace("decimal(12,2)", "decimal").split(", ")]
     money = {"price", "was_price", "list_price", "savings"}
     data = [tuple(Decimal(r[n]) if n in money and r[n] is not None else r[n] for n in names) for r in rows]
-    reference = spark.createDataFrame([(p, None if v is None else Decimal(v)) for p, v in references.items()], "product_id int, reference_price decimal(12,2)")
+    reference = spark.createDataFrame([(p, None if v is None else Decimal(v)) for p, v in refs.items()], "product_id int, reference_price decimal(12,2)")
     return spark.createDataFrame(data, SCHEMA).repartition(5), reference
 
 
-def test_eligible_offers_follow_the_walk(spark):
-    rows, references = random_offers(7)
-    offers, reference = frames(spark, rows, references)
+def test_eligible_offers_match_the_sets(spark):
+    rows, refs = random_offers(7)
+    offers, reference = frames(spark, rows, refs)
     for include in (False, True):
         got = {}
         for r in op.eligible_offers(offers, reference, HOUSE, include).orderBy("product_id", "ord").collect():
             got.setdefault(r.product_id, []).append(r.offer_id)
-        want = {p: walk([r for r in rows if r["product_id"] == p], references[p], include) for p in references}
+        want = {p: expected([r for r in rows if r["product_id"] == p], refs[p], include) for p in refs}
         assert got == {p: ids for p, ids in want.items() if ids}
 
 
 def test_marketplace_rows_fall_back_to_the_first(spark):
-    rows, references = random_offers(11)
-    offers, _ = frames(spark, rows, references)
+    rows, refs = random_offers(11)
+    offers, _ = frames(spark, rows, refs)
     got = {r.offer_id for r in op.marketplace_rows(offers).collect()}
     want = set()
-    for p in references:
+    for p in refs:
         mine = [r for r in rows if r["product_id"] == p]
         good = [r["offer_id"] for r in mine if (r["pickupable"] or r["shippable"]) and r["availability"] != "OUT_OF_STOCK"]
         want.update(good or [mine[0]["offer_id"]])
@@ -94,8 +88,8 @@ def test_product_without_offers(spark):
 
 
 def test_top_offer_uses_list_price_when_was_price_is_zero(spark):
-    rows, references = random_offers(3)
-    offers, _ = frames(spark, rows, references)
+    rows, refs = random_offers(3)
+    offers, _ = frames(spark, rows, refs)
     for r in op.top_offer(offers, HOUSE).collect():
         first = next(x for x in rows if x["product_id"] == r.product_id)
         assert r.seller_id == (first["seller_id"] if first["seller_id"] is not None else HOUSE)

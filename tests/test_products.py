@@ -1,6 +1,7 @@
 """Reviews, variants, ranking, pages and export on small frames."""
 
 import datetime as dt
+import itertools
 import json
 import random
 
@@ -104,20 +105,8 @@ def test_spec_map_last_wins_and_sku_removal_takes_one(spark):
     assert sorted(r.sku for r in variants.other_skus(skus, base).collect()) == ["s", "t"]
 
 
-def walk_pages(pages_, quantity):
-    """Ranks as a crawl gives them: the wanted number falls by whole pages, the slice by what is left."""
-    left, out = quantity, {}
-    for page in pages_:
-        for i, hit in enumerate(page[:left]):
-            out[hit] = quantity - left + 1 + i
-        left -= len(page)
-        if left <= 0:
-            break
-    return out
-
-
 @pytest.mark.parametrize("quantity", [1, 7, 100])
-def test_ranking_equals_the_walk(spark, quantity):
+def test_ranking_counts_through_pages_up_to_the_quantity(spark, quantity):
     rnd = random.Random(quantity)
     data, want = [], {}
     for term in "abc":
@@ -127,7 +116,7 @@ def test_ranking_equals_the_walk(spark, quantity):
             n += len(hits)
             listing.append(hits)
             data += [(term, page, pos * 3, h) for pos, h in enumerate(hits)]
-        want.update(walk_pages(listing, quantity))
+        want.update({hit: i for i, hit in enumerate(itertools.chain(*listing), 1) if i <= quantity})
     rows = ranking.search_results(spark.createDataFrame(data, "term string, page bigint, pos int, hit string").repartition(5), quantity=quantity)
     assert {r.hit: r.ranking for r in rows.collect()} == want
 

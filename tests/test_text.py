@@ -4,6 +4,7 @@ import re
 import unicodedata
 from urllib.parse import urljoin
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.functions import codes, dates, flags, prices, select, text
@@ -34,34 +35,38 @@ def test_between(spark):
     assert got == ["in", "", "", "z"]
 
 
-def reference_end(description, title):
-    """The split rule on plain strings."""
+def expected_end(description, title):
+    """Where the long part starts, from the places of all marks."""
     name = title.split(",")[0]
-    marks = [m + name for m in ("<b>", "<strong>")]
-    block = re.search(r'(?s)(<b>|<strong>)[^<]*(</b>|</strong>)[(<br>)\s":]*(</p>)?(<br>)*(<ul>|<li>)', description)
-    plain_name = any(m in description for m in marks)
-    ends = [description.find(m) for m in [*marks, "<h3>", '<section class="product-about']]
-    if not plain_name and not block:
-        ends += [description.find(m) for m in ("<dl>", "<ul>", "<li>")]
-    if not plain_name and block:
-        ends.append(block.start())
-    ends = [e for e in ends if e >= 0]
-    end = min(ends) if ends else None
-    part = description[:end]
-    while len(part) > 1000 and "<p>" in part:
-        end = part.rfind("<p>")
-        part = description[:end]
-    return end
-
-
-def test_description_split_matches_the_rule_in_words(spark):
+    places = lambda *marks: [m.start() for mark in marks for m in re.finditer(re.escape(mark), description)]
+    named = places("<b>" + name, "<strong>" + name)
+    block = [m.start() for m in re.finditer(r'(?s)(<b>|<strong>)[^<]*(</b>|</strong>)[(<br>)\s":]*(</p>)?(<br>)*(<ul>|<li>)', description)]
+    lists = [] if named or block else places("<dl>", "<ul>", "<li>")
+    end = min(places("<h3>", '<section class="product-about') + (named or block) + lists, default=None)
+    length = len(description) if end is None else end
+    paragraphs = [p for p in places("<p>") if p + 3 <= length]
+    if length <= 1000 or not paragraphs:
+        return end
+    return max([p for p in paragraphs if p <= 1000], default=paragraphs[0])
+
+
+def test_description_split_matches_the_marks(spark):
     rnd = random.Random(4)
     pieces = ["<p>", "</p>", "<b>Tool", "<b>Other</b><ul>", "<strong>Tool", "<h3>", "<dl>", "<li>", '<section class="product-about">', "word " * 60, "x" * 300, "<br>"]
     rows = [("".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 14))), "Tool, red") for _ in range(400)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, d string, t string")
     end = text.shortened_end(F.col("d"), text.split_point(F.col("d"), F.col("t")))
     got = [r.e for r in df.select("i", end.alias("e")).orderBy("i").collect()]
-    assert got == [reference_end(*r) for r in rows]
+    assert got == [expected_end(*r) for r in rows]
+
+
+@pytest.mark.parametrize("description, end", [
+    ("plain", None), ("a<ul>b", 1), ("a<b>Tool</b>b<ul>", 1), ("a<ul>b<b>Other</b><ul>", 6), ("a<h3>b<b>Tool", 1), ("x" * 900 + "<p>" + "y" * 50 + "<p>" + "z" * 200, 953),
+    ("x" * 1100 + "<p>" + "y" * 50 + "<p>z", 1100), ("x" * 1200, None), ("<p>" + "x" * 1100 + "<ul>", 0),
+])
+def test_description_split_cases(spark, description, end):
+    df = spark.createDataFrame([(description, "Tool, red")], "d string, t string")
+    assert df.select(text.shortened_end(F.col("d"), text.split_point(F.col("d"), F.col("t"))).alias("e")).first().e == end
 
 
 def test_description_choice(spark):
