@@ -46,9 +46,9 @@ def ascii_fold(text: Column) -> Column:
     """Accents and compatibility forms to ASCII; what has no ASCII form is dropped."""
     one, many = _ascii_folds()
     table = _literal_map(many)
-    without = F.translate(text, "".join(many), "")
+    foreign = F.regexp_replace(text, r"[\x00-\x7F]+", "")
     spelled = F.when(
-        F.length(without) < F.length(text),
+        F.length(F.translate(foreign, "".join(many), "")) < F.length(foreign),
         F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""),
     ).otherwise(text)
     return F.regexp_replace(F.translate(spelled, "".join(one), "".join(one.values())), r"[^\x00-\x7F]", "")

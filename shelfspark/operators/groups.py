@@ -33,7 +33,8 @@ def with_prefix(counts: DataFrame, keys: list[str], index: str, size: str, out:
     ``counts`` has one row per key and integer index. Windows run inside blocks of
     ``base`` indexes and over the blocks, so no task sorts a whole hot key.
     """
-    blocks = counts.withColumn("_block", F.floor(F.col(index) / base))
+    # A block that cannot be null spares null filters that would keep Spark from reusing the counts.
+    blocks = counts.withColumn("_block", F.coalesce(F.floor(F.col(index) / base), F.lit(0)))
     inner = Window.partitionBy(*keys, "_block").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

@@ -22,6 +22,7 @@ def page_counts(hits: DataFrame) -> DataFrame:
 
 def ranked_hits(hits: DataFrame) -> DataFrame:
     """Ranking across pages: hits on earlier pages plus the place on the own page (WIN1, WIN3)."""
+    hits = hits.where(F.col("term").isNotNull() & F.col("page").isNotNull())
     on_page = Window.partitionBy("term", "page").orderBy("pos")
     return (
         hits.withColumn("_at", F.row_number().over(on_page))
