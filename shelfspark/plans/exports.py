@@ -67,12 +67,12 @@ def _(t):
     c = F.col
     return r.select(
         "product_id", "title", c("classification.brand").alias("brand"), F.array_join("classification.categories", ">").alias("categories"), "crawled_at", "image_url",
-        c("page_attributes.image_count").alias("image_count"), c("product_info.title_len").alias("title_len"), c("product_info.bullet_feature_2").alias("bullet_feature_2"),
+        c("page_attributes.image_count").alias("image_count"), c("product_info.title_len").cast("bigint").alias("title_len"), c("product_info.bullet_feature_2").alias("bullet_feature_2"),
         c("product_info.bullet_feature_count").alias("bullet_feature_count"), c("product_info.shipping").alias("shipping"), c("product_info.no_longer_available").alias("no_longer_available"),
         "price_amount", c("reviews.average_review").alias("average_review"), c("reviews.review_count").alias("review_count"), c("reviews.min_review").alias("min_review"),
         c("reviews.max_review").alias("max_review"), c("sellers.price").alias("seller_price"), c("sellers.price_amount").alias("seller_price_amount"), c("sellers.in_stock").alias("in_stock"),
         c("sellers.marketplace").alias("marketplace"), c("sellers.marketplace_in_stock").alias("marketplace_in_stock"), c("sellers.marketplace_lowest_price").alias("marketplace_lowest_price"),
-        F.coalesce(F.size("sellers.marketplace_prices"), F.lit(-1)).alias("marketplace_rows"), c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
+        F.coalesce(F.size("sellers.marketplace_prices"), F.lit(-1)).cast("bigint").alias("marketplace_rows"), c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
         c("sellers.owned").alias("owned"), "is_out_of_stock", "status", "failure_type", c("search_term_in_title_exactly").alias("term_exactly"))
 
 
@@ -83,8 +83,8 @@ def _(t):
     return t.part.select("p_partkey", F.array_join(F.json_object_keys(export.without_nulls(record)), ",").alias("keys"))
 
 
-@query("prj4_summary_items", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, shipping, NULL AS shipping_speed, NULL AS wupc, CASE WHEN p_size % 5 <> 0 THEN p_brand END AS brand, price, NULL AS price_currency,
-  NULL AS temp_price_cut, NULL AS is_out_of_stock FROM items""")
+@query("prj4_summary_items", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, shipping, NULL::VARCHAR AS shipping_speed, NULL::VARCHAR AS wupc, CASE WHEN p_size % 5 <> 0 THEN p_brand END AS brand, price, NULL::VARCHAR AS price_currency,
+  NULL::BOOLEAN AS temp_price_cut, NULL::BOOLEAN AS is_out_of_stock FROM items""")
 def _(t):
     return export.summary_items(base_items(t))
 

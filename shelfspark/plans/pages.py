@@ -38,7 +38,7 @@ def _rich(t):
 
 @query("src5_page_scan", "SELECT page_id, url, length(html) AS n_chars FROM pages")
 def _(t):
-    return t.pages.select("page_id", "url", F.length("html").alias("n_chars"))
+    return t.pages.select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
 @query("pag1_meta_table", f"""WITH {_RICH_SQL} SELECT page_id, regexp_extract(html, '<meta charset="([^"]*)"', 1) AS charset,
@@ -109,7 +109,7 @@ def _(t):
 WHERE {_DOMAIN} IN ('casino-win.example.org', 'spam-farm.example.org')""")
 def _(t):
     hooks = {
-        "casino-win.example.org": lambda df: df.select("page_id", "site", F.length("html").alias("size")),
+        "casino-win.example.org": lambda df: df.select("page_id", "site", F.length("html").cast("bigint").alias("size")),
         "spam-farm.example.org": lambda df: df.select("page_id", "site", codes.without_query(F.col("url")).alias("bare")),
     }
     return op.apply_site_hooks(t.pages, hooks, work_path(t.spark, "sites"))
@@ -118,7 +118,7 @@ def _(t):
 @query("pag6_listing_links", """WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS a FROM pages)
 SELECT page_id, i - 1 AS pos, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || a[i] AS link FROM l, unnest(range(1, len(a) + 1)) AS r(i)""")
 def _(t):
-    return op.listing_links(t.pages)
+    return op.listing_links(t.pages).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("pag7_rich_content", """SELECT page_id, page_id % 4 = 3 AS wc_360, false AS wc_emc, false AS wc_pdf, false AS wc_prodtour, false AS wc_video,
@@ -202,4 +202,6 @@ def _(t):
         "title": F.col("browser_title"), "meta_description": F.col("description"), "image_alts": F.transform("image_urls", lambda u: F.col("browser_title")),
         "long_description": F.lit(None).cast("string"), "shelf_description": F.lit(None).cast("string")})
     out = op.completeness(df)
+    wide = ("feature_count", "ingredient_count", "meta_tags_count", "title_len", "description_len", "meta_description_count")
+    out = out.withColumns({n: F.col(n).cast("bigint") for n in wide})
     return out.withColumn("image_alt_text_len", F.array_join(F.transform("image_alt_text_len", lambda n: n.cast("string")), ","))

@@ -72,7 +72,7 @@ def _(t):
     return op.hit_flags(hits, featured).select("hit", "is_sponsored", "is_featured", "is_best_seller", "is_new")
 
 
-@query("fil13_direct_landings", """SELECT c_custkey AS term, true AS redirect, 1 AS total_matches FROM customer WHERE c_custkey % 4 <> 0
+@query("fil13_direct_landings", """SELECT c_custkey AS term, true AS redirect, 1::BIGINT AS total_matches FROM customer WHERE c_custkey % 4 <> 0
   AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderpriority LIKE '1%')""")
 def _(t):
     kind = F.when(F.col("c_custkey") % 4 == 0, "search?kw=").otherwise("pr/")

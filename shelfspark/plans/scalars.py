@@ -501,7 +501,9 @@ def _(t):
     f"string_split(text, chr(10))[{i}] AS bullet_feature_{i}" for i in range(1, 21)) + """,
     len(string_split(text, chr(10))) AS bullet_feature_count FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", *[c.alias(n) for n, c in text.bullet_columns(F.col("text")).items()])
+    columns = text.bullet_columns(F.col("text"))
+    columns["bullet_feature_count"] = columns["bullet_feature_count"].cast("bigint")
+    return t.documents.select("doc_id", *[c.alias(n) for n, c in columns.items()])
 
 
 @query("prj8_first_image", """

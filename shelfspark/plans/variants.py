@@ -240,7 +240,7 @@ def _(t):
 
 @query("win7_largest_assets", """WITH a AS (SELECT p_brand AS product_id, p_partkey // 4 AS image, p_size * 20 AS w, (51 - p_size) * 15 AS h, p_size % 6 = 0 AS bad, p_size % 5 = 0 AS zoom FROM part),
 r AS (SELECT *, row_number() OVER (PARTITION BY product_id, image ORDER BY bad, w DESC, h DESC) AS rn, max(zoom AND bad) OVER (PARTITION BY product_id, image) AS any_zoom FROM a)
-SELECT product_id, image, CASE WHEN bad THEN 0 ELSE w END AS width, CASE WHEN bad THEN 0 ELSE h END AS height, any_zoom::INTEGER AS zoom,
+SELECT product_id, image, (CASE WHEN bad THEN 0 ELSE w END)::BIGINT AS width, (CASE WHEN bad THEN 0 ELSE h END)::BIGINT AS height, any_zoom::INTEGER AS zoom,
   (NOT bad AND (w >= 500 OR h >= 500))::INTEGER AS large FROM r WHERE rn = 1""")
 def _(t):
     size = F.col("p_size")
