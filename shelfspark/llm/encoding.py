@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import sys
 from array import array
+from types import ModuleType
 
 import numpy as np
 
@@ -20,7 +22,7 @@ class WordEncoder:
     pieces and never keeps long ones: that bounds memory and changes no result. Any other tokenizer encodes texts whole.
     """
 
-    def __init__(self, path: str, limit: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, limit: int = 1_500_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -42,11 +44,9 @@ class WordEncoder:
         raw = [t.encode("utf-8", "replace") for t in texts]
         # Only strings of special tokens, which hold this mark, depend on the case of ASCII letters.
         pieces = [(t if b"<|" in t else t.translate(LOWER)).split() for t in raw]
-        new: set[bytes] = set()
-        for p in pieces:
-            new.update([w for w in p if w not in memo])
+        new = set().union(*pieces).difference(memo)
         self._learn(new)
-        out = [b"".join([memo[w] for w in p]) for p in pieces]
+        out = [b"".join(map(memo.__getitem__, p)) for p in pieces]
         for w in new:
             if len(w) > self.longest:
                 del memo[w]
@@ -60,7 +60,7 @@ class WordEncoder:
             text = w.decode("utf-8")
             stem = text[:-1] if text[-1] in ".," else text
             # One capital below U+0250 turns into a letter and a mark.
-            if stem.isalpha() and max(stem) < "\u0250" and "\u0130" not in stem:
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
                 words.add(stem)
                 if stem is not text:
                     ended.append(w)
@@ -92,6 +92,17 @@ class WordEncoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker: the tasks it runs one after another share the memo.
+
+    Functions reach workers by value, so their module's globals last for one task only; a module of the worker's own lasts.
+    """
+    kept = sys.modules.setdefault("shelfspark_worker", ModuleType("shelfspark_worker"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.encoder = path, WordEncoder(path)
+    return kept.encoder
+
+
 def word_end(path: str) -> str | None:
     """The end-of-word mark of a tokenizer that removes white space before it merges, as ``word_bpe_49k.json`` does."""
     with open(path, encoding="utf-8") as f:

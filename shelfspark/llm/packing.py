@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import id_type, map_rows, stored, texts_of
-from shelfspark.llm.encoding import WordEncoder
+from shelfspark.llm.encoding import worker_encoder
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int) -> DataFrame:
@@ -29,7 +29,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int) -> Dat
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows(batches):
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for b in batches:
             ids, piece, start, length, crc = [], [], [], [], []
             for doc_id, coded in zip(b["doc_id"], encoder.encode(b["text"]), strict=True):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import id_type, map_rows, texts_of
-from shelfspark.llm.encoding import WordEncoder
+from shelfspark.llm.encoding import worker_encoder
 
 
 def to_planes(ids: np.ndarray, unit: str) -> list[bytes]:
@@ -82,7 +82,7 @@ def write_planes(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows(batches):
-        encoder, part, chunk, held, size, ids = WordEncoder(tokenizer), 0, 0, [], 0, []
+        encoder, part, chunk, held, size, ids = worker_encoder(tokenizer), 0, 0, [], 0, []
 
         def row():
             all_ids = np.frombuffer(b"".join(held), dtype="<u4")
