@@ -12,9 +12,9 @@ least two of its differences there, hence at most ``H - 2`` in the others, so at
 leaves ``s`` segments to save: of its subsets that others share, each set drops the ``s`` with the longest lists. Lists of equal
 subsets are equally long, so both sets of a pair rank them alike and never drop more than ``s`` of the ``s + 1``.
 
-What meets in a list is checked exactly. First every set is checked with one set of each list. Then, for lists whose sets
-have not yet come together, the sets of smaller components are checked with all sets of the larger ones, in blocks. No list is
-ever expanded into its pairs.
+What meets in a list is checked exactly. First every set is checked with one set of each list, its centre. Then, for lists
+whose sets have not yet come together, the sets of smaller components are checked with those of larger ones, in blocks of
+sets that have the same smallest centre. No list is ever expanded into its pairs.
 
 Hashes have 64 bits: two different n-grams of a pair coincide with a chance below 1e-12, two of all sets of 3e10 documents with
 one of about 1e-9 a document.
@@ -34,9 +34,9 @@ from shelfspark.llm.encoding import LOWER
 from shelfspark.session import work_path
 
 #: Sets compared at a time in a block of a large component, and probes that share one copy of a block.
-BLOCK, PROBES = 256, 2048
+BLOCK, PROBES = 256, 512
 LEAD_ELEMENTS = 8
-MEMO = 400_000
+MEMO = 250_000
 #: A signature keeps its group and whether it is of the lead in the lowest bits.
 LOW_BITS = 9
 
@@ -156,7 +156,7 @@ def shingled(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                     sigs.append(None)
             yield {"doc_id": b["doc_id"], "n_shingles": n, "cls": cls, "sigs": sigs}
 
-    return map_rows(texts_of(docs), rows, f"doc_id {id_type(docs)}, n_shingles bigint, cls bigint, sigs array<bigint>", batch=500)
+    return map_rows(texts_of(docs), rows, f"doc_id {id_type(docs)}, n_shingles bigint, cls bigint, sigs array<bigint>", batch=250)
 
 
 def group_of(sig: Column) -> Column:
@@ -199,60 +199,91 @@ def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) ->
     return stored(map_rows(wanted, again, "cls bigint, tokens binary", batch=500), "sets")
 
 
+def linked_among(probe: np.ndarray, held: list[tuple], num: int, den: int) -> Iterator[tuple]:
+    """Those of ``held`` (class, tokens, ...) that link with the probe; many are looked up at once."""
+    fits = [h for h in held if min(len(h[1]), len(probe)) * den >= num * max(len(h[1]), len(probe))]
+    if len(fits) < 4:
+        yield from (h for h in fits if linked(probe, h[1], num, den))
+        return
+    sizes = np.array([len(h[1]) for h in fits])
+    tokens = np.concatenate([h[1] for h in fits])
+    at = np.minimum(np.searchsorted(probe, tokens), len(probe) - 1)
+    both = np.add.reduceat(probe[at] == tokens, np.cumsum(sizes) - sizes, dtype=np.int64)
+    yield from (fits[k] for k in np.flatnonzero(den * both >= num * (len(probe) + sizes - both)))
+
+
 def check(probes: DataFrame, targets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` between the probes and the targets of the same ``key, part`` (columns ``key, part, cls``).
+    """Links ``a, b`` of probes with the targets of the same ``key, part`` that have a larger ``rank``.
 
-    The targets of a key and part must be few; they are held while its probes pass by.
+    Both have columns ``key, part, cls, rank``. The targets of a key and part must be few; they are held while its probes
+    pass by.
     """
-    both = targets.select("key", "part", F.lit(0).alias("kind"), "cls").union(probes.select("key", "part", F.lit(1).alias("kind"), "cls"))
+    both = targets.select("key", "part", F.lit(0).alias("kind"), "cls", "rank").union(
+        probes.select("key", "part", F.lit(1).alias("kind"), "cls", "rank"))
     dealt = both.join(sets, "cls").repartition("key", "part").sortWithinPartitions("key", "part", "kind")
 
     def rows(batches: Iterator[dict]):
         at, held = None, []
         for b in batches:
             out_a, out_b = [], []
-            for key, part, kind, cls, data in zip(b["key"], b["part"], b["kind"], b["cls"], b["tokens"], strict=True):
-                tokens = np.frombuffer(data, dtype=np.uint64)
+            for key, part, kind, cls, rank, data in zip(*(b[c] for c in ("key", "part", "kind", "cls", "rank", "tokens")), strict=True):
+                tokens, rank = np.frombuffer(data, dtype=np.uint64), (rank["size"], rank["label"])
                 if (key, part) != at:
                     at, held = (key, part), []
                 if kind == 0:
-                    held.append((cls, tokens))
+                    held.append((cls, tokens, rank))
                 else:
-                    for other, its in held:
-                        if other != cls and linked(tokens, its, num, den):
-                            out_a.append(cls)
-                            out_b.append(other)
+                    for other, *_ in linked_among(tokens, [h for h in held if h[2] > rank], num, den):
+                        out_a.append(cls)
+                        out_b.append(other)
             yield {"a": out_a, "b": out_b}
 
     return stored(map_rows(dealt, rows, "a bigint, b bigint", batch=500).distinct(), "found")
 
 
+def rank_of(size: Column, label: Column) -> Column:
+    return F.struct(size.cast("bigint").alias("size"), label.cast("bigint").alias("label"))
+
+
 def star_links(entries: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Each class against the smallest one of each of its lists."""
     pairs = stored(entries.where("cls <> center").select(F.col("center").alias("key"), "cls").distinct(), "pairs")
     parts = pairs.groupBy("key").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))
-    targets = parts.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("key").alias("cls"))
-    probes = pairs.join(parts, "key").select("key", F.pmod(F.xxhash64("cls"), "parts").cast("int").alias("part"), "cls")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    targets = parts.select("key", each, F.col("key").alias("cls"), rank_of(F.lit(1), F.lit(0)).alias("rank"))
+    dealt = F.pmod(F.xxhash64("cls"), "parts").cast("int").alias("part")
+    probes = pairs.join(parts, "key").select("key", dealt, "cls", rank_of(F.lit(0), F.lit(0)).alias("rank"))
     return check(probes, targets, sets, num, den)
 
 
 def rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The classes of lists that hold several components, against all classes of the larger ones."""
-    named = sets.select("cls").distinct().join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = stored(named.select("cls", F.coalesce("label", "cls").alias("label")), "named")
+    """The classes of lists that hold several components, each against what it shares such lists with.
+
+    The home of a class is the smallest centre of its lists: the classes of one family have few homes. A class meets, block
+    by block, all classes of the homes it shares a list with, and is compared with those of larger components.
+    """
+    homes = entries.groupBy("cls").agg(F.min("center").alias("home"))
+    named = homes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    named = stored(named, "named")
     sizes = named.groupBy("label").agg(F.count("*").alias("size"))
     # In a list of two classes, each has met the other already.
     open_ = entries.where("n > 2").select("sig", "cls").join(named, "cls").join(sizes, "label")
-    mixed = open_.groupBy("sig").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select("sig")
-    open_ = stored(open_.join(mixed, "sig"), "open")
-    there = open_.select("sig", F.col("label").alias("key"), F.col("size").alias("key_size")).distinct()
-    larger = F.struct("key_size", "key") > F.struct("size", "label")
-    pairs = stored(open_.join(there, "sig").where(larger).select("cls", "key", "key_size").distinct(), "pairs")
-    blocks = F.ceil(F.col("key_size") / BLOCK).cast("int")
-    probes = pairs.select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("part"), "cls")
-    keys = pairs.select("key", blocks.alias("parts")).distinct()
-    members = named.withColumnRenamed("label", "key").join(keys, "key")
-    targets = members.select("key", F.pmod(F.xxhash64("cls"), "parts").cast("int").alias("part"), "cls")
+    open_ = stored(open_.select("sig", "cls", "home", rank_of(F.col("size"), F.col("label")).alias("rank")), "open")
+    largest = open_.groupBy("sig", "home").agg(F.max("rank").alias("top"))
+    pairs = open_.select("sig", "cls", "rank").join(largest, "sig").where(F.col("top") > F.col("rank"))
+    pairs = stored(pairs.select(F.col("home").alias("key"), "cls", "rank").distinct(), "pairs")
+    members = named.join(sizes, "label").select(F.col("home").alias("key"), "cls", rank_of(F.col("size"), F.col("label")).alias("rank"))
+    counts = pairs.groupBy("key").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("salts"))
+    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(counts, "key")
+
+    def spread(salt: Column, block: Column) -> Column:
+        return (salt * F.col("blocks") + block).cast("int").alias("part")
+
+    salts, blocks = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("salts", "blocks"))
+    probes = pairs.join(counts, "key").withColumn("_block", F.explode(blocks))
+    probes = probes.select("key", spread(F.pmod(F.xxhash64("cls"), "salts"), F.col("_block")), "cls", "rank")
+    targets = members.join(counts, "key").withColumn("_salt", F.explode(salts))
+    targets = targets.select("key", spread(F.col("_salt"), F.pmod(F.xxhash64("cls"), "blocks")), "cls", "rank")
     return check(probes, targets, sets, num, den)
 
 
