@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from shelfspark.llm import decontamination, jaccard_join, packing, queries, ranking_quality, secrets
-from shelfspark.llm.common import ready, stored
+from shelfspark.llm.common import ready, small_side, stored
 
 #: No SQL: a trained model, a compressor and a tokenizer take part. The tests hold it against a brute-force version.
 ORACLE_SQL = None
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is not among ``ids``; null is an id like others. The texts are not sorted."""
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct().hint("shuffle_hash")
+    """Rows of ``docs`` whose ``doc_id`` is not among ``ids``; null is an id like others."""
+    gone = small_side(stored(ids.select(F.col("doc_id").alias("_gone")).distinct(), "gone"))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return kept
     others = [c for c in kept.columns if c not in ("doc_id", "text")]
     row = F.struct("text", *[F.col(f"`{c}`") for c in others])
-    again = kept.join(repeated.hint("shuffle_hash"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("_row"))
+    again = kept.join(small_side(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("_row"))
     first = again.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in kept.columns])
     return without_ids(kept, repeated).unionByName(first)
 

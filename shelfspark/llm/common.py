@@ -38,6 +38,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A stored table of few columns as the lesser side of a join with texts: sent to all tasks if it has at most ``most``
+    rows, else hashed in shuffled parts; the texts are never sorted."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df.hint("shuffle_hash")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that ``work_path`` named, once all its readers are done."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

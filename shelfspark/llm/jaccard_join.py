@@ -14,7 +14,8 @@ subsets are equally long, so both sets of a pair rank them alike and never drop
 
 What meets in a list is checked exactly. First every set is checked with one set of each list, its centre. Then, for lists
 whose sets have not yet come together, the sets of smaller components are checked with those of larger ones, in blocks of
-sets that have the same smallest centre. No list is ever expanded into its pairs.
+sets that have the same smallest centre. No list is ever expanded into its pairs. Sketches of 256 counts, which bound the
+number of differences from below, come first; only the sets of pairs that they leave are made again and compared.
 
 Hashes have 64 bits: two different n-grams of a pair coincide with a chance below 1e-12, two of all sets of 3e10 documents with
 one of about 1e-9 a document.
@@ -28,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import discard, id_type, map_rows, stored, texts_of
+from shelfspark.llm.common import discard, id_type, map_rows, small_side, stored, texts_of
 from shelfspark.llm.components import components
 from shelfspark.llm.encoding import LOWER
 from shelfspark.session import work_path
@@ -36,6 +37,8 @@ from shelfspark.session import work_path
 #: Sets compared at a time in a block of a large component, and probes that share one copy of a block.
 BLOCK, PROBES = 256, 512
 LEAD_ELEMENTS = 8
+#: A group with H differences spares each set 1 + H / SPARED of its subsets: what sets without partners share by chance.
+SPARED = 8
 MEMO = 250_000
 #: A signature keeps its group and whether it is of the lead in the lowest bits.
 LOW_BITS = 9
@@ -93,7 +96,7 @@ class Bands:
         for top in (self.starts[1:] - 1).tolist():
             h = (top + top * den // num) * (den - num) // (den + num)
             self.differences.append(h)
-            self.spared.append(1 + h // 32)
+            self.spared.append(1 + h // SPARED)
         self.edges: dict[int, np.ndarray] = {}
 
     def band(self, size: int) -> int:
@@ -138,13 +141,19 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """How many elements fall on each of 256 residues, up to 255: the sum of differences of two such vectors is a lower
+    bound of the number of elements in which the sets differ."""
+    return np.minimum(np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
 def shingled(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, cls`` and, at the first row of a class in a task, its signatures."""
+    """Per row: ``doc_id, n_shingles, cls`` and, at the first row of a class in a task, its signatures and sketch."""
 
     def rows(batches):
         shingler, bands, seen = Shingler(size), Bands(num, den), set()
         for b in batches:
-            n, cls, sigs = [], [], []
+            n, cls, sigs, sketches = [], [], [], []
             for text in b["text"]:
                 tokens = shingler.tokens(text)
                 n.append(len(tokens))
@@ -152,11 +161,14 @@ def shingled(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 if len(tokens) and cls[-1] not in seen:
                     seen.add(cls[-1])
                     sigs.append(bands.signatures(tokens).view(np.int64))
+                    sketches.append(sketch_of(tokens))
                 else:
                     sigs.append(None)
-            yield {"doc_id": b["doc_id"], "n_shingles": n, "cls": cls, "sigs": sigs}
+                    sketches.append(None)
+            yield {"doc_id": b["doc_id"], "n_shingles": n, "cls": cls, "sigs": sigs, "sketch": sketches}
 
-    return map_rows(texts_of(docs), rows, f"doc_id {id_type(docs)}, n_shingles bigint, cls bigint, sigs array<bigint>", batch=250)
+    schema = f"doc_id {id_type(docs)}, n_shingles bigint, cls bigint, sigs array<bigint>, sketch binary"
+    return map_rows(texts_of(docs), rows, schema, batch=250)
 
 
 def group_of(sig: Column) -> Column:
@@ -164,7 +176,10 @@ def group_of(sig: Column) -> Column:
 
 
 def lists(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Index entries that more than one class has, less those each class may spare: ``sig, cls, center, n``."""
+    """Index entries that more than one class has, less those each class may spare: ``sig, cls, center, n``.
+
+    ``center`` is the smallest class that keeps the entry, ``n`` the number of entries kept.
+    """
     entries = rows.where("sigs is not null").select("cls", F.explode("sigs").alias("sig"))
     same = Window.partitionBy("sig")
     shared = (
@@ -174,20 +189,23 @@ def lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     costly = Window.partitionBy("cls", "_group").orderBy(F.desc("n"), "sig")
     bands = Bands(num, den)
     spared = F.array(*[F.lit(s) for s in bands.spared[:256]])
-    return stored(
+    kept = (
         stored(shared, "shared")
         .withColumn("_group", F.shiftleft(group_of(F.col("sig")), 1) + F.col("sig").bitwiseAND(F.lit(1)))
         .withColumn("_rank", F.dense_rank().over(costly))
         .where((F.col("sig").bitwiseAND(F.lit(1)) == 1) | (F.col("_rank") > F.get(spared, group_of(F.col("sig")).cast("int"))))
-        .drop("_group", "_rank"),
-        "lists",
+        .select("sig", "cls")
     )
+    kept = stored(kept, "kept")
+    left = kept.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("_top"), F.count("*").alias("n"))
+    return stored(kept.join(left.where("center <> _top").drop("_top"), "sig"), "lists")
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """``cls, tokens`` of the given classes, made again from one document of each."""
-    chosen = rows.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("_id")).withColumnRenamed("cls", "_cls").hint("shuffle_hash")
+    chosen = rows.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("_id")).withColumnRenamed("cls", "_cls")
     texts = texts_of(docs)
+    chosen = small_side(stored(chosen, "chosen"))
     wanted = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_id"])).select("_cls", "text")
 
     def again(batches):
@@ -196,68 +214,94 @@ def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) ->
             made = [(c, t) for c, t in zip(b["_cls"], map(shingler.tokens, b["text"]), strict=True) if len(t) and class_of(t) == c]
             yield {"cls": [c for c, _ in made], "tokens": [t.tobytes() for _, t in made]}
 
-    return stored(map_rows(wanted, again, "cls bigint, tokens binary", batch=500), "sets")
-
+    return stored(map_rows(wanted, again, "cls bigint, tokens binary", batch=250), "sets")
 
-def linked_among(probe: np.ndarray, held: list[tuple], num: int, den: int) -> Iterator[tuple]:
-    """Those of ``held`` (class, tokens, ...) that link with the probe; many are looked up at once."""
-    fits = [h for h in held if min(len(h[1]), len(probe)) * den >= num * max(len(h[1]), len(probe))]
-    if len(fits) < 4:
-        yield from (h for h in fits if linked(probe, h[1], num, den))
-        return
-    sizes = np.array([len(h[1]) for h in fits])
-    tokens = np.concatenate([h[1] for h in fits])
-    at = np.minimum(np.searchsorted(probe, tokens), len(probe) - 1)
-    both = np.add.reduceat(probe[at] == tokens, np.cumsum(sizes) - sizes, dtype=np.int64)
-    yield from (fits[k] for k in np.flatnonzero(den * both >= num * (len(probe) + sizes - both)))
 
+def meet(probes: DataFrame, targets: DataFrame, payload: DataFrame, compare, name: str) -> DataFrame:
+    """Pairs ``a, b`` of probes with targets of the same ``key, part`` for which ``compare`` holds.
 
-def check(probes: DataFrame, targets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` of probes with the targets of the same ``key, part`` that have a larger ``rank``.
-
-    Both have columns ``key, part, cls, rank``. The targets of a key and part must be few; they are held while its probes
-    pass by.
+    Both have columns ``key, part, cls, rank``; ``payload`` has the rest of each ``cls``. The targets of a key and part must
+    be few; they are held while its probes pass by. ``compare(probe, held)`` yields the places of the held rows that fit.
     """
     both = targets.select("key", "part", F.lit(0).alias("kind"), "cls", "rank").union(
         probes.select("key", "part", F.lit(1).alias("kind"), "cls", "rank"))
-    dealt = both.join(sets, "cls").repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+    dealt = both.join(payload, "cls").repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+    columns = ("key", "part", "kind", *payload.columns, "rank")
 
     def rows(batches: Iterator[dict]):
         at, held = None, []
         for b in batches:
             out_a, out_b = [], []
-            for key, part, kind, cls, rank, data in zip(*(b[c] for c in ("key", "part", "kind", "cls", "rank", "tokens")), strict=True):
-                tokens, rank = np.frombuffer(data, dtype=np.uint64), (rank["size"], rank["label"])
+            for key, part, kind, *row in zip(*(b[c] for c in columns), strict=True):
                 if (key, part) != at:
                     at, held = (key, part), []
                 if kind == 0:
-                    held.append((cls, tokens, rank))
+                    held.append(row)
                 else:
-                    for other, *_ in linked_among(tokens, [h for h in held if h[2] > rank], num, den):
-                        out_a.append(cls)
-                        out_b.append(other)
+                    for k in compare(row, held):
+                        out_a.append(row[0])
+                        out_b.append(held[k][0])
             yield {"a": out_a, "b": out_b}
 
-    return stored(map_rows(dealt, rows, "a bigint, b bigint", batch=500).distinct(), "found")
+    return stored(map_rows(dealt, rows, "a bigint, b bigint", batch=500).distinct(), name)
+
+
+def maybe_linked(num: int, den: int):
+    """Compare rows ``cls, n, sketch, rank``: targets of larger rank that sizes and sketches do not rule out."""
+    last: list = [None, 0, None, None, None]
+
+    def compare(probe, held):
+        if not held:
+            return []
+        if last[0] is not held or last[1] != len(held):
+            last[:] = [
+                held, len(held), np.frombuffer(b"".join(h[2] for h in held), dtype=np.uint8).reshape(-1, 256).astype(np.int16),
+                np.array([h[1] for h in held]), np.array([(h[3]["size"], h[3]["label"]) for h in held])]
+        _, _, sketches, sizes, ranks = last
+        n, size, label = probe[1], probe[3]["size"], probe[3]["label"]
+        fits = (ranks[:, 0] > size) | (ranks[:, 0] == size) & (ranks[:, 1] > label)
+        fits &= np.minimum(sizes, n) * den >= num * np.maximum(sizes, n)
+        at = np.flatnonzero(fits)
+        if len(at):
+            apart = np.abs(sketches[at] - np.frombuffer(probe[2], dtype=np.uint8).astype(np.int16)).sum(axis=1)
+            at = at[apart * (den + num) <= (sizes[at] + n) * (den - num)]
+        return at.tolist()
+
+    return compare
+
+
+def surely_linked(num: int, den: int):
+    """Compare rows ``cls, tokens, rank``."""
+
+    def compare(probe, held):
+        tokens = np.frombuffer(probe[1], dtype=np.uint64)
+        return [k for k, h in enumerate(held) if linked(tokens, np.frombuffer(h[1], dtype=np.uint64), num, den)]
+
+    return compare
 
 
 def rank_of(size: Column, label: Column) -> Column:
     return F.struct(size.cast("bigint").alias("size"), label.cast("bigint").alias("label"))
 
 
-def star_links(entries: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class against the smallest one of each of its lists."""
-    pairs = stored(entries.where("cls <> center").select(F.col("center").alias("key"), "cls").distinct(), "pairs")
-    parts = pairs.groupBy("key").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))
+def meet_pairs(pairs: DataFrame, payload: DataFrame, compare, name: str) -> DataFrame:
+    """``meet`` for single pairs ``a, b``; a ``b`` with many pairs is dealt over several parts."""
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    targets = parts.select("key", each, F.col("key").alias("cls"), rank_of(F.lit(1), F.lit(0)).alias("rank"))
-    dealt = F.pmod(F.xxhash64("cls"), "parts").cast("int").alias("part")
-    probes = pairs.join(parts, "key").select("key", dealt, "cls", rank_of(F.lit(0), F.lit(0)).alias("rank"))
-    return check(probes, targets, sets, num, den)
+    targets = parts.select(F.col("b").alias("key"), each, F.col("b").alias("cls"), rank_of(F.lit(1), F.lit(0)).alias("rank"))
+    dealt = F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part")
+    probes = pairs.join(parts, "b").select(F.col("b").alias("key"), dealt, F.col("a").alias("cls"), rank_of(F.lit(0), F.lit(0)).alias("rank"))
+    return meet(probes, targets, payload, compare, name)
 
 
-def rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The classes of lists that hold several components, each against what it shares such lists with.
+def star_candidates(entries: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """Each class with the smallest one of each of its lists."""
+    pairs = stored(entries.where("cls <> center").select(F.col("cls").alias("a"), F.col("center").alias("b")).distinct(), "pairs")
+    return meet_pairs(pairs, sketches, maybe_linked(num, den), "star")
+
+
+def rest_candidates(entries: DataFrame, labels: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The classes of lists that hold several components, each with what it shares such lists with.
 
     The home of a class is the smallest centre of its lists: the classes of one family have few homes. A class meets, block
     by block, all classes of the homes it shares a list with, and is compared with those of larger components.
@@ -284,7 +328,7 @@ def rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int,
     probes = probes.select("key", spread(F.pmod(F.xxhash64("cls"), "salts"), F.col("_block")), "cls", "rank")
     targets = members.join(counts, "key").withColumn("_salt", F.explode(salts))
     targets = targets.select("key", spread(F.col("_salt"), F.pmod(F.xxhash64("cls"), "blocks")), "cls", "rank")
-    return check(probes, targets, sets, num, den)
+    return meet(probes, targets, sketches, maybe_linked(num, den), "rest")
 
 
 def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -302,10 +346,16 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     rows = spark.read.schema(rows.schema).parquet(path)
     plain = stored(rows.select("doc_id", "n_shingles", "cls"), "classes")
     entries = lists(rows, num, den)
+    sketches = rows.where("sketch is not null").join(entries.select("cls").distinct(), "cls")
+    sketches = stored(sketches.groupBy("cls").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "sketches")
     discard(spark, path)  # the index entries are by far the largest table
-    sets = sets_of(docs, plain, entries.select("cls").distinct(), size)
-    links = star_links(entries, sets, num, den)
-    links = stored(links.union(rest_links(entries, components(links), sets, num, den)), "all-links")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        return meet_pairs(pairs, sets_of(docs, plain, classes, size), surely_linked(num, den), "links")
+
+    links = verified(star_candidates(entries, sketches, num, den))
+    links = stored(links.union(verified(rest_candidates(entries, components(links), sketches, num, den))), "all-links")
     labels = components(links).withColumnRenamed("node", "cls")
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     degrees = ends.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
