@@ -21,7 +21,7 @@ flagship_marketplace_summary fil8_eligible_offers fil9_marketplace_rows jn2_name
 agg1_star_histogram agg2_review_summary agg6_marketplace_rollup agg8_channel_stock agg15_job_log
 win1_search_ranking win5_top_offer srt1_capped_results jn13_brand_guess jn14_archive_as_of
 pag1_meta_table pag5_profile_fields pag6_listing_links fn12_slug fn16_clean_markup fn18_descriptions
-fil2_message_validity jn18_task_results prj2_export_record fn28_deep_key_search st3_streaming_job_log
+fil2_message_validity jn18_task_results prj2_export_record fn28_deep_key_search st3_streaming_job_log st1_stateful_fragment_merge agg19_collection_members srt6_price_call_batches
 """.split()
 
 

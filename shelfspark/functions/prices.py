@@ -45,7 +45,13 @@ def currency_or_default(code: Column, default: str = "USD") -> Column:
 def was_now(now: Column, was: Column) -> Column:
     """Text of both prices, only when both are present and not zero."""
     both = now.isNotNull() & was.isNotNull() & (now != 0) & (was != 0)
-    return F.when(both, F.concat(now.cast("string"), F.lit(", "), was.cast("string")))
+
+    def digits(amount: Column) -> Column:
+        plain = amount.cast("string")
+        whole = F.regexp_replace(amount.cast("decimal(30,2)").cast("string"), "0$", "")
+        return F.when(plain.contains("E") & (F.abs(amount) >= 1), whole).otherwise(plain)
+
+    return F.when(both, F.concat(digits(now), F.lit(", "), digits(was)))
 
 
 def flat_price(declared: Column, text: Column) -> Column:

@@ -25,9 +25,11 @@ def drop_line_controls(text: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
-    """Compatibility folds of the Basic Multilingual Plane: one-letter and longer ones."""
+    """Compatibility folds of all of Unicode: one-letter and longer ones."""
     one, many = {}, {}
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
         char = chr(code)
         folded = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
         if len(folded) == 1:
@@ -49,7 +51,7 @@ def ascii_fold(text: Column) -> Column:
     foreign = F.regexp_replace(text, r"[\x00-\x7F]+", "")
     spelled = F.when(
         F.length(F.translate(foreign, "".join(many), "")) < F.length(foreign),
-        F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""),
+        F.array_join(F.transform(F.regexp_extract_all(text, F.lit(r"(?s)(.)"), F.lit(1)), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""),
     ).otherwise(text)
     return F.regexp_replace(F.translate(spelled, "".join(one), "".join(one.values())), r"[^\x00-\x7F]", "")
 
@@ -106,23 +108,39 @@ def _entities() -> dict[str, str]:
 
 
 def unescape(markup: Column) -> Column:
-    """One pass over named and numeric entities; unknown ones stay."""
+    """One pass over named and numeric entities of any length; unknown ones and numbers beyond Unicode stay.
+
+    Two numeric entities that are the halves of a surrogate pair make one character; a lone half stays.
+    """
     table = _literal_map(_entities())
 
     def char(code: Column) -> Column:
         return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
 
+    def number(entity: Column) -> Column:
+        """Code of a numeric entity; null when the text is none or the number is beyond Unicode."""
+        digits = F.regexp_extract(entity, r"^&#0*(\d{1,7});$", 1)
+        hexes = F.regexp_extract(entity, r"^&#[xX]0*([0-9a-fA-F]{1,6});$", 1)
+        code = F.when(digits != "", digits.cast("int")).when(hexes != "", F.conv(hexes, 16, 10).cast("int"))
+        return F.when(code <= 0x10FFFF, code)
+
+    def spelled(code: Column) -> Column:
+        return char(F.hex(code.cast("bigint")))
+
     def plain(token: Column) -> Column:
-        digits = F.regexp_extract(token, r"^&#(\d{1,6});$", 1)
-        hexes = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,5});$", 1)
+        code = number(token)
+        high, low = (number(F.regexp_extract(token, r"^(&#\w+;)(&#\w+;)$", k)) for k in (1, 2))
         return (
             F.when(~token.startswith("&"), token)
-            .when(digits != "", char(F.conv(digits, 10, 16)))
-            .when(hexes != "", char(hexes))
+            .when(high.isNotNull() & low.isNotNull(), spelled((high - 0xD800) * 0x400 + (low - 0xDC00) + 0x10000))
+            .when(code.isNotNull() & ~code.between(0xD800, 0xDFFF), spelled(code))
             .otherwise(F.coalesce(F.try_element_at(table, token), token))
         )
 
-    tokens = F.regexp_extract_all(markup, F.lit(r"(&#?\w+;|[^&]+|&)"), F.lit(1))
+    # Halves of surrogate pairs: 55296-56319 or d800-dbff, then 56320-57343 or dc00-dfff.
+    high = r"&#(?:0*(?:5529[6-9]|55[3-9]\d\d|56[0-2]\d\d|563[01]\d)|[xX]0*[dD][89abAB][0-9a-fA-F]{2});"
+    low = r"&#(?:0*(?:563[2-9]\d|56[4-9]\d\d|57[0-2]\d\d|573[0-3]\d|5734[0-3])|[xX]0*[dD][c-fC-F][0-9a-fA-F]{2});"
+    tokens = F.regexp_extract_all(markup, F.lit(rf"({high}{low}|&#?\w+;|[^&]+|&)"), F.lit(1))
     return F.when(markup.contains("&"), F.array_join(F.transform(tokens, plain), "")).otherwise(markup)
 
 

@@ -56,7 +56,7 @@ def as_of(lookups: DataFrame, puts: DataFrame, bucket_s: int = 3600) -> DataFram
         lookups.select("fingerprint", "ts", F.lit(1).alias("_kind"), F.col("lookup_id").cast("bigint").alias("lookup_id"),
                        F.lit(None).cast(stored.select(put.alias("p")).schema["p"].dataType).alias("_put"))
     ).withColumn("_bucket", bucket)
-    inside = Window.partitionBy("fingerprint", "_bucket").orderBy("ts", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("fingerprint", "_bucket").orderBy("ts", "_kind", "_put.ttl_s").rowsBetween(Window.unboundedPreceding, 0)
     near = marks.withColumn("_near", F.last("_put", ignorenulls=True).over(inside)).where("_kind = 1")
     last = marks.groupBy("fingerprint", "_bucket").agg(F.max("_put").alias("_last"))
     before = Window.partitionBy("fingerprint").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

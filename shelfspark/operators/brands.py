@@ -170,7 +170,8 @@ def _long_matches(words: DataFrame, aliases: DataFrame) -> DataFrame:
     wide = words.where(F.length("key") >= least)
     a = F.length("key").cast("bigint")
     lengths = F.sequence(F.greatest(F.lit(least).cast("bigint"), F.floor(a / (1 + share))), F.ceil(a * (1 + share)))
-    left = wide.select("key", F.explode(lengths).alias("b"))
+    # Only lengths that some alias has are cut any further, so a long word without such aliases costs a row per length.
+    left = wide.select("key", F.explode(lengths).alias("b")).join(right.select("b").distinct(), "b")
     left = left.select("key", "b", F.explode(F.sequence(F.lit(0).cast("bigint"), edits(F.col("b")))).alias("i"))
     count = edits(F.col("b")) + 1
     at, size = start(F.col("i"), F.col("b"), count), start(F.col("i") + 1, F.col("b"), count) - start(F.col("i"), F.col("b"), count)

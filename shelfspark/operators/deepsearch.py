@@ -26,9 +26,9 @@ def values_of(node, key: str) -> list:
 
 
 def deep_values(document: Column, key: str) -> Column:
-    """array<string> of JSON texts in document order; empty without a hit or for broken JSON.
+    """array<string> of JSON texts in document order; empty without a hit, for broken JSON or for JSON nested too deep.
 
-    Only documents that mention the key leave the JVM.
+    Only documents that mention the key, plainly or with escapes, leave the JVM.
     """
 
     @F.pandas_udf(ArrayType(StringType()))
@@ -36,10 +36,10 @@ def deep_values(document: Column, key: str) -> Column:
         def one(text):
             try:
                 return [json.dumps(v, ensure_ascii=False, separators=(",", ":")) for v in values_of(json.loads(text), key)]
-            except (TypeError, ValueError):
+            except (TypeError, ValueError, RecursionError):
                 return []
 
         return texts.map(one)
 
-    mentioned = F.when(document.contains(json.dumps(key)), document)
+    mentioned = F.when(document.contains(json.dumps(key, ensure_ascii=False)) | document.contains("\\"), document)
     return search(mentioned)

@@ -20,8 +20,21 @@ def page_counts(hits: DataFrame) -> DataFrame:
     return with_prefix(counts, ["term"], "page", "results_per_page", "before")
 
 
+def unplaced_hits(hits: DataFrame) -> DataFrame:
+    """Hits without term or page: they cannot be ranked and are handed back as rejects."""
+    return hits.where(F.col("term").isNull() | F.col("page").isNull())
+
+
+def with_page_facts(hits: DataFrame, pages: DataFrame) -> DataFrame:
+    """What the result pages say of themselves (WIN3). ``pages``: term, page, total_matches, scraped_results_per_page.
+
+    The number a page claims to list, ``scraped_results_per_page``, stands next to ``results_per_page``, the number of hits found on it.
+    """
+    return hits.join(pages.select("term", "page", "total_matches", "scraped_results_per_page"), ["term", "page"], "left")
+
+
 def ranked_hits(hits: DataFrame) -> DataFrame:
-    """Ranking across pages: hits on earlier pages plus the place on the own page (WIN1, WIN3)."""
+    """Ranking across pages: hits on earlier pages plus the place on the own page (WIN1, WIN3); see ``unplaced_hits`` for the rest."""
     hits = hits.where(F.col("term").isNotNull() & F.col("page").isNotNull())
     on_page = Window.partitionBy("term", "page").orderBy("pos")
     return (

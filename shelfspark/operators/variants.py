@@ -23,8 +23,11 @@ def main_price(products: DataFrame, feed: DataFrame) -> DataFrame:
 
 
 def with_details(variants: DataFrame, details: DataFrame, only_unselected: bool = False) -> DataFrame:
-    """Price and stock of a variant taken from its detail record (JN8)."""
-    found = details.select("sku", F.col("price").alias("_price"), F.coalesce("add_to_cart", F.lit(False)).alias("_stock"))
+    """Price and stock of a variant taken from its detail record (JN8); of several for a sku, the largest by ``ord`` if there is one."""
+    found = details.select("sku", F.col("price").alias("_price"), F.coalesce("add_to_cart", F.lit(False)).alias("_stock"),
+                           (F.col("ord") if "ord" in details.columns else F.lit(0)).alias("_ord"))
+    last = F.max(F.struct("_ord", "_price", "_stock")).alias("_last")
+    found = found.groupBy("sku").agg(last).select("sku", "_last._price", "_last._stock")
     rows = variants.join(found, "sku", "left")
     hit = F.col("_stock").isNotNull()
     if only_unselected:
@@ -183,20 +186,30 @@ def other_skus(variants: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def leaf_counts(nodes: DataFrame, pinned) -> DataFrame:
-    """Leaves below every root of a forest (AGG21). ``nodes``: id, parent_id (null at a root).
+    """Leaves below every root of a forest (AGG21). ``nodes``: id, parent_id (null at a root), each id once.
 
-    Counts climb one level per round as map-side combined sums, so a parent with very
-    many children never gathers them in one task. ``pinned`` cuts the lineage per round.
+    A node whose parent is not among the nodes is a root as well. Roots are handed down one level per round, so each node
+    is visited once and rounds end with the deepest one; nodes on or below a cycle have no root and are never reached
+    (``rootless`` names them). ``pinned`` cuts the lineage per round.
     """
-    parents = nodes.select(F.col("parent_id").alias("id")).where("id IS NOT NULL").distinct()
-    carried = pinned(nodes.join(parents, "id", "left_anti").withColumn("leaves", F.lit(1).cast("bigint")))
-    done = None
-    while True:
-        top = carried.where("parent_id IS NULL").select("id", "leaves")
-        done = top if done is None else done.unionByName(top)
-        rising = carried.where("parent_id IS NOT NULL")
-        if rising.isEmpty():
-            break
-        sums = rising.groupBy(F.col("parent_id").alias("id")).agg(F.sum("leaves").alias("leaves"))
-        carried = pinned(sums.join(nodes, "id"))
-    return done.groupBy("id").agg(F.sum("leaves").alias("leaves"))
+    inner = nodes.select(F.col("parent_id").alias("id")).where("id IS NOT NULL").distinct()
+    leaves = _rooted(nodes, pinned).join(inner, "id", "left_anti")
+    return leaves.groupBy(F.col("root").alias("id")).agg(F.count("*").alias("leaves"))
+
+
+def rootless(nodes: DataFrame, pinned) -> DataFrame:
+    """Nodes on or below a cycle."""
+    return nodes.join(_rooted(nodes, pinned).select("id"), "id", "left_anti")
+
+
+def _rooted(nodes: DataFrame, pinned) -> DataFrame:
+    """(id, root) of every node that has a root."""
+    known = nodes.select(F.col("id").alias("_id")).distinct()
+    tops = nodes.join(known, nodes["parent_id"] == known["_id"], "left_anti").select("id", F.col("id").alias("root"))
+    level = pinned(tops)
+    done = level
+    while not level.isEmpty():
+        above = level.select(F.col("id").alias("parent_id"), "root")
+        level = pinned(nodes.join(above, "parent_id").select("id", "root"))
+        done = done.unionByName(level)
+    return done

@@ -16,8 +16,8 @@ from shelfspark.sources import tables
 # ---- items and export -----------------------------------------------------
 
 _ITEMS_SQL = f"""{m.OFFERS_SQL},
-rev AS (SELECT l_partkey AS k, count(*) AS n, CAST(sum(least(l_linenumber, 5)) AS BIGINT) AS p, min(least(l_linenumber, 5)) AS lo, max(least(l_linenumber, 5)) AS hi FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
-mk AS (SELECT l_partkey AS k, count(*) AS mn, bool_or(l_returnflag = 'A') AS stocked, min(CAST(l_extendedprice AS DECIMAL(12,2))) AS low FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_linenumber = 1 AND l_partkey % 5 <> 0 GROUP BY 1),
+rev AS (SELECT l_partkey AS k, count(*) AS n, CAST(sum(least(l_linenumber, 5)) AS BIGINT) AS p, min(least(l_linenumber, 5)) AS lo, max(least(l_linenumber, 5)) AS hi FROM lineitem GROUP BY 1),
+mk AS (SELECT l_partkey AS k, count(*) AS mn, bool_or(l_returnflag = 'A') AS stocked, min(CAST(l_extendedprice AS DECIMAL(12,2))) AS low FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1),
 items AS (SELECT *, CASE WHEN p_size % 3 = 0 THEN format('${{:,.2f}}', p_retailprice) END AS price, CASE WHEN p_size % 3 <> 1 THEN p_retailprice + 1 END AS price_amount,
   CASE WHEN p_size % 4 = 0 THEN p_size % 8 = 0 END AS shipping, CASE WHEN p_size % 6 = 0 THEN true END AS gone, p_size % 2 = 0 AS online, p_size % 10 < 5 AS stores
   FROM part LEFT JOIN rev ON rev.k = p_partkey LEFT JOIN mk ON mk.k = p_partkey)"""
@@ -37,8 +37,8 @@ def base_items(t):
 
 
 def export_items(t):
-    """Product items with reviews and marketplace rows from line items."""
-    rated = t.lineitem.where("l_partkey % 9 <> 0").select(F.col("l_partkey").alias("product_id"), F.least("l_linenumber", F.lit(5)).alias("rating"))
+    """Product items with reviews and marketplace rows from line items, and the further parts of long lists."""
+    rated = t.lineitem.select(F.col("l_partkey").alias("product_id"), F.least("l_linenumber", F.lit(5)).alias("rating"))
     wide = review_op.star_counts(rated)
     stars = F.map_from_arrays(F.array(*[F.lit(s) for s in review_op.STARS]), F.array(*[F.col(f"star_{s}") for s in review_op.STARS]))
     summary = m.in_double(review_op.summary(review_op.star_rows(wide)))
@@ -46,10 +46,10 @@ def export_items(t):
         F.col("product_id").cast("string").alias("product_id"),
         F.struct(F.col("min_star").alias("min"), F.col("max_star").alias("max"), stars.alias("stars"), F.col("review_count").alias("count"), "average",
                  F.lit(None).cast("date").alias("last_review_date")).alias("buyer_reviews"))
-    rows = t.lineitem.where("l_linenumber = 1 AND l_partkey % 5 <> 0").join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey")).select(
+    rows = t.lineitem.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey")).select(
         F.col("l_partkey").alias("product_id"), F.col("s_name").alias("name"), F.col("l_extendedprice").alias("price"), F.lit("USD").alias("currency"),
-        (F.col("l_returnflag") == "A").alias("in_stock"), "l_orderkey", "l_extendedprice")
-    return export.with_marketplace(base_items(t).join(reviews, "product_id", "left"), rows, ["l_orderkey", "l_extendedprice"])
+        (F.col("l_returnflag") == "A").alias("in_stock"), "l_orderkey", "l_linenumber", "l_extendedprice")
+    return export.with_marketplace(base_items(t).join(reviews, "product_id", "left"), rows, ["l_orderkey", "l_linenumber", "l_extendedprice"])
 
 
 @query("prj2_export_record", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, CASE WHEN p_size % 5 <> 0 THEN p_brand END AS brand, p_type || '>' || p_brand AS categories, '2024-03-05 06:07:08' AS crawled_at,
@@ -58,12 +58,12 @@ def export_items(t):
   coalesce(price_amount, TRY_CAST(replace(regexp_extract(price, '[0-9.,]+'), ',', '') AS DOUBLE)) AS price_amount,
   CASE WHEN n IS NOT NULL THEN CAST((200 * p + n) // (2 * n) AS DOUBLE) / 100 END AS average_review, coalesce(n, 0) AS review_count, lo AS min_review, hi AS max_review,
   coalesce(price, format('${{:,.2f}}', price_amount)) AS seller_price, coalesce(TRY_CAST(replace(regexp_extract(price, '[0-9.,]+'), ',', '') AS DOUBLE), price_amount) AS seller_price_amount,
-  CASE WHEN gone THEN 0 ELSE 1 END AS in_stock, coalesce(mn > 0, false)::INTEGER AS marketplace, stocked::INTEGER AS marketplace_in_stock, CAST(low AS DOUBLE) AS marketplace_lowest_price, coalesce(mn, -1) AS marketplace_rows,
+  CASE WHEN gone THEN 0 ELSE 1 END AS in_stock, coalesce(mn > 0, false)::INTEGER AS marketplace, stocked::INTEGER AS marketplace_in_stock, CAST(low AS DOUBLE) AS marketplace_lowest_price, coalesce(mn, 0) AS marketplace_rows,
   CASE WHEN mn IS NOT NULL THEN (NOT online AND stores)::INTEGER END AS in_stores_only, CASE WHEN mn IS NOT NULL THEN (NOT stores)::INTEGER END AS online_only, (online OR stores)::INTEGER AS owned,
   CASE WHEN shipping = false THEN true ELSE gone END AS is_out_of_stock, CASE WHEN p_size % 11 = 0 THEN 'failure' ELSE 'success' END AS status, CASE WHEN p_size % 11 = 0 THEN '404' END AS failure_type,
   CASE WHEN p_size % 7 = 0 THEN p_name = 'red ring' END AS term_exactly FROM items""")
 def _(t):
-    r = export.export_records(export_items(t).where("part = 0"))
+    r = export.export_records(export_items(t)[0])
     c = F.col
     return r.select(
         "product_id", "title", c("classification.brand").alias("brand"), F.array_join("classification.categories", ">").alias("categories"), "crawled_at", "image_url",
@@ -72,7 +72,7 @@ def _(t):
         "price_amount", c("reviews.average_review").alias("average_review"), c("reviews.review_count").alias("review_count"), c("reviews.min_review").alias("min_review"),
         c("reviews.max_review").alias("max_review"), c("sellers.price").alias("seller_price"), c("sellers.price_amount").alias("seller_price_amount"), c("sellers.in_stock").alias("in_stock"),
         c("sellers.marketplace").alias("marketplace"), c("sellers.marketplace_in_stock").alias("marketplace_in_stock"), c("sellers.marketplace_lowest_price").alias("marketplace_lowest_price"),
-        F.coalesce(F.size("sellers.marketplace_prices"), F.lit(-1)).cast("bigint").alias("marketplace_rows"), c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
+        F.size("sellers.marketplace_prices").cast("bigint").alias("marketplace_rows"), c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
         c("sellers.owned").alias("owned"), "is_out_of_stock", "status", "failure_type", c("search_term_in_title_exactly").alias("term_exactly"))
 
 
@@ -100,7 +100,7 @@ def _(t):
 @query("snk1_export_files", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, '2024' AS y, lpad((1 + p_size % 3)::VARCHAR, 2, '0') AS m, '05' AS d, coalesce(n, 0) AS review_count FROM items""")
 def _(t):
     path = work_path(t.spark, "export")
-    records = export.export_records(export_items(t).where("part = 0"))
+    records = export.export_records(export_items(t)[0])
     day = F.make_date(F.lit(2024), F.col("_size") % 3 + 1, F.lit(5))
     sized = records.join(t.part.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_size").alias("_size")), "product_id")
     tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"))

@@ -115,22 +115,22 @@ def _(t):
 WITH {m.OFFERS_SQL}
 SELECT product_id, offer_id, ord, CAST(CASE WHEN o.o_orderkey IS NULL THEN 0
    WHEN split_part(offer_id, '-', 2)::INTEGER BETWEEN 3 AND 6 THEN 6 - split_part(offer_id, '-', 2)::INTEGER ELSE 4 END AS INTEGER) AS sort_key
-FROM offers LEFT JOIN orders o ON o_orderkey = product_id AND o_orderstatus <> 'P'
+FROM offers LEFT JOIN orders o ON o_orderkey = product_id
 """)
 def _(t):
     ids = F.transform(F.sequence(F.lit(6), F.lit(3)), lambda n: F.concat_ws("-", F.col("o_orderkey").cast("string"), n.cast("string")))
-    orders = t.orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("product_id"), ids.alias("preferred_ids"))
+    orders = t.orders.select(F.col("o_orderkey").alias("product_id"), ids.alias("preferred_ids"))
     return op.by_external_order(m.offers(t), orders).select("product_id", "offer_id", "ord", "sort_key")
 
 
 @query("jn6_source_fallback", f"""
-WITH {m.OFFERS_SQL}, a AS (SELECT * FROM offers WHERE availability = 'IN_STOCK'), b AS (SELECT * FROM offers WHERE availability = 'RETIRED')
+WITH {m.OFFERS_SQL}, a AS (SELECT * FROM offers WHERE availability = 'IN_STOCK'), b AS (SELECT * FROM offers WHERE availability IS DISTINCT FROM 'IN_STOCK')
 SELECT product_id, offer_id, ord FROM a UNION ALL
 SELECT product_id, offer_id, ord FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.product_id = b.product_id)
 """)
 def _(t):
     rows = m.offers(t).select("product_id", "offer_id", "ord", "availability")
-    return op.offers_or_fallback(rows.where("availability = 'IN_STOCK'"), rows.where("availability = 'RETIRED'")).drop("availability")
+    return op.offers_or_fallback(rows.where("availability = 'IN_STOCK'"), rows.where("NOT (availability <=> 'IN_STOCK')")).drop("availability")
 
 
 @query("agg6_marketplace_rollup", _NAMED_SQL + """

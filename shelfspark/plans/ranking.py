@@ -49,11 +49,11 @@ def _(t):
 
 
 @query("jn11_hit_prefill", """SELECT 'u/' || c_custkey::VARCHAR AS url, coalesce(CASE WHEN h.k % 2 = 0 THEN 'hit ' || h.k::VARCHAR END, c_mktsegment) AS title, h.k AS ranking
-FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) h ON o_custkey = c_custkey""")
+FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY 1) h ON o_custkey = c_custkey""")
 def _(t):
     url = lambda c: F.concat(F.lit("u/"), F.col(c).cast("string"))
     products = t.customer.select(url("c_custkey").alias("url"), F.col("c_mktsegment").alias("title"))
-    hits = t.orders.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("ranking"))
+    hits = t.orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("ranking"))
     hits = hits.select(url("o_custkey").alias("url"), F.when(F.col("ranking") % 2 == 0, F.concat(F.lit("hit "), F.col("ranking").cast("string"))).alias("title"), "ranking")
     return op.with_hit_columns(products, hits, ["title", "ranking"])
 
@@ -77,7 +77,8 @@ def _(t):
 def _(t):
     kind = F.when(F.col("c_custkey") % 4 == 0, "search?kw=").otherwise("pr/")
     terms = t.customer.select(F.col("c_custkey").alias("term"), F.concat(F.lit("https://shop.example/"), kind, F.col("c_custkey").cast("string")).alias("url"))
-    hits = t.orders.where("o_orderstatus = 'F' AND o_orderpriority LIKE '1%'").select(F.col("o_custkey").alias("term"))
+    landed = (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").startswith("1")
+    hits = t.orders.select(F.when(landed, F.col("o_custkey")).alias("term"))
     return op.direct_landings(terms, hits, r"^https://shop\.example/pr/.*?$").select("term", "redirect", "total_matches")
 
 

@@ -16,7 +16,7 @@ _VARIANTS_SQL = """variants AS (SELECT p_brand AS product_id, p_partkey AS sku,
   split_part(p_name, ' ', 1) AS color, split_part(p_name, ' ', 2) AS item FROM part)"""
 _ORD_SQL = "l_linenumber * 100000000000000000 + l_orderkey * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT)"
 _FEED_SQL = f"""feed AS (SELECT l_partkey AS sku, arg_max(CAST(l_extendedprice AS DECIMAL(12,2)), {_ORD_SQL}) AS price
-  FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber < 2 GROUP BY 1)"""
+  FROM lineitem GROUP BY 1)"""
 
 
 def _variants(t):
@@ -33,7 +33,7 @@ def _ord():
 
 
 def _feed(t):
-    return t.lineitem.where("l_returnflag = 'A' AND l_linenumber < 2").select(
+    return t.lineitem.select(
         F.col("l_partkey").alias("sku"), m.cents("l_extendedprice").alias("price"), _ord().alias("ord"))
 
 
@@ -50,11 +50,11 @@ def _(t):
 
 
 _DETAIL_SQL = """detail AS (SELECT l_partkey AS sku, CASE WHEN count(*) > 1 THEN min(CAST(l_extendedprice AS DECIMAL(12,2))) END AS price,
-  CASE WHEN count(*) > 2 THEN bool_or(l_linestatus = 'O') END AS stock FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'N' GROUP BY 1)"""
+  CASE WHEN count(*) > 2 THEN bool_or(l_linestatus = 'O') END AS stock FROM lineitem GROUP BY 1)"""
 
 
 def _details(t):
-    return t.lineitem.where("l_linenumber = 1 AND l_returnflag = 'N'").groupBy(F.col("l_partkey").alias("sku")).agg(
+    return t.lineitem.groupBy(F.col("l_partkey").alias("sku")).agg(
         F.when(F.count("*") > 1, F.min(m.cents("l_extendedprice"))).alias("price"),
         F.when(F.count("*") > 2, F.bool_or(F.col("l_linestatus") == "O")).alias("add_to_cart"))
 
@@ -67,10 +67,10 @@ def _(t):
     return m.in_double(rows.select("product_id", "sku", "price", "in_stock"))
 
 
-@query("jn9_color_sizes", """WITH c AS (SELECT p_brand AS code, min(split_part(p_name, ' ', 1)) AS color FROM part WHERE p_size > 25 GROUP BY 1)
+@query("jn9_color_sizes", """WITH c AS (SELECT p_brand AS code, min(split_part(p_name, ' ', 1)) AS color FROM part GROUP BY 1)
 SELECT code, color, p_partkey AS sku, p_size AS size, p_partkey % 3 <> 0 AS in_stock FROM c JOIN part ON p_brand = code""")
 def _(t):
-    colors = t.part.where("p_size > 25").groupBy(F.col("p_brand").alias("code")).agg(F.min(F.substring_index("p_name", " ", 1)).alias("color"))
+    colors = t.part.groupBy(F.col("p_brand").alias("code")).agg(F.min(F.substring_index("p_name", " ", 1)).alias("color"))
     sizes = t.part.select(F.col("p_brand").alias("code"), F.col("p_partkey").alias("sku"), F.col("p_size").alias("size"), (F.col("p_partkey") % 3).alias("stock_level"))
     return op.color_sizes(colors, sizes).select("code", "color", "sku", "size", "in_stock")
 
@@ -176,7 +176,7 @@ def _(t):
 
 
 @query("agg20_condition_prices", f"""WITH x AS (SELECT l_partkey AS product_id, CASE WHEN l_linenumber = 7 THEN 'Digital' WHEN l_returnflag = 'A' THEN 'New' WHEN l_returnflag = 'N' THEN 'Pre-Owned' ELSE 'Refurbished' END AS c,
-  CASE WHEN l_quantity > 25 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_quantity > 10 THEN 0 END AS price, {_ORD_SQL} AS ord FROM lineitem WHERE l_quantity > 5),
+  CASE WHEN l_quantity > 25 THEN CAST(l_extendedprice AS DECIMAL(12,2)) WHEN l_quantity > 10 THEN 0 END AS price, {_ORD_SQL} AS ord FROM lineitem),
 w AS (SELECT product_id, arg_max(price, ord) FILTER (WHERE c = 'New' AND price IS NOT NULL) AS a, arg_max(price, ord) FILTER (WHERE c = 'Pre-Owned' AND price IS NOT NULL) AS b,
   arg_max(price, ord) FILTER (WHERE c = 'Digital' AND price IS NOT NULL) AS d, arg_max(price, ord) FILTER (WHERE c = 'Refurbished' AND price IS NOT NULL) AS r FROM x GROUP BY 1)
 SELECT product_id, CAST(a AS DOUBLE) AS price_new, CAST(b AS DOUBLE) AS price_preowned, CAST(d AS DOUBLE) AS price_download, CAST(r AS DOUBLE) AS price_regular,
@@ -184,7 +184,7 @@ SELECT product_id, CAST(a AS DOUBLE) AS price_new, CAST(b AS DOUBLE) AS price_pr
 def _(t):
     condition = F.when(F.col("l_linenumber") == 7, "Digital").when(F.col("l_returnflag") == "A", "New").when(F.col("l_returnflag") == "N", "Pre-Owned").otherwise("Refurbished")
     price = F.when(F.col("l_quantity") > 25, m.cents("l_extendedprice")).when(F.col("l_quantity") > 10, F.lit(0).cast(m.CENTS))
-    rows = t.lineitem.where("l_quantity > 5").select(F.col("l_partkey").alias("product_id"), condition.alias("condition"), price.alias("price"), _ord().alias("ord"))
+    rows = t.lineitem.select(F.col("l_partkey").alias("product_id"), condition.alias("condition"), price.alias("price"), _ord().alias("ord"))
     return m.in_double(op.condition_prices(rows))
 
 

@@ -30,7 +30,7 @@ buyer_reviews struct<min:int,max:int,stars:map<int,bigint>,count:bigint,average:
 nutrition_fact_count bigint, nutrition_fact_text_health bigint, collection_count bigint, collection_availability array<boolean>,
 rich_content boolean, how_to_measure boolean, questions_total bigint, questions_unanswered bigint, mta string, ugc array<string>,
 in_stores boolean, in_stores_out_of_stock boolean, marketplace array<struct<name:string,price:double,currency:string,in_stock:boolean>>,
-marketplace_bool boolean, owned boolean, primary_seller string, seller_id string, site_online boolean, site_online_out_of_stock boolean,
+marketplace_facts struct<rows:bigint,in_stock:boolean,lowest_price:double>, marketplace_bool boolean, owned boolean, primary_seller string, seller_id string, site_online boolean, site_online_out_of_stock boolean,
 temp_price_cut boolean, us_seller_id string, promotions boolean, subscribe_discount double, subscribe_price double,
 screenshot string, crawl_date string
 """

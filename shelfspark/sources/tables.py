@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.archive import not_stored, storable
+from shelfspark.operators.archive import last_writes, not_stored, storable
+from shelfspark.operators.export import record_json
 
 ARCHIVE_PARTITIONS = ("site", "crawl_date")
 
@@ -23,25 +24,28 @@ def read_archive(spark: SparkSession, path: str, sites: list[str], dates: list[s
     return rows if fingerprints is None else rows.join(fingerprints.select("fingerprint"), "fingerprint", "left_semi")
 
 
-def append_archive(responses: DataFrame, path: str, archive: DataFrame | None = None) -> None:
+def append_archive(responses: DataFrame, path: str, archive: DataFrame | None = None, spread: int = 16) -> None:
     """Append fresh 200 responses the archive lacks (SRC3), partitioned by site and day.
 
-    Rows are spread by fingerprint inside each partition, so a site with much of the crawl
-    is written by many tasks.
+    One answer per fingerprint is stored, the last one by ``put_ts`` where the rows have it. Rows are spread by fingerprint
+    over ``spread`` tasks inside each partition, so a site with much of the crawl is written by many tasks.
     """
     rows = storable(responses)
     if archive is not None:
         rows = not_stored(rows, archive)
+    columns = rows.columns
+    rows = last_writes(rows) if "put_ts" in columns else rows.dropDuplicates(["fingerprint"])
+    rows = rows.select(*columns).repartition(*ARCHIVE_PARTITIONS, F.pmod(F.xxhash64("fingerprint"), F.lit(spread)))
     rows.write.partitionBy(*ARCHIVE_PARTITIONS).mode("append").parquet(path)
 
 
 def write_export(records: DataFrame, path: str, day: Column) -> None:
-    """JSON Lines under year, month and day, null fields left out (SNK1).
+    """JSON Lines under year, month and day (SNK1): item fields without nulls, and every key of the record.
 
     Empty partitions write no file; Spark names the files.
     """
-    dated = records.withColumns({"y": F.date_format(day, "yyyy"), "m": F.date_format(day, "MM"), "d": F.date_format(day, "dd")})
-    dated.write.partitionBy("y", "m", "d").mode("append").option("ignoreNullFields", "true").json(path)
+    dated = records.select(record_json(records).alias("value"), *[F.date_format(day, f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"))])
+    dated.write.partitionBy("y", "m", "d").mode("append").text(path)
 
 
 def write_messages(messages: DataFrame, path: str) -> None:

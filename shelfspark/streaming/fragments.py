@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 
 class FragmentMerge(StatefulProcessor):
-    """State per guid: open requests by fingerprint, best (seq, value) by field, and two counts."""
+    """State per guid: open requests by fingerprint, best (seq, value) by field, two counts and the last event time."""
 
     def __init__(self, fields: list[str], silence_ms: int):
         self.fields = fields
@@ -27,15 +27,17 @@ class FragmentMerge(StatefulProcessor):
         self.handle = handle
         self.open = handle.getMapState("open", "fingerprint string", "n bigint")
         self.values = handle.getMapState("values", "field string", "seq bigint, value string")
-        self.counts = handle.getValueState("counts", "outstanding bigint, requests bigint")
+        self.counts = handle.getValueState("counts", "outstanding bigint, requests bigint, seen bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Changes of this micro-batch first, so that an item that starts and ends in it never touches the state.
         changes: dict[str, int] = {}
         first: dict[str, tuple[int, str]] = {}
         new_requests = 0
+        seen = max(timerValues.getCurrentWatermarkInMs(), 0)
         columns = ["kind", "fingerprint", "initial", "ok", "seq", *self.fields]
         for batch in rows:
+            seen = max(seen, int(pd.Timestamp(batch["ts"].max()).timestamp() * 1000))
             # Most groups are a few rows, where plain lists beat frame operations.
             for kind, name, initial, ok, seq, *values in zip(*(batch[c].tolist() for c in columns)):
                 if kind == "request":
@@ -49,7 +51,8 @@ class FragmentMerge(StatefulProcessor):
                         if value is not None and (field not in first or seq < first[field][0]):
                             first[field] = (int(seq), value)
         known = self.counts.exists()
-        outstanding, requests = (int(n) for n in self.counts.get()) if known else (0, 0)
+        outstanding, requests, before_seen = (int(n) for n in self.counts.get()) if known else (0, 0, 0)
+        seen = max(seen, before_seen)
         requests += new_requests
         after: dict[str, int] = {}
         for name, change in changes.items():
@@ -71,10 +74,11 @@ class FragmentMerge(StatefulProcessor):
                 self.open.removeKey((name,))
         for name, pair in first.items():
             self.values.updateValue((name,), pair)
-        self.counts.update((outstanding, requests))
+        self.counts.update((outstanding, requests, seen))
         if known:
             self._drop_timers()
-        self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs(), 0) + self.silence_ms)
+        # Silence counts from the item's own last event: the watermark is still 0 in the first micro-batch.
+        self.handle.registerTimer(seen + self.silence_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         left = int(self.counts.get()[0]) if self.counts.exists() else 0

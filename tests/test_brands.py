@@ -78,3 +78,13 @@ def test_sorted_brands_ignore_case(spark):
 def test_csv_cells(spark):
     row = spark.createDataFrame([('a ,"b, ""c""" ,, "d',)], "v string").select(brands.csv_cells(F.col("v")).alias("c")).first()
     assert row.c == ["a", 'b, "c"', "", '"d']
+
+
+def test_a_very_long_first_word_is_cheap(spark):
+    import time
+
+    titles = spark.createDataFrame([("x" * 2000,), ("abcdefghijklmnopqrstuvwxyz ring",)], "title string")
+    aliases = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyy", "g"), ("short", "s")], "alias string, brand_group string")
+    start = time.perf_counter()
+    got = {r.word[:5]: r.alias for r in brands.first_word_matches(titles, aliases).collect()}
+    assert got == {"abcde": "abcdefghijklmnopqrstuvwxyy"} and time.perf_counter() - start < 30

@@ -97,6 +97,41 @@ def test_leaf_counts_on_an_uneven_tree(spark):
     assert {r.id: r.leaves for r in got.collect()} == {"r": 3, "lonely": 1}
 
 
+def test_leaf_counts_with_orphans_and_cycles(spark):
+    nodes = [("r", None), ("a", "r"), ("x", "gone"), ("y", "x"), ("z", "x"), ("p", "q"), ("q", "p"), ("s", "q")]
+    frame = spark.createDataFrame(nodes, "id string, parent_id string")
+    assert {r.id: r.leaves for r in variants.leaf_counts(frame, pinned).collect()} == {"r": 1, "x": 2}
+    assert {r.id for r in variants.rootless(frame, pinned).collect()} == {"p", "q", "s"}
+
+
+def test_repeated_details_do_not_multiply_variants(spark):
+    rows = spark.createDataFrame([("p", "s", 1.0, False)], "product_id string, sku string, price double, in_stock boolean")
+    details = spark.createDataFrame([("s", 2.0, True, 1), ("s", 3.0, False, 2)], "sku string, price double, add_to_cart boolean, ord int")
+    assert [(r.price, r.in_stock) for r in variants.with_details(rows, details).collect()] == [(3.0, False)]
+
+
+def test_deep_search_survives_deep_and_escaped_documents(spark):
+    docs = ["[" * 60_000 + '"k"' + "]" * 60_000, '{"\\u006b":1}']
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert [r.v for r in df.select(deepsearch.deep_values(F.col("d"), "k").alias("v")).collect()] == [[], ["1"]]
+
+
+def test_unplaced_hits_and_page_facts(spark):
+    hits = spark.createDataFrame([("t", 1, 1), ("t", None, 2), (None, 1, 3), ("t", 2, 4)], "term string, page int, pos int")
+    assert ranking.unplaced_hits(hits).count() == 2
+    pages_ = spark.createDataFrame([("t", 1, 9, 24)], "term string, page int, total_matches int, scraped_results_per_page int")
+    got = {r.page: (r.ranking, r.results_per_page, r.scraped_results_per_page) for r in ranking.with_page_facts(ranking.ranked_hits(hits), pages_).collect()}
+    assert got == {1: (1, 1, 24), 2: (2, 1, None)}
+
+
+def test_archive_stores_one_answer_per_fingerprint(spark, tmp_path):
+    day = dt.date(2018, 5, 7)
+    rows = spark.createDataFrame([("a", day, "f1", 200, False, 1, "old"), ("a", day, "f1", 200, False, 2, "new"), ("a", day, "f2", 200, False, 1, "x")],
+                                 "site string, crawl_date date, fingerprint string, status int, cached boolean, put_ts int, body string")
+    tables.append_archive(rows, str(tmp_path / "a"))
+    assert {(r.fingerprint, r.body) for r in spark.read.parquet(str(tmp_path / "a")).collect()} == {("f1", "new"), ("f2", "x")}
+
+
 def test_spec_map_last_wins_and_sku_removal_takes_one(spark):
     specs = spark.createDataFrame([(1, "model", "a", 1), (1, "model", "b", 2)], "product_id int, name string, value string, ord int")
     assert variants.spec_rows(specs).first().value == "b"
@@ -207,24 +242,46 @@ def test_in_stores_only_needs_marketplace_rows(spark):
     assert (got["rows"].marketplace_prices, got["rows"].marketplace_sellers, got["rows"].marketplace_lowest_price) == ([3.0], ["s"], 0.0)
 
 
-def test_long_marketplace_lists_continue_in_further_records(spark):
-    items = spark.createDataFrame([("1", "a"), ("2", "b")], "product_id string, title string")
-    rows = spark.range(25).select(F.lit("1").alias("product_id"), F.col("id").cast("string").alias("name"), F.col("id").cast("double").alias("price"),
-                                  F.lit("USD").alias("currency"), F.lit(True).alias("in_stock"), "id")
-    got = export.with_marketplace(items, rows, ["id"], chunk=10).orderBy("product_id", "part").collect()
-    assert [(r.product_id, r.title, r.part, None if r.marketplace is None else len(r.marketplace)) for r in got] == [
-        ("1", "a", 0, 10), ("1", None, 1, 10), ("1", None, 2, 5), ("2", "b", 0, None)]
-    assert [m.name for r in got[:3] for m in r.marketplace] == [str(i) for i in range(25)]
-
-
-def test_export_files_leave_out_nulls_and_empty_runs(spark, tmp_path):
-    records = export.export_records(items_frame(spark))
+def test_long_marketplace_lists_leave_the_facts_alone(spark):
+    items = spark.createDataFrame([("1", "a", True), ("2", "b", True)], "product_id string, title string, in_stores boolean")
+    rows = spark.range(1500).select(
+        F.lit("1").alias("product_id"), F.col("id").cast("string").alias("name"), (F.lit(2000.0) - F.col("id")).alias("price"),
+        F.lit("USD").alias("currency"), (F.col("id") == 1499).alias("in_stock"), "id")
+    main, parts = export.with_marketplace(items, rows, ["id"])
+    got = {r.product_id: r for r in export.export_records(main).collect()}
+    assert len(got) == 2 and got["1"].title == "a"
+    sellers = got["1"].sellers
+    assert (sellers.marketplace_lowest_price, sellers.marketplace_in_stock, sellers.marketplace_out_of_stock, sellers.marketplace) == (501.0, 1, 0, 1)
+    rest = parts.orderBy("part").collect()
+    assert [(r.product_id, r.part, len(r.marketplace)) for r in rest] == [("1", 1, 500)]
+    assert sellers.marketplace_sellers + [m.name for r in rest for m in r.marketplace] == [str(i) for i in range(1500)]
+    assert (got["2"].sellers.marketplace, got["2"].sellers.marketplace_prices, got["2"].sellers.marketplace_lowest_price) == (0, [], None)
+    short, none = export.with_marketplace(items, rows.limit(0), ["id"])
+    assert none.count() == 0 and short.count() == 2
+    facts = [export.export_records(export.with_marketplace(items, rows, ["id"], chunk=c)[0]).where("product_id = 1").select("sellers.marketplace_lowest_price", "sellers.marketplace_in_stock").first() for c in (7, 5000)]
+    assert facts[0] == facts[1]
+
+
+def test_export_files_keep_every_key(spark, tmp_path):
+    ddl = "product_id string, title string, buyer_reviews struct<min:int,max:int,stars:map<int,bigint>,count:bigint,average:double,last_review_date:date>, upc string"
+    items = spark.createDataFrame([("1", "a", (1, 5, {1: 2, 5: 3, 3: 0}, 5, 3.4, None), "7"), ("2", None, None, None)], ddl)
+    records = export.export_records(items)
     tables.write_export(records, str(tmp_path / "out"), F.lit("2018-05-07").cast("date"))
-    files = list((tmp_path / "out").glob("y=2018/m=05/d=07/*.json"))
-    lines = [json.loads(line) for f in files for line in f.read_text().splitlines()]
-    assert len(lines) == 3 and all("image_url" not in r for r in lines)
+    files = list((tmp_path / "out").glob("y=2018/m=05/d=07/part-*"))
+    one, two = sorted((json.loads(line) for f in files for line in f.read_text().splitlines()), key=lambda r: r["product_id"])
+    assert set(export.RECORD_KEYS) <= set(one) & set(two)
+    # Null item fields are left out, keys of the record are not.
+    assert one["upc"] == "7" and "upc" not in two and "title" not in two and two["failure_type"] is None and two["proxy_service"] is None
+    assert one["reviews"]["reviews"] == [[5, 3], [3, 0], [1, 2]] and two["reviews"]["reviews"] is None
+    assert (one["reviews"]["min_review"], one["reviews"]["max_review"], two["reviews"]["review_count"]) == (1, 5, 0)
+    page = two["page_attributes"]
+    for name in ("image_colors", "image_dimensions", "image_res", "swatches", "variants", "zoom_image_dimensions", "image_urls", "pdf_urls", "video_urls"):
+        assert page[name] == [], name
+    assert page["htags"] == {} and page["canonical_link"] is None and page["collection_count"] == 0
+    assert two["sellers"]["marketplace_prices"] == [] and two["sellers"]["marketplace_sellers"] == [] and two["sellers"]["marketplace_lowest_price"] is None
+    assert two["product_info"]["product_name"] is None and two["product_info"]["features"] == []
     tables.write_export(records.limit(0), str(tmp_path / "none"), F.lit("2018-05-07").cast("date"))
-    assert not list((tmp_path / "none").glob("**/*.json"))
+    assert not list((tmp_path / "none").glob("**/part-*"))
 
 
 def test_schema_has_all_declared_columns(spark):

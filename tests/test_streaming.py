@@ -40,6 +40,18 @@ def test_fragment_stream_over_batches(spark, tmp_path):
     assert {r.guid: (r.complete, r.outstanding, r.title, r.price) for r in twin.collect()} == got
 
 
+def test_a_late_answer_still_completes_its_item(spark, tmp_path):
+    empty = (None, None, None, None)
+    batches = [
+        [("a", at(0), "request", "f", True, *empty)], [("other", at(15), "request", "g", True, *empty)],
+        [("a", at(20), "response", "f", True, True, 1, "late", None)], [("end", at(300), "request", "h", True, *empty)], [("end", at(301), "response", "h", True, True, 1, None, None)],
+    ]
+    stream = written(spark, tmp_path, *batches, schema=FRAGMENT)
+    runs.drain_to_table(fragments.merged_stream(stream, ["title", "price"], silence=3600), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = {r.guid: (r.complete, r.title) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"a": (True, "late"), "other": (False, None), "end": (True, None)}
+
+
 def test_job_log_stream_joins_a_job_across_batches_and_horizons(spark, tmp_path):
     schema = "job_id string, ord bigint, ts timestamp_ntz, event string, value string, latency double"
     first = [("j", 1, at(0), "request_scheduled", None, None), ("j", 2, at(1), "response_received", "200", 0.5), ("k", 1, at(2), "item_scraped", None, None)]

@@ -150,3 +150,10 @@ def test_ingredients(spark):
     assert column(spark, ["a, b (c, d), e"], text.ingredients_outside_parens) == [["a", "b (c, d)", "e"]]
     assert column(spark, ["a, b (c, d), ,e"], text.ingredients_flat) == [["a", "b", "c", "d", "e"]]
     assert column(spark, ["No", "x , y", "", None], text.ingredients_unless_no) == [None, ["x", "y"], None, None]
+
+
+def test_folds_and_entities_beyond_the_first_plane(spark):
+    df = spark.createDataFrame([("\U0001d400\U0001d401c Caf\u00e9 \U0001f130 \u2460", "&#0000039;&#x00000041;&#55357;&#56832;&#xD83D;&#xDE00;&#55357;x&#9999999;&#128512;")], "a string, b string")
+    row = df.select(text.slug(F.col("a")).alias("a"), text.unescape(F.col("b")).alias("b")).first()
+    assert row.a == "ABc-Cafe-A-1"
+    assert row.b == "'A\U0001f600\U0001f600&#55357;x&#9999999;\U0001f600"
