@@ -116,7 +116,7 @@ def format_chats(conversations: DataFrame, tokenizer: str, learnt: str = "assist
         f"conv_id {id_type(conversations, 'conv_id')}, formatted string, ids array<bigint>, starts array<bigint>, "
         f"ends array<bigint>, mask array<boolean>, turn_spans {span}, loss_spans {span}"
     )
-    return map_rows(whole, rows, schema, batch=200)
+    return map_rows(whole, rows, schema, batch=50)
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -147,7 +147,8 @@ def digests(formatted: DataFrame) -> DataFrame:
         f"conv_id {id_type(formatted, 'conv_id')}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
         "loss_sha256 string, formatted_chars bigint, n_tokens bigint, n_loss_tokens bigint"
     )
-    return map_rows(formatted, rows, schema, batch=200)
+    needed = formatted.select("conv_id", "formatted", "starts", "ends", "mask", "loss_spans")
+    return map_rows(needed, rows, schema, batch=50)
 
 
 def chat_output(conversations: DataFrame, tokenizer: str, **options) -> DataFrame:
