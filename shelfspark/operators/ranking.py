@@ -33,13 +33,20 @@ def with_page_facts(hits: DataFrame, pages: DataFrame) -> DataFrame:
     return hits.join(pages.select("term", "page", "total_matches", "scraped_results_per_page"), ["term", "page"], "left")
 
 
-def ranked_hits(hits: DataFrame) -> DataFrame:
-    """Ranking across pages: hits on earlier pages plus the place on the own page (WIN1, WIN3); see ``unplaced_hits`` for the rest."""
-    hits = hits.where(F.col("term").isNotNull() & F.col("page").isNotNull())
+def placed_hits(hits: DataFrame) -> DataFrame:
+    return hits.where(F.col("term").isNotNull() & F.col("page").isNotNull())
+
+
+def ranked_hits(hits: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Ranking across pages: hits on earlier pages plus the place on the own page (WIN1, WIN3); see ``unplaced_hits`` for the rest.
+
+    ``pages``: the ``page_counts`` of the pages wanted, default all; hits of other pages are left out before they are sorted.
+    """
+    hits = placed_hits(hits)
     on_page = Window.partitionBy("term", "page").orderBy("pos")
     return (
-        hits.withColumn("_at", F.row_number().over(on_page))
-        .join(page_counts(hits), ["term", "page"])
+        hits.join(page_counts(hits) if pages is None else pages, ["term", "page"])
+        .withColumn("_at", F.row_number().over(on_page))
         .withColumn("ranking", F.col("before") + F.col("_at"))
         .drop("_at", "before")
     )
@@ -47,12 +54,14 @@ def ranked_hits(hits: DataFrame) -> DataFrame:
 
 def search_results(hits: DataFrame, quantities: DataFrame | None = None, quantity: int = DEFAULT_QUANTITY) -> DataFrame:
     """The first ``quantity`` hits of each term (SRT1); ``quantities`` (term, quantity) overrides per term."""
-    rows = ranked_hits(hits)
+    pages = page_counts(placed_hits(hits))
     if quantities is None:
-        return rows.where(F.col("ranking") <= quantity)
-    wanted = quantities.select("term", F.col("quantity").alias("_q"))
-    rows = rows.join(wanted, "term", "left").withColumn("_q", F.coalesce(F.nullif("_q", F.lit(0)), F.lit(quantity)))
-    return rows.where(F.col("ranking") <= F.col("_q")).drop("_q")
+        pages = pages.withColumn("_q", F.lit(quantity))
+    else:
+        wanted = quantities.select("term", F.col("quantity").alias("_q"))
+        pages = pages.join(wanted, "term", "left").withColumn("_q", F.coalesce(F.nullif("_q", F.lit(0)), F.lit(quantity)))
+    # Pages that start beyond the limit hold no result; there are few pages and many hits.
+    return ranked_hits(hits, pages.where(F.col("before") < F.col("_q"))).where(F.col("ranking") <= F.col("_q")).drop("_q")
 
 
 def shelf_results(hits: DataFrame, pages: DataFrame) -> DataFrame:
@@ -64,7 +73,8 @@ def shelf_results(hits: DataFrame, pages: DataFrame) -> DataFrame:
     first = counts.groupBy("term").agg(F.min_by("_n", "page").alias("_first"))
     limit = F.coalesce(F.nullif("quantity", F.lit(0)), F.col("_first") * F.coalesce(F.nullif("pages_count", F.lit(0)), F.lit(DEFAULT_PAGES)))
     limits = first.join(pages, "term", "left").select("term", limit.alias("_limit"))
-    return ranked_hits(hits).join(limits, "term").where(F.col("ranking") <= F.col("_limit")).drop("_limit")
+    pages_within = page_counts(placed_hits(hits)).join(limits, "term").where(F.col("before") < F.col("_limit"))
+    return ranked_hits(hits, pages_within).where(F.col("ranking") <= F.col("_limit")).drop("_limit")
 
 
 def with_hit_columns(products: DataFrame, hits: DataFrame, columns: list[str]) -> DataFrame:

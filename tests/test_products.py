@@ -116,6 +116,18 @@ def test_deep_search_survives_deep_and_escaped_documents(spark):
     assert [r.v for r in df.select(deepsearch.deep_values(F.col("d"), "k").alias("v")).collect()] == [[], ["1"]]
 
 
+def test_capped_results_drop_late_pages_before_the_window(spark):
+    hits = spark.range(3000).select(F.lit("t").alias("term"), F.floor(F.col("id") / 24).cast("int").alias("page"), (F.col("id") % 24).cast("int").alias("pos"), "id")
+    got = ranking.search_results(hits)
+    assert [r.id for r in got.orderBy("ranking").collect()] == list(range(100))
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    ranks = next(i for i, line in enumerate(lines) if "row_number()" in line)
+    cut = next(i for i, line in enumerate(lines) if "< 100)" in line)  # the pages' limit, below the ranking window
+    assert ranks < cut
+    few = ranking.search_results(hits, spark.createDataFrame([("t", 30)], "term string, quantity int"))
+    assert few.count() == 30
+
+
 def test_unplaced_hits_and_page_facts(spark):
     hits = spark.createDataFrame([("t", 1, 1), ("t", None, 2), (None, 1, 3), ("t", 2, 4)], "term string, page int, pos int")
     assert ranking.unplaced_hits(hits).count() == 2
