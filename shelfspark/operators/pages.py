@@ -155,16 +155,18 @@ def extract_fields(pages: DataFrame, candidates: list[Candidate]) -> DataFrame:
 SiteHook = Callable[[DataFrame], DataFrame]
 
 
-def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook], store: str) -> DataFrame:
+def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook], store: str, default: SiteHook | None = None) -> DataFrame:
     """Run each site's own DataFrame function on its pages and union the results (UDF3).
 
     The pages of these sites are written once under ``store``, by site, so that each hook
-    reads its own partition instead of the whole corpus.
+    reads its own partition instead of the whole corpus. ``default`` runs on the pages of all other sites, where they are.
     """
-    rows = pages.withColumn("site", codes.domain(F.col("url"))).where(F.col("site").isin(*hooks))
+    sited = pages.withColumn("site", codes.domain(F.col("url")))
+    hooked = F.coalesce(F.col("site").isin(*hooks), F.lit(False))
+    rows = sited.where(hooked)
     rows.write.partitionBy("site").mode("overwrite").parquet(store)
     stored = pages.sparkSession.read.schema(rows.schema).parquet(store)
-    out = None
+    out = None if default is None else default(sited.where(~hooked))
     for name, hook in hooks.items():
         part = hook(stored.where(F.col("site") == name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)

@@ -104,15 +104,14 @@ def _(t):
     return op.extract_fields(_rich(t), _PROFILES)
 
 
-@query("udf3_site_hooks", f"""SELECT page_id, {_DOMAIN} AS site, CASE WHEN url LIKE '%casino-win%' THEN length(html) END AS size,
-  CASE WHEN url LIKE '%spam-farm%' THEN split_part(url, '?', 1) END AS bare FROM pages
-WHERE {_DOMAIN} IN ('casino-win.example.org', 'spam-farm.example.org')""")
+@query("udf3_site_hooks", f"""SELECT page_id, {_DOMAIN} AS site, CASE WHEN {_DOMAIN} = 'casino-win.example.org' THEN length(html) END AS size,
+  CASE WHEN {_DOMAIN} = 'spam-farm.example.org' THEN split_part(url, '?', 1) END AS bare FROM pages""")
 def _(t):
     hooks = {
         "casino-win.example.org": lambda df: df.select("page_id", "site", F.length("html").cast("bigint").alias("size")),
         "spam-farm.example.org": lambda df: df.select("page_id", "site", codes.without_query(F.col("url")).alias("bare")),
     }
-    return op.apply_site_hooks(t.pages, hooks, work_path(t.spark, "sites"))
+    return op.apply_site_hooks(t.pages, hooks, work_path(t.spark, "sites"), default=lambda df: df.select("page_id", "site"))
 
 
 @query("pag6_listing_links", """WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS a FROM pages)
