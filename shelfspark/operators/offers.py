@@ -32,7 +32,7 @@ def _any(c: Column) -> Column:
 def eligible_offers(offers: DataFrame, reference: DataFrame, house_id, include_oos: bool = False) -> DataFrame:
     """Offers a product page shows (FIL8).
 
-    ``reference`` holds (product_id, reference_price). A marketplace offer needs a
+    ``reference`` holds (product_id, reference_price), one row per product. A marketplace offer needs a
     reference price. One that is out of stock is kept only if nothing is in stock, it
     is online and its price equals the reference; the first such offer ends the list.
     """
@@ -41,18 +41,17 @@ def eligible_offers(offers: DataFrame, reference: DataFrame, house_id, include_o
     valid = ~F.coalesce(F.col("offer_type").isin(*INVALID_TYPES), F.lit(False))
     marketplace = F.coalesce(F.col("seller_id") != house_id, F.lit(False))
     offers = offers.withColumns({"_stocked": stocked, "_online": online, "_valid": valid, "_market": marketplace})
-    facts = offers.groupBy(*KEY).agg(
+    priced = reference.where(F.col("reference_price") != 0)
+    stops = F.col("_market") & F.col("_online") & ~F.col("_stocked") & (F.col("price") == F.col("reference_price"))
+    # All facts of a product in one aggregate, which brings the reference price back to the rows as well.
+    facts = offers.join(priced, KEY, "left").groupBy(*KEY).agg(
         F.bool_or("_stocked").alias("_any_stocked"),
         F.bool_or(F.col("_stocked") & F.col("_online")).alias("_any_online"),
         F.bool_or("_valid").alias("_any_valid"),
         F.min("ord").alias("_first"),
+        F.max("reference_price").alias("reference_price"),
+        F.min(F.when(stops, F.col("ord"))).alias("_stop"),
     )
-    stops = (
-        offers.where(F.col("_market") & F.col("_online") & ~F.col("_stocked"))
-        .groupBy(*KEY, F.col("price").alias("reference_price")).agg(F.min("ord").alias("_stop"))
-    )
-    priced = reference.where(F.col("reference_price") != 0)
-    facts = facts.join(priced.join(stops, [*KEY, "reference_price"], "left"), KEY, "left")
     facts = facts.withColumn("_stop", F.when(~F.col("_any_stocked"), F.col("_stop")))
     c = F.col
     has_ref = c("reference_price").isNotNull()

@@ -122,7 +122,7 @@ def _attribute_candidate(html: Column, expr: str) -> Column:
 METHODS: dict[str, Callable[[Column, str], Column]] = {
     "regex": lambda html, expr: truthy(F.regexp_extract(html, expr, 1), "string"),
     "attribute": _attribute_candidate,
-    "json_ld": lambda html, expr: F.try_variant_get(json_ld(html), expr, "string"),
+    "json_ld": lambda html, expr: F.try_variant_get(F.col("_ld"), expr, "string"),
     "constant": lambda html, expr: F.lit(expr),
 }
 
@@ -137,6 +137,9 @@ def extract_fields(pages: DataFrame, candidates: list[Candidate]) -> DataFrame:
     """
     site = F.col("site")
     rows = pages.withColumn("site", codes.domain(F.col("url")))
+    if any(c.method == "json_ld" for c in candidates):
+        # Parsed once per page, however many candidates look into it.
+        rows = rows.withColumn("_ld", json_ld(F.col("html")))
     columns = []
     for field in sorted({c.field for c in candidates}):
         chains: dict[str, list[Candidate]] = {}

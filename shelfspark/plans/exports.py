@@ -245,12 +245,13 @@ def _(t):
     return titles.withColumn("title_key", brands.title_key(F.col("title"))).join(found, "title_key").select("p_partkey", "alias")
 
 
-@query("udf6_similarity", """SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 100 WHEN s_suppkey % 4 = 1 THEN CAST(floor(200.0 * 18 / 37 + 0.5) AS INTEGER) ELSE 0 END AS score FROM supplier""")
+@query("udf6_similarity", """WITH s AS (SELECT s_suppkey, s_suppkey % 11 = 0 AS other, length(s_name) AS n, s_suppkey % 5 AS cut, s_suppkey % 7 AS added FROM supplier)
+SELECT s_suppkey, CASE WHEN other THEN 0 ELSE CAST(floor(200.0 * (n - cut) / (2 * n - cut + added) + 0.5) AS INTEGER) END AS score FROM s""")
 def _(t):
-    name = F.lower("s_name")
-    kind = F.col("s_suppkey") % 4
-    other = F.when(kind == 0, name).when(kind == 1, F.concat(name, F.lit("x"))).otherwise(F.lit("!!"))
-    return t.supplier.select("s_suppkey", brands.similarity_udf(name, other).alias("score"))
+    # A name against itself without its first letters and with letters it lacks at the end; or against nothing it shares.
+    name, k = F.lower("s_name"), F.col("s_suppkey")
+    near = F.concat(F.substring(name, (k % 5 + 1).cast("int"), F.length(name)), F.repeat(F.lit("x"), (k % 7).cast("int")))
+    return t.supplier.select("s_suppkey", brands.similarity_udf(name, F.when(k % 11 == 0, "!!").otherwise(near)).alias("score"))
 
 
 # ---- deep search ----------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from shelfspark.operators import merge
@@ -12,6 +14,7 @@ from shelfspark.streaming import fragments, jobs, leases, runs
 from shelfspark.streaming import intake as stream_intake
 
 FIELDS = ["title", "price"]
+_END = "end"
 
 
 def _stream(t, name):
@@ -43,6 +46,28 @@ def _(t):
     return t.spark.read.parquet(out).where("complete").select("guid", *FIELDS)
 
 
+@query("st1_leftovers", f"""WITH {_FRAGMENT_SQL}
+SELECT guid, outstanding = 0 AS complete, outstanding::BIGINT AS outstanding, title, price FROM g""")
+def _(t):
+    """Requests, two shares of the answers and an end mark as separate runs of one stream; items without all answers leave incomplete."""
+    rows = fragment_rows(t.events)
+    first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return t.spark.createDataFrame([], f"guid string, complete boolean, outstanding bigint, {', '.join(f'{n} string' for n in FIELDS)}")
+    span = int((last - first).total_seconds()) + 60
+    answer = F.col("kind") == "response"
+    end = t.spark.range(1).select(*[F.lit(v).cast(rows.schema[n].dataType).alias(n) for n, v in {
+        "guid": _END, "ts": last + dt.timedelta(seconds=2 * span + 7200), "fingerprint": _END, "initial": False, "ok": True, "seq": 0, "kind": "request"}.items()])
+    source, out, state = (work_path(t.spark, n) for n in ("fragments-in", "fragments", "fragments-state"))
+    shares = [rows.where(~answer), rows.where(answer & F.col("initial")), rows.where(answer & ~F.col("initial")), end]
+    for share in shares:
+        rows.limit(0).unionByName(share, allowMissingColumns=True).write.mode("append").parquet(source)
+        stream = runs.file_stream(t.spark, source, "*.parquet", rows.schema)
+        # Answers may come as late as the whole table is long, and nobody is silent for longer.
+        runs.drain_to_table(fragments.merged_stream(stream, FIELDS, silence=3600, delay=f"{span} seconds"), out, state)
+    return t.spark.read.parquet(out).where(F.col("guid") != _END)
+
+
 @query("st1_batch_twin", f"WITH {_FRAGMENT_SQL} SELECT guid, title, price FROM g WHERE outstanding = 0")
 def _(t):
     rows = fragment_rows(t.events)

@@ -7,6 +7,7 @@ silent leaves incomplete when its timer fires, so no state is kept for ever.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,7 +18,11 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 
 class FragmentMerge(StatefulProcessor):
-    """State per guid: open requests by fingerprint, best (seq, value) by field, two counts and the last event time."""
+    """One state value per guid, read and written at most once a micro-batch.
+
+    It holds, as JSON, the number of requests, the last event time, the open requests by fingerprint and the best
+    [seq, value] of each field; an item has few of either.
+    """
 
     def __init__(self, fields: list[str], silence_ms: int):
         self.fields = fields
@@ -25,65 +30,44 @@ class FragmentMerge(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "fingerprint string", "n bigint")
-        self.values = handle.getMapState("values", "field string", "seq bigint, value string")
-        self.counts = handle.getValueState("counts", "outstanding bigint, requests bigint, seen bigint")
+        self.item = handle.getValueState("item", "item string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Changes of this micro-batch first, so that an item that starts and ends in it never touches the state.
-        changes: dict[str, int] = {}
-        first: dict[str, tuple[int, str]] = {}
-        new_requests = 0
-        seen = max(timerValues.getCurrentWatermarkInMs(), 0)
+        stored = self.item.get()
+        requests, seen, open_, best = json.loads(stored[0]) if stored else (0, 0, {}, {})
+        seen = max(seen, timerValues.getCurrentWatermarkInMs())
         columns = ["kind", "fingerprint", "initial", "ok", "seq", *self.fields]
         for batch in rows:
             seen = max(seen, int(pd.Timestamp(batch["ts"].max()).timestamp() * 1000))
             # Most groups are a few rows, where plain lists beat frame operations.
             for kind, name, initial, ok, seq, *values in zip(*(batch[c].tolist() for c in columns)):
                 if kind == "request":
-                    new_requests += 1
-                    changes[name] = changes.get(name, 0) + 1
+                    requests += 1
+                    open_[name] = open_.get(name, 0) + 1
                 elif ok or not initial:
                     # A failed answer settles a request, except the initial one.
-                    changes[name] = changes.get(name, 0) - 1
+                    open_[name] = open_.get(name, 0) - 1
                 if kind == "response" and ok:
                     for field, value in zip(self.fields, values):
-                        if value is not None and (field not in first or seq < first[field][0]):
-                            first[field] = (int(seq), value)
-        known = self.counts.exists()
-        outstanding, requests, before_seen = (int(n) for n in self.counts.get()) if known else (0, 0, 0)
-        seen = max(seen, before_seen)
-        requests += new_requests
-        after: dict[str, int] = {}
-        for name, change in changes.items():
-            before = int(self.open.getValue((name,))[0]) if known and self.open.containsKey((name,)) else 0
-            after[name] = before + change
-            outstanding += max(after[name], 0) - max(before, 0)
-        for name in self.fields if known else ():
-            if self.values.containsKey((name,)):
-                seq, value = self.values.getValue((name,))
-                if name not in first or int(seq) <= first[name][0]:
-                    first[name] = (int(seq), value)
-        if requests and not outstanding:
-            yield self._emit(key, True, 0, first, known)
+                        if value is not None and (field not in best or seq < best[field][0]):
+                            best[field] = [int(seq), value]
+        if requests and not self._outstanding(open_):
+            yield self._emit(key, True, open_, best)
+            if stored:
+                self._forget()
             return
-        for name, n in after.items():
-            if n:
-                self.open.updateValue((name,), (n,))
-            elif known and self.open.containsKey((name,)):
-                self.open.removeKey((name,))
-        for name, pair in first.items():
-            self.values.updateValue((name,), pair)
-        self.counts.update((outstanding, requests, seen))
-        if known:
+        self.item.update((json.dumps([requests, seen, {name: n for name, n in open_.items() if n}, best]),))
+        if stored:
             self._drop_timers()
         # Silence counts from the item's own last event: the watermark is still 0 in the first micro-batch.
         self.handle.registerTimer(seen + self.silence_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        left = int(self.counts.get()[0]) if self.counts.exists() else 0
-        kept = {n: self.values.getValue((n,)) for n in self.fields if self.values.containsKey((n,))}
-        yield self._emit(key, False, left, kept, True)
+        stored = self.item.get()
+        if stored:
+            _, _, open_, best = json.loads(stored[0])
+            yield self._emit(key, False, open_, best)
+            self._forget()
 
     def close(self) -> None:
         pass
@@ -92,14 +76,17 @@ class FragmentMerge(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 
-    def _emit(self, key, complete: bool, outstanding: int, values: dict, stored: bool) -> pd.DataFrame:
-        out = {"guid": key[0], "complete": complete, "outstanding": outstanding}
-        out.update({name: values[name][1] if name in values else None for name in self.fields})
-        if stored:
-            self._drop_timers()
-            self.open.clear()
-            self.values.clear()
-            self.counts.clear()
+    def _forget(self) -> None:
+        self._drop_timers()
+        self.item.clear()
+
+    @staticmethod
+    def _outstanding(open_: dict[str, int]) -> int:
+        return sum(n for n in open_.values() if n > 0)
+
+    def _emit(self, key, complete: bool, open_: dict[str, int], best: dict[str, list]) -> pd.DataFrame:
+        out = {"guid": key[0], "complete": complete, "outstanding": self._outstanding(open_)}
+        out.update({name: best[name][1] if name in best else None for name in self.fields})
         return pd.DataFrame([out])
 
 
