@@ -6,6 +6,7 @@ loaded, per character. Names, paths and anything written before cost little; ran
 """
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -65,7 +66,11 @@ class SecretScanner:
         return sorted(found)
 
     def _novel(self, text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        taken, at, new = sorted((a, b) for a, _, b in found), 0, []
+        # Base spans in order, with the furthest end so far: a span before ``end`` reaches past ``start`` if that end does.
+        starts, ends, at, new = [], [], 0, []
+        for a, _, b in sorted(found):
+            starts.append(a)
+            ends.append(max(b, ends[-1]) if ends else b)
         for word in self.sensitive.finditer(text):
             start = max(at, word.end())
             for m in self.candidate.finditer(text, start, min(len(text), word.end() + self.reach + 512)):
@@ -74,7 +79,8 @@ class SecretScanner:
                 # The run may go on beyond the stretch searched.
                 end = self._run_end(text, m.end())
                 at = end
-                if not any(a < end and m.start() < b for a, b in taken) and self.marginal(text, m.start(), end) >= self.novelty:
+                before = bisect_left(starts, end)
+                if not (before and ends[before - 1] > m.start()) and self.marginal(text, m.start(), end) >= self.novelty:
                     new.append((m.start(), 3, end))
         return new
 

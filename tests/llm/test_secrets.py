@@ -48,6 +48,17 @@ def test_novelty_needs_a_sensitive_word_and_random_text():
     assert scanner.spans(repeated) == []
 
 
+def test_many_spans_in_one_text_take_time_in_step_with_its_length():
+    scanner = S.SecretScanner()
+    key = lambda i: hashlib.sha256(str(i).encode()).hexdigest().upper()[:30]
+    long = "".join(f"token=abcdefgh12345678 bearer X{key(i)}zQ " for i in range(20_000))
+    found = scanner.spans(long)
+    assert [s for s in found if s[1] != 3] == base(long)
+    taken = [(a, b) for a, k, b in found if k != 3]
+    novel = [(a, b) for a, k, b in found if k == 3]
+    assert novel and not any(a < d and c < b for a, b in novel[:50] for c, d in taken[:500])
+
+
 def test_redaction(spark, edge):
     rows = [(1, "a password=abcdefghijklmnop b"), (2, None), (3, "clean")]
     out = S.redacted(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
