@@ -146,6 +146,7 @@ def unescape(markup: Column) -> Column:
 
 def clean_markup(markup: Column) -> Column:
     """Unlink, drop attributes, div and span, undo entities, trim; other tags stay."""
+    # What the clean-up takes out, in this order.
     text = F.regexp_replace(markup, r"(?d)<a href.*?>(.*?)</a>", "$1")
     text = F.regexp_replace(text, r"(<\w+)[^>]*?(/?>)", "$1$2")
     text = F.regexp_replace(text, r"</?div>|</?span>", "")

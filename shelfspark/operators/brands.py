@@ -252,3 +252,14 @@ def guess_brands(titles: DataFrame, aliases: DataFrame) -> DataFrame:
     key = F.when(F.col("_b1").isNull(), title_key(F.col("title"))).otherwise(settled)
     rows = rows.withColumn("title_key", key).join(by_set, "title_key", "left").drop("title_key")
     return rows.withColumn("brand", F.coalesce("_b1", "_b2")).drop("_b1", "_b2")
+
+
+def fill_brands(items: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Guessed brands for the items that have a title and no brand; all other rows and values stay."""
+    missing = F.coalesce(F.col("title") != "", F.lit(False)) & (F.coalesce("brand", F.lit("")) == "")
+    titles = items.where(missing).select("title").distinct()
+    guessed = guess_brands(titles, aliases).where("brand IS NOT NULL").select("title", F.col("brand").alias("_guess"))
+    # Rows that need no guess get a key no title has, so that they spread over all partitions.
+    key = F.when(missing, F.col("title")).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(f"`{c}`") for c in items.columns]).cast("string")))
+    rows = items.withColumn("_title", key).join(guessed.withColumnRenamed("title", "_title"), "_title", "left")
+    return rows.withColumn("brand", F.coalesce("_guess", "brand")).drop("_title", "_guess")

@@ -94,6 +94,7 @@ def choose_feed(candidates: DataFrame) -> DataFrame:
 
 # ---- vendor feeds ---------------------------------------------------------
 
+# Keys and markup of the vendors' payloads, here and in the readers below.
 _STATS = "struct<RatingDistribution:array<struct<RatingValue:int,Count:bigint>>,TotalReviewCount:bigint,AverageOverallRating:double,LastSubmissionTime:string>"
 _DISTRIBUTION = f"BatchedResults struct<q0:struct<Results:array<struct<ReviewStatistics:{_STATS}>>>>"
 _ROLL = "struct<rating_histogram:array<bigint>,review_count:bigint,average_rating:double>"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Field names of the product item.
 PRODUCT = """
 url string, title string, site string, ranking bigint, search_term string, total_matches bigint, results_per_page bigint,
 scraped_results_per_page bigint, is_single_result boolean, invalid_url boolean, redirect boolean,

@@ -88,3 +88,12 @@ def test_a_very_long_first_word_is_cheap(spark):
     start = time.perf_counter()
     got = {r.word[:5]: r.alias for r in brands.first_word_matches(titles, aliases).collect()}
     assert got == {"abcde": "abcdefghijklmnopqrstuvwxyy"} and time.perf_counter() - start < 30
+
+
+def test_only_items_with_a_title_and_no_brand_get_a_guess(spark):
+    aliases = spark.createDataFrame([("acme", "Acme"), ("zenith", "Zenith")], "alias string, brand_group string")
+    rows = [(1, "Acme kettle", None), (2, "Acme kettle", ""), (3, "Acme kettle", "Own"), (4, None, None), (5, "", None), (6, "nothing known", None), (7, "Super zenith tv", None), (7, "Super zenith tv", None)]
+    got = brands.fill_brands(spark.createDataFrame(rows, "id int, title string, brand string"), aliases).collect()
+    assert sorted((r.id, r.title, r.brand) for r in got if r.title) == [
+        (1, "Acme kettle", "Acme"), (2, "Acme kettle", "Acme"), (3, "Acme kettle", "Own"), (6, "nothing known", None), (7, "Super zenith tv", "Zenith"), (7, "Super zenith tv", "Zenith")]
+    assert sorted((r.id, r.title, r.brand) for r in got if not r.title) == [(4, None, None), (5, "", None)]

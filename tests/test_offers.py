@@ -28,6 +28,13 @@ def expected(offers, reference, include_oos):
     return [offers[i]["offer_id"] for i in places if i <= end and (i in ordinary or i == end)]
 
 
+def test_facts_of_a_product_are_one_aggregate(spark):
+    rows = spark.createDataFrame([], "product_id int, offer_id string, seller_id int, ord int, offer_type string, availability string, price int")
+    kept = op.eligible_offers(rows, spark.createDataFrame([], "product_id int, reference_price int"), HOUSE)
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate [") == 1 and plan.count("Join ") == 2
+
+
 def random_offers(seed, products=300):
     rnd = random.Random(seed)
     out, refs = [], {}
