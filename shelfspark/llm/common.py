@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -50,6 +52,15 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, where its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str, batch: int = 2000) -> DataFrame:
     """``mapInArrow`` for generators that take one column dict per batch and yield column dicts.
 
@@ -63,6 +74,9 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], sc
         source = (b.slice(i, batch).to_pydict() for b in batches for i in range(0, b.num_rows, batch))
         for out in rows(source):
             yield pa.RecordBatch.from_arrays([pa.array(out[n], types[n]) for n in names], names)
+        # The worker lives on and runs other tasks; without this its freed memory would still count as the executor's.
+        del source
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -22,7 +22,7 @@ class WordEncoder:
     pieces and never keeps long ones: that bounds memory and changes no result. Any other tokenizer encodes texts whole.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000, longest: int = 64):
+    def __init__(self, path: str, limit: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
