@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfspark.session import prepare, work_path
 
 #: Upper bound of one Arrow batch on its way to Python; long texts then make short batches.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:

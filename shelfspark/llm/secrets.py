@@ -9,11 +9,11 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import id_type, map_rows, ready, texts_of
+from shelfspark.llm.common import give_back, id_type, map_rows, ready, texts_of
 
 # The base patterns.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -120,11 +120,12 @@ def redacted(docs: DataFrame, mark: str = "[secret]", **options) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans go together, null texts stay null."""
     ready(docs.sparkSession)
 
-    @F.pandas_udf("string")
-    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = SecretScanner(**options)
         for texts in parts:
-            yield texts.map(lambda t: t if t is None else without(t, scanner.spans(t), mark))
+            yield pa.array((t if t is None else without(t, scanner.spans(t), mark) for t in texts.to_pylist()), pa.string())
+        give_back()
 
     return docs.withColumn("text", clean("text"))
 
