@@ -3,52 +3,130 @@
 The units of a document are its lines, its paragraphs (between blank lines, where they have several lines) and the whole.
 Unit and template are normalised: small letters, only letters and digits, single blanks. The coefficient is ``2 common / (a + b)``
 over multisets of adjacent word pairs. At a limit ``t`` the smaller side must have at least ``t / (2 - t)`` of the larger
-one's pairs, so each unit meets only templates within these bounds of its own size.
+one's pairs; units beyond these bounds of all templates are left out, the others look up their pairs in an index of the
+templates' pairs. Templates are the usual wordings of notices, titles and, from ``license_texts``, whole licence texts.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
 from shelfspark.llm.common import id_type, map_rows, texts_of
 from shelfspark.llm.decontamination import words_of
 
-# Short notices by which these public licences are named in files, by SPDX id.
-TEMPLATES = {
+#: Whole licence texts, one file each, named by SPDX id; read where the job is made, and sent to tasks with it.
+TEXTS = {f.stem: f.read_text(encoding="utf-8") for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
+def gnu(name: str, version: str, only: str, later: str) -> dict[str, tuple[str, ...]]:
+    """Wordings for one version of a GNU licence."""
+    short = "".join(w[0] for w in name.split())
+    v = version.removesuffix(".0")
+    sentence = (
+        "you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation, "
+        "either version {} of the License, or (at your option) any later version.")
+    return {
+        only: (
+            f"This work is licensed under the {name}, version {v}.", f"Licensed under the {name}, version {v}.", f"Licensed under the {name} v{version}.",
+            f"Released under the {name}, version {v}.", f"Licensed under the {short} version {v}.", f"Licensed under the {short} v{v}.",
+            f"This program is licensed under the terms of the {name} version {v}.", f"SPDX-License-Identifier: {only}"),
+        later: (
+            f"This program is free software: {sentence.format(name, v)}", f"This program is free software; {sentence.format(name, version)}",
+            f"This library is free software; {sentence.format(name, version)}", f"Licensed under the {name}, version {v} or later.",
+            f"This work is licensed under the {name}, version {v} or any later version.", f"SPDX-License-Identifier: {later}"),
+    }
+
+
+def named(name: str, spdx: str) -> tuple[str, ...]:
+    """The usual one-sentence wordings that give a licence by its name."""
+    return (
+        f"Licensed under the {name}.", f"Released under the {name}.", f"This work is licensed under the {name}.", f"This project is licensed under the {name}.",
+        f"Distributed under the {name}.", f"This software is released under the {name}.", f"SPDX-License-Identifier: {spdx}")
+
+
+def creative(kind: str, name: str, version: str) -> tuple[str, ...]:
+    long = f"Creative Commons {name} {version} International License"
+    return (
+        f"Licensed under CC {kind} {version}.", f"This work is licensed under CC {kind} {version}.", f"This work is licensed under a {long}.",
+        f"This work is licensed under the {long}.", f"Licensed under the {long}.",
+        f"This work is licensed under a {long}. To view a copy of this license, visit https://creativecommons.org/licenses/{kind.lower()}/{version}/.",
+        f"SPDX-License-Identifier: CC-{kind}-{version}")
+
+
+# Notices by which public licences are named in files, by SPDX id.
+NOTICES = {
     "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
+        *named("Apache License, Version 2.0", "Apache-2.0"), *named("Apache 2.0 License", "Apache-2.0"),
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions "
+        "and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
     ),
     "MIT": (
-        "Licensed under the MIT License.",
-        "Released under the MIT License.",
+        *named("MIT License", "MIT"), "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+        "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.",
     ),
+    "ISC": named("ISC License", "ISC"),
+    "Zlib": named("zlib License", "Zlib"),
+    "0BSD": named("Zero-Clause BSD License", "0BSD"),
+    "BSL-1.0": (*named("Boost Software License, Version 1.0", "BSL-1.0"), "Boost Software License - Version 1.0 - August 17th, 2003"),
+    "Unlicense": (*named("Unlicense", "Unlicense"), "This is free and unencumbered software released into the public domain."),
+    "BSD-2-Clause": (*named("BSD 2-Clause License", "BSD-2-Clause"), *named("Simplified BSD License", "BSD-2-Clause")),
     "BSD-3-Clause": (
-        "Licensed under the BSD 3-Clause License.",
+        *named("BSD 3-Clause License", "BSD-3-Clause"), *named("New BSD License", "BSD-3-Clause"),
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
     ),
-    "GPL-3.0-or-later": (
-        "Licensed under the GNU General Public License v3.0.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or (at your option) any later version.",
-    ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC0-1.0": ("Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    **gnu("GNU General Public License", "2.0", "GPL-2.0-only", "GPL-2.0-or-later"),
+    **gnu("GNU General Public License", "3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    **gnu("GNU Lesser General Public License", "2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"),
+    **gnu("GNU Lesser General Public License", "3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    **gnu("GNU Affero General Public License", "3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "AGPL-3.0": ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",),
+    "GPL-2.0": ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",),
+    "GPL-3.0": ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "LGPL-2.1": ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",),
+    "LGPL-3.0": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "MPL-2.0": (
+        *named("Mozilla Public License 2.0", "MPL-2.0"), *named("Mozilla Public License, Version 2.0", "MPL-2.0"), "Mozilla Public License Version 2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+        "You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "EPL-2.0": (*named("Eclipse Public License 2.0", "EPL-2.0"), *named("Eclipse Public License, Version 2.0", "EPL-2.0")),
+    "CC-BY-4.0": creative("BY", "Attribution", "4.0"),
+    "CC-BY-SA-4.0": creative("BY-SA", "Attribution-ShareAlike", "4.0"),
+    "CC-BY-NC-4.0": creative("BY-NC", "Attribution-NonCommercial", "4.0"),
+    "CC-BY-ND-4.0": creative("BY-ND", "Attribution-NoDerivatives", "4.0"),
+    "CC-BY-NC-SA-4.0": creative("BY-NC-SA", "Attribution-NonCommercial-ShareAlike", "4.0"),
+    "CC-BY-NC-ND-4.0": creative("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives", "4.0"),
+    "CC0-1.0": (
+        "Released under CC0 1.0.", "Licensed under CC0 1.0.", "This work is licensed under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related rights to this work.", "SPDX-License-Identifier: CC0-1.0"),
 }
+#: Licences whose first paragraph tells them from others, for copies inside longer texts.
+OPENINGS = ("MIT", "ISC", "Unlicense", "BSL-1.0")
 
 
-def bigrams(words: list[bytes]) -> Counter:
-    return Counter(zip(words, words[1:]))
+def opening(text: str) -> str:
+    """The first paragraph of a text that is no title or copyright line."""
+    return next(p for p in text.split("\n\n") if len(words_of(p)) > 20)
 
 
-def dice(a: Counter, b: Counter) -> float:
-    total = a.total() + b.total()
-    return 2 * (a & b).total() / total if total else 0.0
+TEMPLATES = {
+    name: (*dict.fromkeys(NOTICES.get(name, ())), *([opening(TEXTS[name])] if name in OPENINGS else []), *([TEXTS[name]] if name in TEXTS else []))
+    for name in sorted({*NOTICES, *TEXTS})
+}
+
+
+def bigrams(words: list[bytes]) -> Counter:
+    return Counter(zip(words, words[1:]))
 
 
 def units(text: str) -> list[tuple[int, str]]:
@@ -75,7 +153,10 @@ class LicenseScanner:
         self.least = limit / (2 - limit)
         self.small = min((n for _, _, n in self.templates), default=1) * self.least
         self.large = max((n for _, _, n in self.templates), default=0) / self.least
-        self.known = {w for _, pairs, _ in self.templates for pair in pairs for w in pair}
+        self.holders: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
+        for t, (_, pairs, _) in enumerate(self.templates):
+            for pair, times in pairs.items():
+                self.holders.setdefault(pair, []).append((t, times))
 
     def scan(self, text: str) -> list[tuple[int, str, float]]:
         """(first line, licence, coefficient) of each unit's best template at or over the limit."""
@@ -83,14 +164,23 @@ class LicenseScanner:
         for line, unit in units(text):
             words = words_of(unit)
             n = len(words) - 1
-            # At the limit, more than a third of a unit's pairs are the template's, so some word of every few is known.
-            if not self.small <= n <= self.large or self.known.isdisjoint(words):
+            if not self.small <= n <= self.large:
+                continue
+            pairs = bigrams(words)
+            # Pairs in common with each template, from the pairs of the unit that any template holds. At the limit these are
+            # at least ``least`` of the unit's own.
+            shared = pairs.keys() & self.holders.keys()
+            if sum(pairs[p] for p in shared) < self.least * n * 0.999:
                 continue
-            pairs, best = bigrams(words), None
-            for name, other, size in self.templates:
-                if n < self.least * size or size < self.least * n:
-                    continue
-                score = dice(pairs, other)
+            common: Counter = Counter()
+            for pair in shared:
+                times = pairs[pair]
+                for t, own in self.holders[pair]:
+                    common[t] += min(times, own)
+            best = None
+            for t, both in sorted(common.items()):
+                name, _, size = self.templates[t]
+                score = 2 * both / (n + size)
                 if score >= self.limit and (best is None or score > best[2]):
                     best = (line, name, score)
             if best:

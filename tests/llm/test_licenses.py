@@ -3,7 +3,7 @@ from collections import Counter
 from shelfspark.llm import licenses as L
 from shelfspark.llm import queries
 from shelfspark.llm.decontamination import words_of
-from tests.llm.conftest import EDGE, SF_DIR, same
+from tests.llm.conftest import EDGE, SF_DIR, prose, same
 
 
 def brute(text, limit=0.8):
@@ -47,3 +47,28 @@ def test_query(spark, small, empty):
     same(got, [(d, len(m), ",".join(sorted({x[1] for x in m}))) for d, m in ((d, brute(t)) for d, t in small[1])])
     assert any(n for _, n, _ in got)
     assert L.license_scan(empty).collect() == []
+
+
+def names(text):
+    return {m[1] for m in L.LicenseScanner(L.TEMPLATES, 0.8).scan(text)}
+
+
+def test_usual_wordings_are_found():
+    for line, name in (
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-only"),
+        ("Released under the MIT License.", "MIT"), ("This project is licensed under the MIT License", "MIT"),
+        ("Licensed under the GNU Affero General Public License v3.0.", "AGPL-3.0-only"), ("Licensed under the BSD 2-Clause License.", "BSD-2-Clause"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-only"), ("Released under the ISC License.", "ISC"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"),
+    ):
+        assert names(f"{prose(3, 90)}\n{line}\n{prose(4, 90)}") == {name}, line
+    assert names("\n".join(prose(i, 60) for i in range(50))) == set()
+
+
+def test_whole_texts_are_found():
+    for name, text in L.TEXTS.items():
+        assert (0, name) in {m[:2] for m in L.LicenseScanner(L.TEMPLATES, 0.8).scan(f"Copyright (c) 2024 Some One\n\n{text}")}, name
+    lines = L.TEXTS["MIT"].split("\n")
+    assert names("\n".join([prose(1, 400), "", "Copyright (c) 2024 Some One", "", *lines, "", prose(2, 400)])) == {"MIT"}
+    assert names("\n".join([prose(1, 40), *(f"# {x}" for x in lines), prose(2, 20)])) == {"MIT"}
