@@ -50,3 +50,34 @@ def test_clean_driver_documents_stay(spark):
 
 def test_empty(empty):
     assert bands.quality_rules(empty).collect() == []
+
+
+def test_noise_of_printable_characters_is_out_of_band():
+    import base64
+    import random
+    import string
+
+    r, press = random.Random(4), zstandard.ZstdCompressor(level=3)
+    words = lambda n: " ".join("".join(r.choices(string.ascii_letters + string.digits, k=r.randint(3, 10))) for _ in range(n // 6))[:n].encode()
+    for n in (600, 1000, 1900, 4000, 4096, 20_000, 100_000):
+        assert not bands.in_band(base64.encodebytes(r.randbytes(n))[:n], press), n
+        assert not bands.in_band(words(n), press), n
+    assert not bands.in_band(r.randbytes(6000).hex().encode(), press)
+    clean = prose(5, 6000).encode()
+    for n in (8192, 16_384, 32_768):
+        assert bands.in_band(clean[:n], press)
+        assert not bands.in_band(clean[: n // 2] + base64.encodebytes(r.randbytes(n))[: n // 2], press), n
+    # Of ten chunks, three are noise: more than a quarter, though the whole is within its band.
+    some = clean[: 7 * 4096] + base64.encodebytes(r.randbytes(3 * 4096))[: 3 * 4096]
+    whole = ((1 << 62, 0.2, 0.9),)
+    assert not bands.in_band(some, press, whole) and bands.in_band(some, press, whole, max_bad=0.5)
+
+
+def test_dump_in_lines_and_random_words_are_not_kept(spark):
+    import base64
+    import random
+
+    r = random.Random(5)
+    rows = [(1, base64.encodebytes(r.randbytes(6000)).decode()), (2, " ".join(r.randbytes(5).hex()[:9].upper() + "xQz"[i % 3] for i in range(400))), (3, prose(6, 900))]
+    kept = {r.doc_id: (r.base_failed, r.kept) for r in bands.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert kept == {1: (False, False), 2: (False, False), 3: (False, True)}
