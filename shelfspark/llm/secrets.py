@@ -1,8 +1,11 @@
 """Secrets in text: three plain patterns, and strings that a primed compressor cannot foretell.
 
-A candidate is a run of at least 16 key characters that holds a digit and stands shortly after a sensitive word. Its novelty
-is the number of bytes by which it lengthens the zstandard frame of the text around it, with a dictionary of common identifiers
-loaded, per character. Names, paths and anything written before cost little; random keys cost over half a byte a character.
+A candidate is a run of at least 16 key characters that stands shortly after a sensitive word. Its novelty is the number of bytes
+by which it lengthens the zstandard frame of the text around it, with a dictionary of common identifiers loaded, per character.
+Names and paths cost little; random keys cost over half a byte a character. A run without a digit is more often a name, and new
+names cost 0.55 to 0.75, so it must cost 0.8. Other copies of the candidate are taken out of the text around it, unless copies
+that follow no sensitive word outnumber the others there: what a text names that openly is no secret. A novel string is reported
+wherever the text holds it.
 """
 
 import re
@@ -19,7 +22,7 @@ from shelfspark.llm.common import give_back, id_type, map_rows, ready, texts_of
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
-LEAST = {"assign": 12, "access": 18, "hex": 16}
+LEAST = {"assign": 12, "access": 18, "hex": 16, "novel": 16}
 
 KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = ("passw", "passphrase", "secret", "token", "api_key", "apikey", "api-key", "access_key", "private_key", "credential", "bearer", "authorization")
@@ -36,22 +39,31 @@ january february march april may june july august september october november dec
 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ
 """
 
+#: Plain prose put before what surrounds a run of letters: short texts alone give the compressor no letter frequencies.
+PROSE = """
+When the road bends past the old mill, most people slow down without thinking much about why. Years ago a family lived there and
+kept geese, and visitors would stop to buy eggs or just to talk over the fence. Nobody quite remembers which of them planted
+the long row of poplars, but their shade is welcome in July, and in winter you can see through it as far as the quarry. Six
+or seven of the trunks have been marked for felling; jobs like that wait until frost makes the ground hard enough for a cart.
+"""
+
 
 class SecretScanner:
     """``spans(text)``: ``(start, kind number, end)`` in code points, end exclusive, in order."""
 
-    def __init__(self, dictionary: str = IDENTIFIERS, novelty: float = 0.55, reach: int = 48, around: int = 256, level: int = 3):
+    def __init__(self, dictionary: str = IDENTIFIERS, novelty: float = 0.55, letters: float = 0.80, reach: int = 48, around: int = 256, level: int = 3):
         import zstandard
 
         primed = zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False)
-        self.novelty, self.reach, self.around = novelty, reach, around
+        self.novelty, self.letters, self.reach, self.around = novelty, letters, reach, around
         self.assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
         # Runs are maximal in both cases, so asking for the length at once finds the same matches.
         self.access = re.compile(rf"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}")
         self.hex = re.compile(rf"[0-9a-f]{{{LEAST['hex']},}}")
         self.sensitive = re.compile("|".join(SENSITIVE), re.ASCII | re.IGNORECASE)
-        self.candidate = re.compile(r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")
+        self.candidate = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST['novel']},}}")
+        self.digit = re.compile(r"[0-9]")
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         low = text.lower()
@@ -71,28 +83,70 @@ class SecretScanner:
         for a, _, b in sorted(found):
             starts.append(a)
             ends.append(max(b, ends[-1]) if ends else b)
+        free = lambda a, b: not ((before := bisect_left(starts, b)) and ends[before - 1] > a)
+        candidates = []
         for word in self.sensitive.finditer(text):
             start = max(at, word.end())
             for m in self.candidate.finditer(text, start, min(len(text), word.end() + self.reach + 512)):
                 if m.start() > word.end() + self.reach:
                     break
                 # The run may go on beyond the stretch searched.
-                end = self._run_end(text, m.end())
-                at = end
-                before = bisect_left(starts, end)
-                if not (before and ends[before - 1] > m.start()) and self.marginal(text, m.start(), end) >= self.novelty:
-                    new.append((m.start(), 3, end))
+                at = self._run_end(text, m.end())
+                if free(m.start(), at):
+                    candidates.append((m.start(), at))
+        places: dict[str, list[int]] = {}
+        for a, b in candidates:
+            places.setdefault(text[a:b], []).append(a)
+        # A string is measured at each of its places until it is novel at one.
+        novel = {s for s, own in places.items() if any(self._is_novel(text, a, a + len(s), own) for a in own)}
+        if novel:
+            new = [(a, 3, b) for a, b in self._copies(text, novel) if free(a, b)]
         return new
 
+    def _is_novel(self, text: str, start: int, end: int, own: list[int]) -> bool:
+        """``own``: where the string follows a sensitive word, in order."""
+        if self.digit.search(text, start, end):
+            return self.marginal(text, start, end, own) >= self.novelty
+        return self.marginal(text, start, end, own, PROSE) >= self.letters
+
+    def _copies(self, text: str, novel: set[str]) -> list[tuple[int, int]]:
+        """All places of the strings, also inside longer runs; of those that overlap, the first and longest."""
+        heads: dict[str, list[str]] = {}
+        for s in sorted(novel, key=len, reverse=True):
+            heads.setdefault(s[: LEAST["novel"]], []).append(s)
+        out, size = [], LEAST["novel"]
+        for run in self.candidate.finditer(text):
+            at = run.start()
+            while at <= run.end() - size:
+                s = next((s for s in heads.get(text[at : at + size], ()) if text.startswith(s, at)), None)
+                if s:
+                    out.append((at, at + len(s)))
+                at += len(s) if s else 1
+        return out
+
     def _run_end(self, text: str, end: int) -> int:
         more = re.compile(r"[A-Za-z0-9+/_=-]*").match(text, end)
         return more.end()
 
-    def marginal(self, text: str, start: int, end: int) -> float:
-        """Compressed bytes that ``text[start:end]`` adds to what surrounds it, per character."""
-        before, after = text[max(0, start - self.around) : start], text[end : end + self.around]
-        rest = len(self.press.compress((before + after).encode("utf-8", "replace")))
-        return (len(self.press.compress((before + after + text[start:end]).encode("utf-8", "replace"))) - rest) / (end - start)
+    def marginal(self, text: str, start: int, end: int, own: list[int] | None = None, lead: str = "") -> float:
+        """Compressed bytes that ``text[start:end]`` adds to what surrounds it, per character.
+
+        Its other copies there count as surroundings only if those beside ``own``, the places after sensitive words, are more.
+        """
+        string, size = text[start:end], end - start
+        first, last = max(0, start - self.around), end + self.around
+        # By a copy's length more on both sides, so that no part of a copy stays at an edge.
+        before, after = text[max(0, first - size) : start], text[end : last + size]
+        copies = 1 + before.count(string) + after.count(string)
+        if copies > 1:
+            marked = copies
+            if own is not None:
+                marked = bisect_left(own, last + 1) - bisect_left(own, max(0, first - size))
+            if copies - marked <= marked:
+                before, after = (x.replace(string, "\0" * size) for x in (before, after))
+        before, after = (x.replace("\0", "") for x in (before[len(before) - (start - first) :], after[: self.around]))
+        rest = len(self.press.compress((lead + before + after).encode("utf-8", "replace")))
+        return (len(self.press.compress((lead + before + after + string).encode("utf-8", "replace"))) - rest) / size
 
 
 def find_secrets(docs: DataFrame, **options) -> DataFrame:

@@ -69,3 +69,36 @@ def test_redaction(spark, edge):
 
 def test_empty(empty):
     assert S.find_secrets(empty).collect() == []
+
+
+def novel(text):
+    return [text[a:b] for a, k, b in S.SecretScanner().spans(text) if k == 3]
+
+
+def test_a_key_written_again_is_reported_each_time():
+    import random
+    import string
+
+    r = random.Random(11)
+    for _ in range(50):
+        key = "".join(r.choices(string.ascii_letters + string.digits, k=40))
+        text = f"Send the header Authorization: Bearer {key} with each request. For example: curl -H 'Authorization: Bearer {key}' https://api.example.com/v1/orders"
+        assert novel(text) == [key, key]
+        assert key not in S.without(text, S.SecretScanner().spans(text), "[secret]")
+        # One copy without a sensitive word, one inside a longer run, one far away.
+        text = f"the bearer is {key} here; then open https://example.com/v1/{key}/orders" + " and so on" * 200 + f" {key}."
+        assert novel(text) == [key] * 3
+        # Part of a copy at the edge of what surrounds it.
+        for gap in range(200, 260, 7):
+            assert novel(f"bearer {key} " + "the house by the river and the road to the sea " .ljust(gap, "x")[:gap] + f" bearer {key}") == [key, key], gap
+
+
+def test_letters_only_runs_are_measured():
+    import random
+    import string
+
+    r = random.Random(12)
+    keys = ["".join(r.choices(string.ascii_letters, k=40)) for _ in range(100)]
+    assert all(novel(f"the credential for the server is {k} as of today") == [k] for k in keys)
+    for name in ("authentication_middleware_settings", "default_session_token_handler", "application/configuration/production"):
+        assert novel(f"the credential for the server is {name} as of today") == [], name
