@@ -51,9 +51,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a ten-word run of a benchmark item go."""
-    found = decontamination.matches(docs, queries.table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, found.where("n_hit > 0"))
+    """Documents that hold a ten-word run of a benchmark item go, also where words were put into it."""
+    found = decontamination.matches(docs, queries.table(spark, sf_dir, "benchmark"), near=decontamination.NEAR)
+    return without_ids(docs, found.where((F.col("n_hit") > 0) | (F.size(decontamination.near_spans()) > 0)))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ words away from its place; such proximity matches are told apart from exact phra
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import id_type, map_rows, ready, stored, texts_of
@@ -21,6 +21,8 @@ WORD_BYTES = bytes(
 )
 #: Terms of the test set that may be sent to all tasks; beyond it the index takes all terms.
 VOCABULARY_BYTES = 8 << 20
+#: Words by which a term may stand away from its place where proximity matches count: two words put into a window.
+NEAR = 2
 
 
 def words_of(text: str) -> list[bytes]:
@@ -204,3 +206,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, near: int =
     return rows.join(found, ["segment", "place"], "left").select(
         F.col("doc.doc_ids").alias("doc_id"), F.col("doc.sizes").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans")
+
+
+def near_spans(size: int = 10) -> Column:
+    """The proximity matches among ``spans``. Those of items shorter than a window do not count: two or three words meet
+    near each other in any text."""
+    none = F.array().cast("array<struct<item_id:string,first:bigint,words:int,exact:boolean>>")
+    return F.filter(F.coalesce("spans", none), lambda s: ~s["exact"] & (s["words"] >= size))

@@ -35,6 +35,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op1_proximity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of op1_decontamination, whose columns its SQL fixes, with proximity matches and all spans."""
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=decontamination.NEAR)
+    near = decontamination.near_spans()
+    place = lambda s: F.concat_ws(":", s["item_id"], s["first"], s["words"], F.when(s["exact"], "exact").otherwise("near"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), F.size(near).cast("bigint").alias("n_near"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(near, lambda s: s["item_id"]))), ",").alias("near_items"),
+        F.coalesce(F.array_join(F.transform("spans", place), ","), F.lit("")).alias("spans"),
+        ((F.col("n_hit") > 0) | (F.size(near) > 0)).alias("contaminated"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -85,7 +97,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontamination, op2_chat_format, op3_license_scan, op4_secret_scan, op5_quality_classifier, op6_binary_output,
+        op1_decontamination, op1_proximity_matches, op2_chat_format, op3_license_scan, op4_secret_scan, op5_quality_classifier, op6_binary_output,
         op7_quality_rules, op8_jaccard_join, op9_packing, op10_token_counts)
 }
 

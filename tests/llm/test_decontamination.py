@@ -68,3 +68,19 @@ def test_empty_tables(spark, empty, edge):
     items = spark.createDataFrame([], "item_id bigint, text string")
     assert D.matches(empty, items).collect() == []
     assert all(r.n_hit == 0 and r.item_ids == [] for r in D.matches(edge, items).collect())
+
+
+def test_passages_with_words_put_in_are_found(spark, tmp_path):
+    import corpus_pipeline as P
+
+    passage = [f"{w}{i}" for i, w in enumerate(prose(77, 60).split())]
+    every = lambda n: " ".join(w + (" so" if i % n == n - 1 else "") for i, w in enumerate(passage))
+    rows = [(1, prose(1, 80) + " " + every(9) + " " + prose(2, 80)), (2, every(5)), (3, " ".join(passage)), (4, prose(3, 200)), (5, None), (6, "two odd one")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(passage)), (8, "one two")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r.doc_id: r for r in queries.op1_proximity_matches(spark, str(tmp_path)).collect()}
+    assert {d: r.contaminated for d, r in found.items()} == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False}
+    assert [(found[d].n_hit, found[d].n_near > 0, found[d].near_items) for d in (1, 2, 3, 4)] == [(0, True, "7"), (0, True, "7"), (60, False, ""), (0, False, "")]
+    assert found[1].spans.endswith(":near") and found[3].spans.endswith(":exact")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r.doc_id for r in P.decontaminate(spark, docs, str(tmp_path)).collect()) == [4, 5, 6]
