@@ -36,7 +36,7 @@ def base_items(t):
         F.when(size % 11 == 0, True).alias("not_found"))
 
 
-def export_items(t):
+def export_items(t, chunk=export.LIST_CHUNK):
     """Product items with reviews and marketplace rows from line items, and the further parts of long lists."""
     rated = t.lineitem.select(F.col("l_partkey").alias("product_id"), F.least("l_linenumber", F.lit(5)).alias("rating"))
     wide = review_op.star_counts(rated)
@@ -49,7 +49,13 @@ def export_items(t):
     rows = t.lineitem.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey")).select(
         F.col("l_partkey").alias("product_id"), F.col("s_name").alias("name"), F.col("l_extendedprice").alias("price"), F.lit("USD").alias("currency"),
         (F.col("l_returnflag") == "A").alias("in_stock"), "l_orderkey", "l_linenumber", "l_extendedprice")
-    return export.with_marketplace(base_items(t).join(reviews, "product_id", "left"), rows, ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    return export.with_marketplace(base_items(t).join(reviews, "product_id", "left"), rows, ["l_orderkey", "l_linenumber", "l_extendedprice"], chunk)
+
+
+def export_record_rows(t, chunk=export.LIST_CHUNK):
+    """Export records with the number of all their marketplace rows, beyond those that the record lists."""
+    items = export_items(t, chunk)[0]
+    return export.export_records(items.withColumn("marketplace_rows", F.coalesce("marketplace_facts.rows", F.lit(0))))
 
 
 @query("prj2_export_record", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, CASE WHEN p_size % 5 <> 0 THEN p_brand END AS brand, p_type || '>' || p_brand AS categories, '2024-03-05 06:07:08' AS crawled_at,
@@ -63,7 +69,7 @@ def export_items(t):
   CASE WHEN shipping = false THEN true ELSE gone END AS is_out_of_stock, CASE WHEN p_size % 11 = 0 THEN 'failure' ELSE 'success' END AS status, CASE WHEN p_size % 11 = 0 THEN '404' END AS failure_type,
   CASE WHEN p_size % 7 = 0 THEN p_name = 'red ring' END AS term_exactly FROM items""")
 def _(t):
-    r = export.export_records(export_items(t)[0])
+    r = export_record_rows(t)
     c = F.col
     return r.select(
         "product_id", "title", c("classification.brand").alias("brand"), F.array_join("classification.categories", ">").alias("categories"), "crawled_at", "image_url",
@@ -72,7 +78,7 @@ def _(t):
         "price_amount", c("reviews.average_review").alias("average_review"), c("reviews.review_count").alias("review_count"), c("reviews.min_review").alias("min_review"),
         c("reviews.max_review").alias("max_review"), c("sellers.price").alias("seller_price"), c("sellers.price_amount").alias("seller_price_amount"), c("sellers.in_stock").alias("in_stock"),
         c("sellers.marketplace").alias("marketplace"), c("sellers.marketplace_in_stock").alias("marketplace_in_stock"), c("sellers.marketplace_lowest_price").alias("marketplace_lowest_price"),
-        F.size("sellers.marketplace_prices").cast("bigint").alias("marketplace_rows"), c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
+        "marketplace_rows", c("sellers.in_stores_only").alias("in_stores_only"), c("sellers.online_only").alias("online_only"),
         c("sellers.owned").alias("owned"), "is_out_of_stock", "status", "failure_type", c("search_term_in_title_exactly").alias("term_exactly"))
 
 
@@ -97,17 +103,41 @@ def _(t):
 
 # ---- sinks ----------------------------------------------------------------
 
-@query("snk1_export_files", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, '2024' AS y, lpad((1 + p_size % 3)::VARCHAR, 2, '0') AS m, '05' AS d, coalesce(n, 0) AS review_count FROM items""")
-def _(t):
+def write_export_files(t, chunk=export.LIST_CHUNK):
+    """Write the records, and the further parts of long marketplace lists beside them; the paths of both."""
     path = work_path(t.spark, "export")
-    records = export.export_records(export_items(t)[0])
+    items, parts = export_items(t, chunk)
+    records = export.export_records(items)
     day = F.make_date(F.lit(2024), F.col("_size") % 3 + 1, F.lit(5))
     sized = records.join(t.part.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_size").alias("_size")), "product_id")
     tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"))
+    parts.write.mode("append").json(f"{path}-marketplace")
+    return path, f"{path}-marketplace"
+
+
+def exported_marketplace(t, chunk=export.LIST_CHUNK):
+    """Marketplace rows in the files, by product and part: part 0 is the record's own list."""
+    path, further = write_export_files(t, chunk)
+    schema = "product_id string, sellers struct<marketplace_sellers:array<string>>"
+    first = t.spark.read.schema(schema).json(path).select("product_id", F.lit(0).cast("bigint").alias("part"), F.col("sellers.marketplace_sellers").alias("names"))
+    rest = t.spark.read.schema("product_id string, part bigint, marketplace array<struct<name:string>>").json(further)
+    return first.unionByName(rest.select("product_id", "part", F.col("marketplace.name").alias("names"))).where(F.size("names") > 0).select(
+        "product_id", "part", F.size("names").cast("bigint").alias("n"), F.element_at("names", 1).alias("first_name"), F.element_at("names", -1).alias("last_name"))
+
+
+@query("snk1_export_files", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, '2024' AS y, lpad((1 + p_size % 3)::VARCHAR, 2, '0') AS m, '05' AS d, coalesce(n, 0) AS review_count FROM items""")
+def _(t):
+    path, _ = write_export_files(t)
     schema = "product_id string, title string, reviews struct<review_count:bigint>, y string, m string, d string"
     return t.spark.read.schema(schema).json(path).select("product_id", "title", "y", "m", "d", F.col("reviews.review_count").alias("review_count"))
 
 
+@query("snk1_export_marketplace", f"""WITH r AS (SELECT l_partkey, s_name, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1 AS p FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey IN (SELECT p_partkey FROM part))
+SELECT l_partkey::VARCHAR AS product_id, (p // {export.LIST_CHUNK})::BIGINT AS part, count(*) AS n, arg_min(s_name, p) AS first_name, arg_max(s_name, p) AS last_name FROM r GROUP BY 1, 2""")
+def _(t):
+    return exported_marketplace(t)
+
+
 @query("snk2_result_files", intake.ORACLE_SNK2_FILES)
 def _(t):
     path = work_path(t.spark, "messages")

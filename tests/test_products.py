@@ -318,3 +318,19 @@ def test_archive_scan_prunes_partitions(spark, tmp_path):
     assert [r.fingerprint for r in found.collect()] == ["f1"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "site" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_export_files_hold_all_marketplace_rows(spark):
+    from shelfspark.plans import exports
+    from shelfspark.plans.registry import Tables
+    from shelfspark.session import prepare
+
+    t = Tables(prepare(spark), "/root/testdata/sf0.001")
+    want = {str(r.l_partkey): r["count"] for r in t.lineitem.groupBy("l_partkey").count().collect()}
+    got = {}
+    for r in exports.exported_marketplace(t, chunk=7).collect():
+        assert r.n <= 7
+        got.setdefault(r.product_id, {})[r.part] = r.n
+    assert {k: sum(v.values()) for k, v in got.items()} == want and any(len(v) > 1 for v in got.values())
+    rows = exports.export_record_rows(t, chunk=7).select("product_id", "marketplace_rows").collect()
+    assert {r.product_id: r.marketplace_rows for r in rows if r.marketplace_rows} == want
