@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: five stages, each stored as Parquet before the next reads it.
 
-Stages take ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``. A row is known by its ``doc_id``: what
-a stage decides for an id holds for all rows with it; rows without id are treated as one more id.
+Stages take ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``. A row is known by its ``doc_id`` and its
+text: what a stage decides holds for the rows with both, whether or not others share the id, or have none.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,39 +21,55 @@ from shelfspark.llm.common import ready, small_side, stored
 ORACLE_SQL = None
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is not among ``ids``; null is an id like others."""
-    gone = small_side(stored(ids.select(F.col("doc_id").alias("_gone")).distinct(), "gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+def key_of() -> Column:
+    """What names a row: its id, rows without one last, and a hash of its text. Of two rows, that with the smaller id is less."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Key, as ``doc_id``, and text of each row."""
+    return docs.select(key_of().alias("doc_id"), "text")
+
+
+def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key is not among ``keys`` (column ``doc_id``)."""
+    gone = small_side(stored(keys.select(F.col("doc_id").alias("_gone")).distinct(), "gone"))
+    return docs.join(gone, key_of().eqNullSafe(gone["_gone"]), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    scored = ranking_quality.quality_scores(docs, queries.table(spark, sf_dir, "labels"))
-    return without_ids(docs, scored.where("predicted = 0"))
+    scored = ranking_quality.quality_scores(keyed(docs), queries.table(spark, sf_dir, "labels"), field="id")
+    return without_rows(docs, scored.where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents tied by a Jaccard similarity of 0.8 over word 5-grams, the one with the smallest id stays.
+    """Of rows tied by a Jaccard similarity of 0.8 over word 5-grams, one with the smallest id stays, rows without id last.
 
-    Of rows with one id that stays, the first by text stays; rows without id stay unless one of them is tied to an id.
+    Of rows that share an id, the first by text stays. A row with neither id nor words goes.
     """
-    found = stored(jaccard_join.jaccard_join(docs, size=5, num=80, den=100).select("doc_id", "component_id"), "components")
-    kept = without_ids(docs, found.where("NOT (doc_id <=> component_id)"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    found = jaccard_join.jaccard_join(keyed(docs), size=5, num=80, den=100).select("doc_id", "n_shingles", "component_id")
+    found = stored(found, "components")
+    kept = without_rows(docs, found.where("doc_id <> component_id OR n_shingles = 0 AND doc_id.no_id"))
+    # An id stands for its rows; a row without one stands for its copies.
+    name = F.struct(F.col("doc_id").alias("id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("hash"))
+    left = found.where("doc_id = component_id").select("doc_id.*")
+    left = left.select(F.struct("id", F.when(F.col("no_id"), F.col("hash")).alias("hash")).alias("_name"))
+    repeated = stored(left.groupBy("_name").count().where("count > 1").select("_name"), "repeated")
     if repeated.isEmpty():
         return kept
     others = [c for c in kept.columns if c not in ("doc_id", "text")]
     row = F.struct("text", *[F.col(f"`{c}`") for c in others])
-    again = kept.join(small_side(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("_row"))
+    repeated = small_side(repeated)
+    again = kept.join(repeated, name.eqNullSafe(repeated["_name"]), "left_semi").groupBy("doc_id", name["hash"]).agg(F.min(row).alias("_row"))
     first = again.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in kept.columns])
-    return without_ids(kept, repeated).unionByName(first)
+    return kept.join(repeated, name.eqNullSafe(repeated["_name"]), "left_anti").unionByName(first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word run of a benchmark item go, also where words were put into it."""
-    found = decontamination.matches(docs, queries.table(spark, sf_dir, "benchmark"), near=decontamination.NEAR)
-    return without_ids(docs, found.where((F.col("n_hit") > 0) | (F.size(decontamination.near_spans()) > 0)))
+    found = decontamination.matches(keyed(docs), queries.table(spark, sf_dir, "benchmark"), near=decontamination.NEAR)
+    return without_rows(docs, found.where((F.col("n_hit") > 0) | (F.size(decontamination.near_spans()) > 0)))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,3 +67,21 @@ def test_a_null_text_and_extra_columns_survive(spark):
     rows = spark.createDataFrame([(1, prose(1, 50), "a"), (1, prose(1, 50), "b"), (2, None, "c")], "doc_id bigint, text string, `odd name` string")
     out = {(r[0], r[1]) for r in P.near_duplicates(spark, rows, SF_DIR).collect()}
     assert out == {(1, prose(1, 50)), (2, None)}
+
+
+def test_rows_without_an_id_are_judged_one_by_one(spark, tmp_path):
+    passage = prose(77, 40)
+    rows = [(None, prose(1, 100)), (None, prose(2, 100)), (None, prose(1, 100)), (None, prose(3, 100)), (4, prose(3, 100)), (None, passage + " x"), (4, prose(9, 100))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    same(P.decontaminate(spark, docs, str(tmp_path)).collect(), [r for r in rows if not (r[1] or "").startswith(passage)])
+    # One of the copies without id stays, and of the id 4 the first text, though its other one has a copy without id.
+    want = [(None, prose(1, 100)), (None, prose(2, 100)), (None, passage + " x"), (4, min(prose(3, 100), prose(9, 100)))]
+    same(P.near_duplicates(spark, docs, SF_DIR).collect(), want)
+    scored = [r.predicted for r in ranking_quality.quality_scores(docs, queries.table(spark, SF_DIR, "labels")).select("predicted").collect()]
+    junk = [(None, "spam " * 300), (None, prose(2, 100))]
+    labels = [(i, 0 if i % 2 else 1) for i in range(60)]
+    known = [(i, "spam " * (200 + i) if q == 0 else prose(i, 120)) for i, q in labels]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = P.quality(spark, spark.createDataFrame(junk + known, "doc_id bigint, text string"), str(tmp_path)).collect()
+    assert len(scored) == len(rows) and [r.text for r in kept if r.doc_id is None] == [prose(2, 100)]
