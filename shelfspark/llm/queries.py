@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bands, chat, counts, decontamination, jaccard_join, licenses, packing, planes, ranking_quality, secrets
+from shelfspark.llm import alignment, bands, chat, counts, decontamination, infill, jaccard_join, licenses, packing, planes, ranking_quality, repeats, secrets
 from shelfspark.llm.common import ready
 from shelfspark.session import work_path
 
@@ -95,10 +95,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("digest")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+    return alignment.with_counts(found).drop("links")
+
+
+def op12_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.restored(infill.fill_in_middle(table(spark, sf_dir, "documents"), seed=42, plain_share=50, spm_share=80))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op1_proximity_matches, op2_chat_format, op3_license_scan, op4_secret_scan, op5_quality_classifier, op6_binary_output,
-        op7_quality_rules, op8_jaccard_join, op9_packing, op10_token_counts)
+        op7_quality_rules, op8_jaccard_join, op9_packing, op10_token_counts, op11_token_alignment, op12_repeated_spans, op13_fill_in_middle)
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
