@@ -47,3 +47,62 @@ def test_first_by_skips_nulls_and_keeps_zero(spark):
 def test_where_once_filters_like_where(spark):
     df = spark.range(10).withColumn("half", F.col("id") / 2)
     assert sorted(r.id for r in groups.where_once(df, F.col("half") > 3).collect()) == [7, 8, 9]
+
+
+def test_numbered_shuffles_rows_once(spark, small_slices):
+    """What follows the stored slices is a broadcast of one row per slice; no exchange carries the rows' own column again."""
+    df = spark.range(5000).select((F.col("id") % 3).alias("key"), "id", F.col("id").cast("string").alias("payload"))
+    got = groups.numbered(df, ["key"], ["id"])
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The rows come straight from the stored scan through one broadcast join; the only shuffles are below the broadcast.
+    above, below = plan.split("BroadcastExchange", 1)[0], plan.split("BroadcastExchange", 1)[1]
+    assert "Exchange hashpartitioning" not in above and "Exchange rangepartitioning" not in plan.split("== Initial Plan ==")[0]
+    assert "payload" not in "".join(line for line in below.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_shifts_have_at_most_a_row_per_slice(spark, small_slices):
+    df = spark.range(9000).select(F.when(F.col("id") < 6000, "hot").otherwise(F.col("id").cast("string")).alias("key"), "id").repartition(5)
+    rows = groups.sliced(df, ["key"], ["id"])
+    per_slice = rows.where("_at = _rn AND _shift > 0").groupBy("_slice").agg(F.countDistinct("_shift").alias("n")).collect()
+    assert rows.select("_slice").distinct().count() > 2 and per_slice and all(r.n == 1 for r in per_slice)
+
+
+def test_numbering_tells_odd_keys_apart(spark, small_slices):
+    nan = float("nan")
+    rows = [(k, n, i) for i in range(200) for k in (None, "", "a", "a ") for n in (None, nan, 0.0, 1.5)]
+    df = spark.createDataFrame(rows, "key string, num double, id int").repartition(6)
+    got = groups.numbered(df, ["key", "num"], ["id"]).collect()
+    assert len(got) == len(rows) and all(r.pos == r.id for r in got)
+
+
+def test_numbering_by_nested_and_timed_keys(spark, small_slices):
+    df = spark.range(600).select(F.struct((F.col("id") % 2).alias("a")).alias("key"), F.timestamp_seconds(F.col("id") % 3).alias("at"), "id")
+    got = groups.numbered(df, ["key", "at"], ["id"]).collect()
+    assert all(r.pos == r.id // 6 for r in got)
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 5000])
+def test_chunks_across_slices_and_batches(spark, small_slices, size):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        rnd = random.Random(size)
+        rows = [("hot", i) for i in range(2500)] + [(f"k{rnd.randrange(300)}", 10000 + i) for i in range(900)] + [(None, 20000 + i) for i in range(70)]
+        df = spark.createDataFrame(rows, "key string, id int").withColumn("pair", F.struct("id", F.lit("x").alias("x"))).repartition(5)
+        got = groups.chunked_lists(df, ["key"], ["id"], "pair", size, "pairs").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for key in {k for k, _ in rows}:
+        ids = sorted(i for k, i in rows if k == key)
+        want |= {(key, c): ids[c * size : (c + 1) * size] for c in range(-(-len(ids) // size))}
+    assert {(r.key, r.chunk): [p.id for p in r.pairs] for r in got} == want and len(got) == len(want)
+
+
+def test_only_cut_lists_are_grouped(spark, small_slices):
+    df = spark.range(4000).select((F.col("id") % 40).alias("key"), "id")
+    got = groups.chunked_lists(df, ["key"], ["id"], "id", 10, "ids")
+    pieces = [f for f in got.inputFiles()]
+    stored = spark.read.parquet(*pieces)
+    cut = stored.where("NOT _whole").count()
+    assert stored.count() - cut >= 380 and cut <= 2 * (len(pieces) + 8)
