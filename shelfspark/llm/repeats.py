@@ -251,15 +251,20 @@ def several_ids(doc_id: str = "doc_id") -> Column:
     return (F.min(doc_id) < F.max(doc_id)) | (F.bool_or(F.col(doc_id).isNull()) & F.min(doc_id).isNotNull())
 
 
-def with_bytes(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """``row, doc_id, anchor, place, print, bytes`` of each segment whose bucket several documents have."""
+def shared_segments(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, hash, segments`` of ``segmented`` rows, less the segments whose bucket only one document has, stored."""
     each = rows.select("row", "doc_id", F.inline("segments"))
     shared = stored(each.groupBy("anchor").agg(several_ids().alias("_shared")).where("_shared").select("anchor"), "shared")
-    wanted = each.select("row", "anchor", "place").join(small_side(shared), "anchor").groupBy("row").agg(
-        F.collect_list(F.struct("anchor", "place")).alias("segments"))
+    wanted = stored(each.select("row", "anchor", "place").join(small_side(shared), "anchor"), "wanted")
+    wanted = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "place")).alias("segments"))
     # Repeated rows have the same result, so one of them stands for all.
     names = rows.groupBy("doc_id", "hash").agg(F.min("row").alias("row"))
-    wanted = stored(wanted.join(names, "row"), "wanted").withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
+    return stored(wanted.join(names, "row").select("row", "doc_id", "hash", "segments"), "shared-segments")
+
+
+def with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``row, doc_id, anchor, place, print, bytes`` of each shared segment."""
+    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
     texts = texts_of(docs)
     met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["hash"] == wanted["_hash"])).select("row", "doc_id", "data", "segments")
 
@@ -376,9 +381,10 @@ def _repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path), path
 
     rows, rows_path = put(segmented(docs, length), "segmented")
-    names = stored(rows.select("row", "doc_id", "hash"), "names")
-    found, found_path = put(with_bytes(docs, rows, length), "segments")
+    wanted = shared_segments(rows)
+    names = stored(wanted.select("row", "doc_id", "hash"), "names")
     discard(spark, rows_path)  # by far the largest tables go as soon as they are used
+    found, found_path = put(with_bytes(docs, wanted, length), "segments")
     distinct, distinct_path = put(
         found.groupBy("anchor", "print", "bytes").agg(
             F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bool_or(F.col("doc_id").isNull()).alias("open")), "distinct")
