@@ -1,7 +1,8 @@
 """Byte strings that several documents share, found by sorting suffixes bucket by bucket.
 
-Every ``length``-byte window of a text is the head of one suffix. A window belongs to the bucket of its anchor, the smallest hash
-of the ``k``-byte strings in it: equal windows have equal anchors, and neighbours mostly share theirs, so a text falls into
+Every ``length``-byte window of a text is the head of one suffix. A window belongs to the bucket of its anchor: the place of the
+smallest hash of a few bytes in it, taken modulo ``w``, is where a string of ``length + 1 - w`` bytes starts, more than half the
+window, whose hash is the anchor. Equal windows have equal anchors, and neighbours mostly share theirs, so a text falls into
 segments, runs of windows of one bucket. Buckets that only one document has hold no repeat; they are told by a grouped minimum
 and maximum of ids and never leave their document. The segments of the others are brought together with their bytes, equal
 ones combined, and the suffixes that start in them are sorted deep-shallow: multikey quicksort on eight-byte characters orders
@@ -63,9 +64,18 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(data: np.ndarray, length: int) -> np.ndarray:
-    """The anchor of each window of ``data``."""
-    k = max(1, length // 3)
-    return sliding_minimum(windows_hash(data, k), length - k + 1)
+    """The anchor of each window of ``data`` (at most ``2**21`` bytes)."""
+    if length < 8:
+        return windows_hash(data, length)
+    w = (length - 4) // 2
+    few = length + 1 - 2 * w
+    low = np.uint64((1 << 21) - 1)
+    hashes = windows_hash(data, few)
+    # The first of the smallest hashes of a window: places in the lowest bits settle ties.
+    places = np.arange(len(hashes), dtype=np.uint64)
+    first = (sliding_minimum((hashes & ~low) | places, length + 1 - few) & low).astype(np.int64)
+    at = np.arange(len(first))
+    return windows_hash(data, length + 1 - w)[at + (first - at) % w]
 
 
 def segments_of(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -227,22 +237,19 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("hash"), text.cast("binary").alias("data"))
 
 
-def segmented(docs: DataFrame, length: int) -> DataFrame:
-    """``row, doc_id, hash, segments`` (anchor, place) of each text, stored; ``row`` is a key of the stored row."""
+def anchored(docs: DataFrame, length: int) -> DataFrame:
+    """``row, doc_id, hash, anchors`` (distinct) of each text; ``row`` is a key of the row once it is stored."""
 
     def rows(batches):
         for b in batches:
-            found: dict[int, list] = {}
-            for i, anchors, places in segments_of(b["data"].to_pylist(), length):
-                found.setdefault(i, []).append((anchors, places))
-            parts = [p for i in sorted(found) for p in found[i]]
-            sizes = [sum(len(a) for a, _ in found.get(i, ())) for i in range(len(b["data"]))]
-            empty = np.zeros(0, dtype=np.int64)
-            pair = pa.StructArray.from_arrays([pa.array(np.concatenate([empty, *(p[c] for p in parts)])) for c in (0, 1)], ["anchor", "place"])
-            ends = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
-            yield {"doc_id": b["doc_id"], "hash": b["hash"], "segments": pa.ListArray.from_arrays(ends, pair)}
-
-    schema = f"doc_id {id_type(docs)}, hash bigint, segments array<struct<anchor: bigint, place: bigint>>"
+            found = [[np.zeros(0, dtype=np.int64)] for _ in range(len(b["data"]))]
+            for i, anchors, _ in segments_of(b["data"].to_pylist(), length):
+                found[i].append(anchors)
+            each = [np.unique(np.concatenate(f)) for f in found]
+            ends = pa.array(np.cumsum([0, *map(len, each)]).astype(np.int32))
+            yield {"doc_id": b["doc_id"], "hash": b["hash"], "anchors": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *each])))}
+
+    schema = f"doc_id {id_type(docs)}, hash bigint, anchors array<bigint>"
     return by_arrow(texts_of(docs), rows, schema).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
@@ -251,41 +258,42 @@ def several_ids(doc_id: str = "doc_id") -> Column:
     return (F.min(doc_id) < F.max(doc_id)) | (F.bool_or(F.col(doc_id).isNull()) & F.min(doc_id).isNotNull())
 
 
-def shared_segments(rows: DataFrame) -> DataFrame:
-    """``row, doc_id, hash, segments`` of ``segmented`` rows, less the segments whose bucket only one document has, stored."""
-    each = rows.select("row", "doc_id", F.inline("segments"))
+def shared_anchors(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, hash, anchors`` of ``anchored`` rows, less the anchors that only one document has, stored."""
+    each = rows.select("row", "doc_id", F.explode("anchors").alias("anchor"))
     shared = stored(each.groupBy("anchor").agg(several_ids().alias("_shared")).where("_shared").select("anchor"), "shared")
-    wanted = stored(each.select("row", "anchor", "place").join(small_side(shared), "anchor"), "wanted")
-    wanted = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "place")).alias("segments"))
+    wanted = stored(each.select("row", "anchor").join(small_side(shared), "anchor"), "wanted")
+    wanted = wanted.groupBy("row").agg(F.collect_list("anchor").alias("anchors"))
     # Repeated rows have the same result, so one of them stands for all.
     names = rows.groupBy("doc_id", "hash").agg(F.min("row").alias("row"))
-    return stored(wanted.join(names, "row").select("row", "doc_id", "hash", "segments"), "shared-segments")
+    return stored(wanted.join(names, "row").select("row", "doc_id", "hash", "anchors"), "shared-anchors")
 
 
 def with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``row, doc_id, anchor, place, print, bytes`` of each shared segment."""
+    """``row, doc_id, anchor, place, print, bytes`` of each segment with a shared anchor."""
     wanted = wanted.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
     texts = texts_of(docs)
-    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["hash"] == wanted["_hash"])).select("row", "doc_id", "data", "segments")
+    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["hash"] == wanted["_hash"])).select("row", "doc_id", "data", "anchors")
 
     def cut(batches):
         import xxhash
 
         for b in batches:
-            counts = b["segments"].value_lengths().to_numpy()
-            flat = b["segments"].flatten()
-            places = flat.field("place")
-            place = places.to_numpy()
-            starts, runs = (place >> RUN_BITS).tolist(), (place & ((1 << RUN_BITS) - 1)).tolist()
-            pieces, at = [], 0
-            for data, n in zip(b["data"], counts.tolist()):
-                whole = data.as_py()
-                pieces += [whole[s : s + r + length - 1] for s, r in zip(starts[at : at + n], runs[at : at + n])]
-                at += n
+            data, lists = b["data"].to_pylist(), b["anchors"]
+            flat, bounds = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()]).tolist()
+            owner, anchors, places, pieces = [], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], []
+            for i, found, at in segments_of(data, length):
+                keep = np.isin(found, flat[bounds[i] : bounds[i + 1]])
+                at = at[keep]
+                anchors.append(found[keep])
+                places.append(at)
+                owner += [i] * len(at)
+                text = data[i]
+                pieces += [text[s : s + r + length - 1] for s, r in zip((at >> RUN_BITS).tolist(), (at & ((1 << RUN_BITS) - 1)).tolist())]
             prints = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), dtype=np.uint64, count=len(pieces)).view(np.int64)
-            owner = pa.array(np.repeat(np.arange(len(counts)), counts))
-            yield {"row": b["row"].take(owner), "doc_id": b["doc_id"].take(owner), "anchor": flat.field("anchor"), "place": places,
-                   "print": pa.array(prints), "bytes": pa.array(pieces, pa.binary())}
+            of = pa.array(owner, pa.int64())
+            yield {"row": b["row"].take(of), "doc_id": b["doc_id"].take(of), "anchor": pa.array(np.concatenate(anchors)),
+                   "place": pa.array(np.concatenate(places)), "print": pa.array(prints), "bytes": pa.array(pieces, pa.binary())}
 
     schema = f"row bigint, doc_id {id_type(docs)}, anchor bigint, place bigint, print bigint, bytes binary"
     return by_arrow(met, cut, schema)
@@ -380,8 +388,8 @@ def _repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path), path
 
-    rows, rows_path = put(segmented(docs, length), "segmented")
-    wanted = shared_segments(rows)
+    rows, rows_path = put(anchored(docs, length), "anchored")
+    wanted = shared_anchors(rows)
     names = stored(wanted.select("row", "doc_id", "hash"), "names")
     discard(spark, rows_path)  # by far the largest tables go as soon as they are used
     found, found_path = put(with_bytes(docs, wanted, length), "segments")
