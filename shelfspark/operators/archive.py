@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators.groups import extreme_rows
 from shelfspark.operators.messages import SPIDER_SUFFIX
 
 # Seconds a response lives by default, and the bytes of a stored number.
@@ -33,13 +34,43 @@ def storable(responses: DataFrame) -> DataFrame:
 
 def not_stored(responses: DataFrame, archive: DataFrame) -> DataFrame:
     """Responses whose fingerprint the archive lacks."""
-    return responses.join(archive.select("fingerprint"), "fingerprint", "left_anti")
+    return responses.join(with_keys(archive, responses).select("fingerprint"), "fingerprint", "left_anti")
 
 
-def last_writes(puts: DataFrame, order: str = "put_ts") -> DataFrame:
-    """One row per fingerprint, the last one written (WIN9); combined before the shuffle."""
-    rest = [c for c in puts.columns if c != "fingerprint"]
-    return puts.groupBy("fingerprint").agg(F.max_by(F.struct(*rest), order).alias("_r")).select("fingerprint", "_r.*")
+#: Up to so many keys are written into a scan's filter, where statistics, page indexes and bloom filters can use them.
+SCAN_KEYS = 200
+
+
+def bucket_of(fingerprint: Column, spread: int) -> Column:
+    return F.pmod(F.xxhash64(fingerprint), F.lit(spread)).cast("int")
+
+
+def with_keys(archive: DataFrame, wanted: DataFrame, spread: int | None = None) -> DataFrame:
+    """Archive rows with a fingerprint of ``wanted``. A few keys are pushed into the scan, with the buckets they lie in where the
+    archive is stored in ``spread`` buckets; more keys meet the rows in a join."""
+    keys = wanted.select("fingerprint").where("fingerprint IS NOT NULL").distinct()
+    few = [r.fingerprint for r in keys.limit(SCAN_KEYS + 1).collect()]
+    if len(few) > SCAN_KEYS:
+        return archive.join(keys, "fingerprint", "left_semi")
+    # Equalities, since a long IN list reaches the scan as its smallest and largest value only.
+    rows = archive.where(any_of([F.col("fingerprint") == k for k in few]))
+    if spread is None:
+        return rows
+    buckets = wanted.sparkSession.range(1).select(*[bucket_of(F.lit(k), spread) for k in few]).first() if few else []
+    return rows.where(F.col("bucket").isin(sorted(set(buckets))))
+
+
+def any_of(conditions: list[Column]) -> Column:
+    """One OR of many conditions, no deeper than needed."""
+    while len(conditions) > 1:
+        conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + conditions[len(conditions) // 2 * 2 :]
+    return conditions[0] if conditions else F.lit(False)
+
+
+def last_writes(puts: DataFrame, order: str = "put_ts", tie: str = "_row") -> DataFrame:
+    """One row per fingerprint, the last one written (WIN9); ``tie`` settles equal times, else the order in which rows were stored.
+    Only row keys are aggregated; bodies are fetched for the rows that stay."""
+    return extreme_rows(puts, ["fingerprint"], order, last=True, tie=tie)
 
 
 def as_of(lookups: DataFrame, puts: DataFrame, bucket_s: int = 3600) -> DataFrame:

@@ -8,13 +8,14 @@ sorted whole in one window partition.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, IntegralType, StructField, StructType, TimestampNTZType, TimestampType
 
 from shelfspark.session import written
 
@@ -33,6 +34,71 @@ def last_by(value: Column, order: Column) -> Column:
     return F.max_by(value, F.when(value.isNotNull(), order))
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` stored once with ``_row``, a number of its own for each stored row."""
+    return written(df.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
+def few(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A stored table of a few numbers per row as the lesser side of a join: sent to all tasks up to ``most`` rows (a few MB),
+    else hashed in shuffled parts, so that the wide side is never sorted."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df.hint("shuffle_hash")
+
+
+_SPAN = Decimal(2**63)
+
+
+def _ranked(df: DataFrame, order: str, last: bool = False, tie: str = "_row") -> Column:
+    """Order and tie in one number, which a hash aggregate can compare; a missing order comes after (before) all others."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        place = F.unix_micros(F.col(order).cast("timestamp"))
+    elif isinstance(kind, DateType):
+        place = F.unix_date(order)
+    elif isinstance(kind, IntegralType):
+        place = F.col(order).cast("bigint")
+    else:
+        raise TypeError(f"{order} must be a whole number, a date or a time, not {kind.simpleString()}")
+    missing = -(2**63) if last else 2**63 - 1
+    return F.coalesce(place, F.lit(missing)).cast("decimal(19,0)") * F.lit(_SPAN) + F.col(tie).cast("decimal(19,0)")
+
+
+def extreme_rows(df: DataFrame, keys: list[str], order: str, last: bool = False, tie: str = "_row") -> DataFrame:
+    """The whole first (last) row of each key in ``order``; of rows alike in it, the first (last) by the whole number ``tie``, or as stored.
+
+    Late: a hash aggregate of numbers finds the row keys, and the rows are fetched by them. Wide values are neither sorted
+    nor aggregated.
+    """
+    rows = keyed(df)
+    pick = F.max_by if last else F.min_by
+    found = rows.groupBy(*keys).agg(pick("_row", _ranked(df, order, last, tie)).alias("_row")).select("_row")
+    return rows.join(few(written(found, "found")), "_row").select(*df.columns)
+
+
+def first_values(df: DataFrame, keys: list[str], firsts: dict[str, Column], order: str, facts: dict[str, Column] | None = None) -> DataFrame:
+    """One row per key: the first non-null value in ``order`` of each of ``firsts``, and the aggregates ``facts``.
+
+    Late, as ``extreme_rows``: one hash aggregate finds the facts and the row of each first value; only those rows, at most one
+    per value, are fetched and put together.
+    """
+    rows = keyed(df)
+    rank = _ranked(df, order)
+    marks = {n: f"_m{i}" for i, n in enumerate(firsts)}
+    found = rows.groupBy(*keys).agg(
+        F.min("_row").alias("_key"), *[F.min_by("_row", F.when(v.isNotNull(), rank)).alias(marks[n]) for n, v in firsts.items()],
+        *[c.alias(n) for n, c in (facts or {}).items()])
+    found = written(found, "found")
+    wins = found.select("_key", F.explode(F.array_distinct(F.array_compact(F.array(*marks.values())))).alias("_row"))
+    values = rows.select("_row", F.struct(*[v.alias(n) for n, v in firsts.items()]).alias("_values")).join(few(wins), "_row")
+    listed = values.groupBy("_key").agg(F.collect_list(F.struct("_row", "_values")).alias("_rows"))
+
+    def at(mark: str, name: str) -> Column:
+        return F.get(F.filter("_rows", lambda r: r["_row"] == F.col(mark)), F.lit(0))["_values"][name]
+
+    out = found.join(listed, "_key", "left")
+    return out.select(*keys, *[at(m, n).alias(n) for n, m in marks.items()], *(facts or {}))
+
+
 def with_prefix(counts: DataFrame, keys: list[str], index: str, size: str, out: str, base: int = 4096) -> DataFrame:
     """Sum of ``size`` over smaller ``index`` values of the same key, in two levels.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.flags import job_outcome
 from shelfspark.functions.select import truthy
-from shelfspark.operators.groups import first_by
+from shelfspark.operators.groups import first_by, first_values
 
 # Causes and states in the job log.
 REQUEST_DROPPED = "Request dropped"
@@ -21,18 +21,24 @@ STARTED, FINISHED = "spider_opened", "spider_closed"
 CAUSES = ("request_dropped", "item_dropped", "bucket_failed", "spider_error")
 
 
-def fold_columns(order: Column) -> dict[str, Column]:
-    """Aggregates that fold the events of one job; usable in batch and streaming."""
+def fold_values() -> dict[str, Column]:
+    """What the log keeps the first non-null value of."""
     event, value = F.col("event"), F.col("value")
-    on = lambda name, c: first_by(F.when(event == name, c), order)
     cause = F.when(event == "request_dropped", REQUEST_DROPPED).when(event.isin(*CAUSES), value)
     return {
-        "proxy_service": on("request_scheduled", F.coalesce(value, F.lit("none"))),
-        "response_time": on("response_received", F.col("latency")),
-        "status_code": on("response_received", value),
-        "errors_traceback": on("spider_error", value),
-        "first_cause": first_by(cause, order),
-        "uploaded_path": on("bucket_uploaded", value),
+        "proxy_service": F.when(event == "request_scheduled", F.coalesce(value, F.lit("none"))),
+        "response_time": F.when(event == "response_received", F.col("latency")),
+        "status_code": F.when(event == "response_received", value),
+        "errors_traceback": F.when(event == "spider_error", value),
+        "first_cause": cause,
+        "uploaded_path": F.when(event == "bucket_uploaded", value),
+    }
+
+
+def fold_facts() -> dict[str, Column]:
+    """Aggregates over all events of a job."""
+    event = F.col("event")
+    return {
         "scraped": F.coalesce(F.bool_or(event == "item_scraped"), F.lit(False)),
         "validation_failures": F.count_if(event == "item_dropped"),
         "started": F.min("ts"),
@@ -40,6 +46,11 @@ def fold_columns(order: Column) -> dict[str, Column]:
     }
 
 
+def fold_columns(order: Column) -> dict[str, Column]:
+    """Aggregates that fold the events of one job, for streams; ``job_log`` fetches its texts late."""
+    return {n: first_by(v, order) for n, v in fold_values().items()} | fold_facts()
+
+
 def settle(folded: DataFrame) -> DataFrame:
     """Status, cause, path and duration from folded columns."""
     cause = F.coalesce("first_cause", F.when(~F.col("scraped"), NOT_SCRAPED))
@@ -54,8 +65,7 @@ def settle(folded: DataFrame) -> DataFrame:
 
 def job_log(events: DataFrame) -> DataFrame:
     """One log record per job (AGG15)."""
-    folded = events.groupBy("job_id").agg(*[c.alias(n) for n, c in fold_columns(F.col("ord")).items()])
-    return settle(folded)
+    return settle(first_values(events, ["job_id"], fold_values(), "ord", fold_facts()))
 
 
 def load_seconds(responses: DataFrame) -> DataFrame:

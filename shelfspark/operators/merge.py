@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.operators.groups import first_by
+from shelfspark.operators.groups import extreme_rows, first_values
 
 
 def outstanding(requested: DataFrame, received: DataFrame) -> DataFrame:
@@ -24,11 +24,11 @@ def outstanding(requested: DataFrame, received: DataFrame) -> DataFrame:
 
 def merged_items(requested: DataFrame, received: DataFrame, fields: list[str], order: str = "seq") -> DataFrame:
     """One row per guid: first non-null value of each field over good answers, and whether it is complete."""
-    values = received.where("ok").groupBy("guid").agg(*[first_by(F.col(f), F.col(order)).alias(f) for f in fields])
+    values = first_values(received.where("ok"), ["guid"], {f: F.col(f) for f in fields}, order)
     rows = outstanding(requested, received).join(values, "guid", "left")
     return rows.withColumn("complete", F.col("outstanding") == 0)
 
 
 def merged_fragments(fragments: DataFrame, order: str = "seq") -> DataFrame:
     """(guid, field, value): first non-null value, for fields stored as rows."""
-    return fragments.where("ok AND value IS NOT NULL").groupBy("guid", "field").agg(F.min_by("value", order).alias("value"))
+    return extreme_rows(fragments.where("ok AND value IS NOT NULL"), ["guid", "field"], order).select("guid", "field", "value")

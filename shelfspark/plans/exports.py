@@ -153,17 +153,32 @@ def _(t):
     return t.spark.read.schema("job_id string, response_time double, failure_cause string, status string, s3_filepath string, duration double").json(path)
 
 
-@query("src2_archive_scan", """WITH a AS (SELECT page_id, replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', '') AS site, sha1(url) AS fingerprint, url, 1 + page_id % 3 AS day FROM pages WHERE page_id % 8 > 2 AND page_id % 5 <> 0)
-SELECT fingerprint, url, site FROM a WHERE site IN ('blog.ththan.example.net', 'therha.example.com', 'therer.example.com', 'therrin.example.net') AND day IN (1, 3)""")
-def _(t):
+_ARCHIVE_SITES = ["blog.ththan.example.net", "therha.example.com", "therer.example.com", "therrin.example.net"]
+_ARCHIVE_SQL = """WITH a AS (SELECT page_id, replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', '') AS site, sha1(url) AS fingerprint, url, 1 + page_id % 3 AS day FROM pages WHERE page_id % 8 > 2 AND page_id % 5 <> 0)
+SELECT fingerprint, url, site FROM a WHERE site IN ('blog.ththan.example.net', 'therha.example.com', 'therer.example.com', 'therrin.example.net')"""
+
+
+def _day_archive(t):
+    """All pages as answers of three days, stored."""
     path = work_path(t.spark, "archive")
     k = F.col("page_id")
     rows = t.pages.select(
         codes.domain(F.col("url")).alias("site"), F.make_date(F.lit(2024), F.lit(5), (k % 3 + 1).cast("int")).alias("crawl_date"), F.sha1(F.col("url").cast("binary")).alias("fingerprint"),
         "url", F.col("html").alias("body"), F.when(k % 8 > 2, 200).otherwise(404).alias("status"), (k % 5 == 0).alias("cached"))
     tables.append_archive(rows, path)
-    sites = ["blog.ththan.example.net", "therha.example.com", "therer.example.com", "therrin.example.net"]
-    return tables.read_archive(t.spark, path, sites, ["2024-05-01", "2024-05-03"]).select("fingerprint", "url", "site")
+    return path
+
+
+@query("src2_archive_scan", f"{_ARCHIVE_SQL} AND day IN (1, 3)")
+def _(t):
+    return tables.read_archive(t.spark, _day_archive(t), _ARCHIVE_SITES, ["2024-05-01", "2024-05-03"]).select("fingerprint", "url", "site")
+
+
+@query("src2_archive_lookup", f"""{_ARCHIVE_SQL} AND url IN (SELECT min(url) FROM pages GROUP BY regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))""")
+def _(t):
+    first = t.pages.groupBy(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)).agg(F.min("url").alias("url"))
+    wanted = first.select(F.sha1(F.col("url").cast("binary")).alias("fingerprint"))
+    return tables.read_archive(t.spark, _day_archive(t), _ARCHIVE_SITES, ["2024-05-01", "2024-05-02", "2024-05-03"], wanted).select("fingerprint", "url", "site")
 
 
 @query("src3_archive_append", """WITH a AS (SELECT page_id, sha1(url) AS fingerprint, page_id % 8 > 2 AND page_id % 5 <> 0 AS fresh FROM pages)

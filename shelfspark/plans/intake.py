@@ -190,8 +190,8 @@ def _(t):
 @query("win9_last_writes", """WITH r AS (SELECT user_id::VARCHAR || '-' || event_type AS fingerprint, ts, event_id, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 SELECT fingerprint, event_id, value FROM r WHERE rn = 1""")
 def _(t):
-    puts = t.events.select(F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("fingerprint"), "event_id", "value", F.struct("ts", "event_id").alias("put_ts"))
-    return archive.last_writes(puts).select("fingerprint", "event_id", "value")
+    puts = t.events.select(F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("fingerprint"), "event_id", "value", F.col("ts").alias("put_ts"))
+    return archive.last_writes(puts, tie="event_id").select("fingerprint", "event_id", "value")
 
 
 @query("jn14_archive_as_of", """WITH p AS (SELECT user_id, ts AS put_ts, CASE WHEN event_id % 4 <> 0 THEN 3600 * (1 + event_id % 90) END AS ttl_s FROM events WHERE event_type = 'signup'),

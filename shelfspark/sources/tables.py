@@ -5,38 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.archive import last_writes, not_stored, storable
+from shelfspark.operators.archive import bucket_of, last_writes, not_stored, storable, with_keys
 from shelfspark.operators.export import record_json
+from shelfspark.operators.groups import extreme_rows
 
 ARCHIVE_PARTITIONS = ("site", "crawl_date")
+#: Buckets of each site and day, by fingerprint; all writers and readers of one archive use the same number.
+SPREAD = 16
+#: Files are sorted by fingerprint. Short pages let the page index skip bodies, and bloom filters whole row groups.
+ARCHIVE_OPTIONS = {
+    "parquet.bloom.filter.enabled#fingerprint": "true", "parquet.bloom.filter.adaptive.enabled": "true", "parquet.page.row.count.limit": "200"}
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
-def read_archive(spark: SparkSession, path: str, sites: list[str], dates: list[str], fingerprints: DataFrame | None = None) -> DataFrame:
+def read_archive(
+        spark: SparkSession, path: str, sites: list[str], dates: list[str], fingerprints: DataFrame | None = None, spread: int = SPREAD) -> DataFrame:
     """Stored responses of some sites and days (SRC2); both prune partitions.
 
-    ``fingerprints`` narrows the scan to the wanted requests.
+    ``fingerprints`` narrows the scan to the wanted requests: a few of them choose buckets, row groups and pages.
     """
     rows = spark.read.parquet(path).where(F.col("site").isin(sites) & F.col("crawl_date").isin([F.lit(d).cast("date") for d in dates]))
-    return rows if fingerprints is None else rows.join(fingerprints.select("fingerprint"), "fingerprint", "left_semi")
+    return (rows if fingerprints is None else with_keys(rows, fingerprints, spread)).drop("bucket")
 
 
-def append_archive(responses: DataFrame, path: str, archive: DataFrame | None = None, spread: int = 16) -> None:
-    """Append fresh 200 responses the archive lacks (SRC3), partitioned by site and day.
+def append_archive(responses: DataFrame, path: str, archive: DataFrame | None = None, spread: int = SPREAD) -> None:
+    """Append fresh 200 responses the archive lacks (SRC3), partitioned by site, day and bucket, sorted by fingerprint.
 
-    One answer per fingerprint is stored, the last one by ``put_ts`` where the rows have it. Rows are spread by fingerprint
-    over ``spread`` tasks inside each partition, so a site with much of the crawl is written by many tasks.
+    One answer per fingerprint is stored, the last one by ``put_ts`` where the rows have it. A site with much of the crawl is
+    written by as many tasks as it has buckets.
     """
     rows = storable(responses)
     if archive is not None:
         rows = not_stored(rows, archive)
     columns = rows.columns
-    rows = last_writes(rows) if "put_ts" in columns else rows.dropDuplicates(["fingerprint"])
-    rows = rows.select(*columns).repartition(*ARCHIVE_PARTITIONS, F.pmod(F.xxhash64("fingerprint"), F.lit(spread)))
-    rows.write.partitionBy(*ARCHIVE_PARTITIONS).mode("append").parquet(path)
+    if "put_ts" in columns:
+        rows = last_writes(rows)
+    else:
+        rows = extreme_rows(rows.withColumn("_any", F.lit(0)), ["fingerprint"], "_any")
+    folders = [*ARCHIVE_PARTITIONS, "bucket"]
+    rows = rows.select(*columns).withColumn("bucket", bucket_of(F.col("fingerprint"), spread))
+    rows = rows.repartition(*folders).sortWithinPartitions(*folders, "fingerprint")
+    rows.write.options(**ARCHIVE_OPTIONS).partitionBy(*folders).mode("append").parquet(path)
 
 
 def write_export(records: DataFrame, path: str, day: Column) -> None:

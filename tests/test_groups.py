@@ -106,3 +106,45 @@ def test_only_cut_lists_are_grouped(spark, small_slices):
     stored = spark.read.parquet(*pieces)
     cut = stored.where("NOT _whole").count()
     assert stored.count() - cut >= 380 and cut <= 2 * (len(pieces) + 8)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_rows_match_and_are_never_sorted(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None, f"k{i % 50}"]), rnd.choice([None, -5, 0, i % 9, 2**63 - 1, -(2**63)]), f"body {i}") for i in range(800)]
+    df = spark.createDataFrame(rows, "key string, seq bigint, body string").coalesce(1)
+    last = {r.key: r for r in groups.extreme_rows(df, ["key"], "seq", last=True).collect()}
+    first = {r.key: r for r in groups.extreme_rows(df, ["key"], "seq").collect()}
+    for key in {r[0] for r in rows}:
+        own = [(i, r) for i, r in enumerate(rows) if r[0] == key]
+        top = max(own, key=lambda p: (p[1][1] if p[1][1] is not None else -(2**63), p[0]))[1]
+        low = min(own, key=lambda p: (p[1][1] if p[1][1] is not None else 2**63 - 1, p[0]))[1]
+        assert tuple(last[key]) == top and tuple(first[key]) == low
+    for made in (groups.extreme_rows(df, ["key"], "seq"), groups.first_values(df, ["key"], {"b": F.col("body")}, "seq", {"n": F.count("*")})):
+        assert "SortAggregate" not in plan_of(made) and "Sort [body" not in plan_of(made)
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_first_values_against_a_fold(spark, monkeypatch, most):
+    small = groups.few
+    monkeypatch.setattr(groups, "few", lambda df: small(df, most))
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", None, f"k{i % 30}"]), i, rnd.choice([None, "", f"t{i}"]), rnd.choice([None, 0.0, i / 7])) for i in range(600)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, seq int, title string, price double").repartition(5)
+    got = groups.first_values(df, ["key"], {"title": F.col("title"), "price": F.col("price"), "never": F.when(F.col("seq") < 0, F.col("title"))}, "seq", {"n": F.count("*")})
+    want = {}
+    for key, _, title, price in sorted(rows, key=lambda r: r[1]):
+        old = want.setdefault(key, [None, None, 0])
+        old[0] = title if old[0] is None else old[0]
+        old[1] = price if old[1] is None else old[1]
+        old[2] += 1
+    assert {r.key: [r.title, r.price, r.n] for r in got.collect()} == want and all(r.never is None for r in got.collect())
+
+
+def test_order_must_be_a_number_or_a_time(spark):
+    with pytest.raises(TypeError, match="seq"):
+        groups.extreme_rows(spark.createDataFrame([("a", "1")], "key string, seq string"), ["key"], "seq")
