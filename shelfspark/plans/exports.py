@@ -310,5 +310,5 @@ def _(t):
     nested = F.concat(F.lit('{"product":{"a":[1,{"upc":{"code":"'), F.col("o_orderstatus"), F.lit('","upc":"hidden"},"list":[{"upc":"sibling"}]}]}}'))
     listed = F.concat(F.lit('[{"upc":"'), F.col("o_orderpriority"), F.lit('"},{"x":{"y":{"upc":'), key, F.lit('}}},{"z":null}]'))
     document = F.when(k % 3 == 0, nested).when(k % 3 == 1, listed).otherwise(F.concat(F.lit('{"note":"upc","broken":'), key))
-    rows = t.orders.select(k.alias("k"), deepsearch.deep_values(document, "upc").alias("v"))
+    rows = deepsearch.with_deep_values(t.orders.select(k.alias("k"), document.alias("document")), "document", "upc", "v").drop("document")
     return rows.select("k", F.posexplode("v").alias("pos", "value"))

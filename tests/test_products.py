@@ -113,7 +113,7 @@ def test_repeated_details_do_not_multiply_variants(spark):
 def test_deep_search_survives_deep_and_escaped_documents(spark):
     docs = ["[" * 60_000 + '"k"' + "]" * 60_000, '{"\\u006b":1}']
     df = spark.createDataFrame([(d,) for d in docs], "d string")
-    assert [r.v for r in df.select(deepsearch.deep_values(F.col("d"), "k").alias("v")).collect()] == [[], ["1"]]
+    assert {r.d: r.v for r in deepsearch.with_deep_values(df, "d", "k", "v").collect()} == dict(zip(docs, [[], ["1"]]))
 
 
 def test_capped_results_drop_late_pages_before_the_window(spark):
@@ -218,7 +218,51 @@ def test_profiles_take_the_first_candidate(spark):
 def test_deep_search_stops_at_a_hit(spark):
     docs = ['{"a":{"k":{"k":1},"x":{"k":2}},"b":[{"k":3},[{"k":null}]]}', '{"k":"é","c":{"k":9}}', "broken \"k\"", None, '{"z":1}']
     df = spark.createDataFrame([(d,) for d in docs], "d string")
-    assert [r.v for r in df.select(deepsearch.deep_values(F.col("d"), "k").alias("v")).collect()] == [['{"k":1}', "3", "null"], ['"é"'], [], [], []]
+    assert {r.d: r.v for r in deepsearch.with_deep_values(df, "d", "k", "v").collect()} == dict(zip([r.d for r in df.collect()], [['{"k":1}', "3", "null"], ['"é"'], [], [], []]))
+
+
+def test_deep_search_at_any_depth_and_as_written(spark):
+    deep = lambda n, inner: '{"a":[' * n + inner + "]}" * n
+    docs = {
+        deep(15_000, '{"k": 1E5}'): ["1E5"], deep(15_000, '{"k":[1.10, {"k":2}]}'): ["[1.10, {\"k\":2}]"], deep(15_000, '{"k":1') : [],
+        '{"k" : 1.10 , "b":{"k":2}}': ["1.10"], '{"a":{"k":1},"k":-0.0e-7}': ["-0.0e-7"], '[{"k":1},{"k":"x, ]}"},{"b":[{"k":true}]}]': ["1", '"x, ]}"', "true"],
+        '{"k":1,"k":{"z": 2}}': ['{"z": 2}'], '{"b":"\\"k\\": 5","c":"{\\"k\\":1}"}': [], '{"\\u006b":[ ],"x":{"k":3}}': ["[ ]"], '{"k":1} x': [], '{"k":1}}': [], '{"k":"': [],
+        '{"a":"k","b":["k",{"k":null}]}': ["null"], "\n[ ]": [], '"k"': [], '{"k":12345678901234567890123.450}': ["12345678901234567890123.450"],
+        '{"kk":1,"k ":2,"K":3}': [], '{"a":' + json.dumps("q\\" * 30_000) + ',"k":' + json.dumps("\n" * 20_000) + "}": [json.dumps("\n" * 20_000)]}
+    df = spark.createDataFrame([(d, i) for i, d in enumerate([*docs, None])], "d string, _i int").repartition(3)
+    got = deepsearch.with_deep_values(df, "d", "k", "v")
+    assert {r.d: r.v for r in got.collect()} == {**docs, None: []} and got.columns == ["d", "_i", "v"]
+    assert not any(w in got._jdf.queryExecution().executedPlan().toString() for w in ("Python", "Pandas", "InArrow"))
+
+
+@pytest.mark.parametrize("key", ["a.b", "$x|y", 'q"t', "back\\slash", "", "é(", "\\E"])
+def test_deep_search_for_odd_keys(spark, key):
+    docs = [json.dumps({"z": [{key: 1.5}], "y": {"n": {key: "v"}}}), json.dumps({key + "x": 1}), json.dumps([{key: {key: 2}}], ensure_ascii=False)]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert {r.d: r.v for r in deepsearch.with_deep_values(df, "d", key, "v").collect()} == dict(
+        zip(docs, [["1.5", '"v"'], [], [json.dumps({key: 2}, ensure_ascii=False)]]))
+
+
+def test_deep_search_against_a_walk(spark):
+    rnd = random.Random(6)
+
+    def node(depth):
+        kind = rnd.random()
+        if depth > 5 or kind < 0.3:
+            return rnd.choice([1, -2.5, "k", 'a"k":b', "{[", None, True, "", [], {}])
+        if kind < 0.6:
+            return [node(depth + 1) for _ in range(rnd.randrange(4))]
+        return {rnd.choice(["k", "a", "b", 'k"', "c"]): node(depth + 1) for _ in range(rnd.randrange(4))}
+
+    def walk(n):
+        if isinstance(n, dict):
+            return [n["k"]] if "k" in n else [v for c in n.values() for v in walk(c)]
+        return [v for c in n for v in walk(c)] if isinstance(n, list) else []
+
+    trees = [node(0) for _ in range(400)]
+    df = spark.createDataFrame([(i, json.dumps(t, indent=rnd.choice([None, 1]))) for i, t in enumerate(trees)], "i int, d string")
+    got = {r.i: [json.loads(v) for v in r.v] for r in deepsearch.with_deep_values(df, "d", "k", "v").collect()}
+    assert got == {i: walk(t) for i, t in enumerate(trees)}
 
 
 def items_frame(spark):
