@@ -269,11 +269,19 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
     return stored(wanted.join(names, "row").select("row", "doc_id", "hash", "anchors"), "shared-anchors")
 
 
-def with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``row, doc_id, anchor, place, print, bytes`` of each segment with a shared anchor."""
-    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
+def met(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The texts with what ``lists`` has for their ``doc_id, hash``."""
+    lists = lists.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
     texts = texts_of(docs)
-    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["hash"] == wanted["_hash"])).select("row", "doc_id", "data", "anchors")
+    return texts.join(lists, texts["doc_id"].eqNullSafe(lists["_id"]) & (texts["hash"] == lists["_hash"])).drop("_id", "_hash", "hash")
+
+
+def pieces_of(text: bytes, places: np.ndarray, length: int) -> list[bytes]:
+    return [text[s : s + r + length - 1] for s, r in zip((places >> RUN_BITS).tolist(), (places & ((1 << RUN_BITS) - 1)).tolist())]
+
+
+def occurrences(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``row, doc_id, anchor, place, print`` (a hash of its bytes) of each segment with a shared anchor."""
 
     def cut(batches):
         import xxhash
@@ -281,29 +289,47 @@ def with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for b in batches:
             data, lists = b["data"].to_pylist(), b["anchors"]
             flat, bounds = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()]).tolist()
-            owner, anchors, places, pieces = [], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], []
+            empty = np.zeros(0, dtype=np.int64)
+            owners, anchors, places, prints = [empty], [empty], [empty], []
             for i, found, at in segments_of(data, length):
                 keep = np.isin(found, flat[bounds[i] : bounds[i + 1]])
                 at = at[keep]
                 anchors.append(found[keep])
                 places.append(at)
-                owner += [i] * len(at)
-                text = data[i]
-                pieces += [text[s : s + r + length - 1] for s, r in zip((at >> RUN_BITS).tolist(), (at & ((1 << RUN_BITS) - 1)).tolist())]
-            prints = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), dtype=np.uint64, count=len(pieces)).view(np.int64)
-            of = pa.array(owner, pa.int64())
-            yield {"row": b["row"].take(of), "doc_id": b["doc_id"].take(of), "anchor": pa.array(np.concatenate(anchors)),
-                   "place": pa.array(np.concatenate(places)), "print": pa.array(prints), "bytes": pa.array(pieces, pa.binary())}
+                owners.append(np.full(len(at), i))
+                prints += map(xxhash.xxh3_64_intdigest, pieces_of(data[i], at, length))
+            owner, anchor, place = (pa.array(np.concatenate(c)) for c in (owners, anchors, places))
+            printed = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+            yield {"row": b["row"].take(owner), "doc_id": b["doc_id"].take(owner), "anchor": anchor, "place": place, "print": printed}
+
+    return by_arrow(met(docs, wanted), cut, f"row bigint, doc_id {id_type(docs)}, anchor bigint, place bigint, print bigint")
+
+
+SEGMENT = ("anchor", "print", "low", "high", "open")
+
+
+def with_bytes(docs: DataFrame, chosen: DataFrame, names: DataFrame, length: int) -> DataFrame:
+    """``chosen`` segments (row, place and ``SEGMENT``) with their ``bytes``."""
+    lists = chosen.groupBy("row").agg(F.collect_list(F.struct("place", *SEGMENT)).alias("segments")).join(names, "row").drop("row")
+
+    def cut(batches):
+        for b in batches:
+            found, pieces, at = b["segments"].flatten(), [], 0
+            places = found.field("place").to_numpy()
+            for text, n in zip(b["data"], b["segments"].value_lengths().to_pylist()):
+                pieces += pieces_of(text.as_py(), places[at : at + n], length)
+                at += n
+            yield {c: found.field(c) for c in SEGMENT} | {"bytes": pa.array(pieces, pa.binary())}
 
-    schema = f"row bigint, doc_id {id_type(docs)}, anchor bigint, place bigint, print bigint, bytes binary"
-    return by_arrow(met, cut, schema)
+    ids = id_type(docs)
+    return by_arrow(met(docs, lists).select("data", "segments"), cut, f"anchor bigint, print bigint, low {ids}, high {ids}, open boolean, bytes binary")
 
 
 def sorted_buckets(segments: DataFrame, length: int, ids: str) -> DataFrame:
     """``anchor, print, first, last, low``: runs of windows of a segment, counted from its first, and the smallest id that has them.
 
-    ``segments``: anchor, print, bytes, low, high, open (whether rows without id have it), each once. Runs that no larger id has
-    are left out.
+    ``segments``: ``SEGMENT`` (smallest and largest id that have it, and whether rows without id do) and bytes, each once. Runs that
+    no larger id has are left out.
     """
 
     def rows(batches):
@@ -392,21 +418,26 @@ def _repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     wanted = shared_anchors(rows)
     names = stored(wanted.select("row", "doc_id", "hash"), "names")
     discard(spark, rows_path)  # by far the largest tables go as soon as they are used
-    found, found_path = put(with_bytes(docs, wanted, length), "segments")
-    distinct, distinct_path = put(
-        found.groupBy("anchor", "print", "bytes").agg(
-            F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bool_or(F.col("doc_id").isNull()).alias("open")), "distinct")
-    hot = small_side(stored(distinct.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor"), "hot"))
-    plain = sorted_buckets(distinct.join(hot, "anchor", "left_anti"), length, id_type(docs))
-    runs = stored(plain.unionByName(grouped_windows(distinct.join(hot, "anchor", "left_semi"), length)), "runs")
-    discard(spark, distinct_path)
+    found = stored(occurrences(docs, wanted, length), "occurrences")
+    # Equal segments are one, with an occurrence that stands for it.
+    distinct = stored(found.groupBy("anchor", "print").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bool_or(F.col("doc_id").isNull()).alias("open"),
+        F.min("row").alias("row"), F.min_by("place", "row").alias("place")), "distinct")
+    sizes = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    # A bucket of one segment needs no sorting: all its windows have the segment's documents.
+    alone = distinct.join(sizes.hint("shuffle_hash"), "anchor", "left_anti").where("low < high OR open AND low IS NOT NULL")
+    alone = alone.select("anchor", "print", F.lit(0).alias("first"), (F.col("place").bitwiseAND(F.lit((1 << RUN_BITS) - 1)) - 1).cast("int").alias("last"), "low")
+    chosen = distinct.join(sizes.hint("shuffle_hash"), "anchor")
+    segments, segments_path = put(with_bytes(docs, chosen, names, length), "segments")
+    hot = small_side(stored(sizes.where(F.col("n") > HOT).select("anchor"), "hot"))
+    plain = sorted_buckets(segments.join(hot, "anchor", "left_anti"), length, id_type(docs))
+    runs = stored(alone.unionByName(plain).unionByName(grouped_windows(segments.join(hot, "anchor", "left_semi"), length)), "runs")
+    discard(spark, segments_path)
     start = F.shiftright("place", RUN_BITS)
-    met = found.select("row", "doc_id", "anchor", "place", "print").join(runs, ["anchor", "print"]).where("low < doc_id OR doc_id IS NULL")
-    spans = met.groupBy("row").agg(F.collect_list(F.struct(
+    repeated = found.join(runs, ["anchor", "print"]).where("low < doc_id OR doc_id IS NULL")
+    spans = repeated.groupBy("row").agg(F.collect_list(F.struct(
         (start + F.col("first")).alias("start"), (start + F.col("last") + length).alias("stop"))).alias("spans"))
-    out = stored(spans.join(names, "row").drop("row"), "spans")
-    discard(spark, found_path)
-    return out
+    return stored(spans.join(names, "row").drop("row"), "spans")
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -420,7 +451,7 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """
     spans = repeated_spans(docs, length).withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).hint("shuffle_hash")
     texts = texts_of(docs)
-    met = texts.join(spans, texts["doc_id"].eqNullSafe(spans["_id"]) & (texts["hash"] == spans["_hash"]), "left")
+    judged = texts.join(spans, texts["doc_id"].eqNullSafe(spans["_id"]) & (texts["hash"] == spans["_hash"]), "left")
 
     def rows(batches):
         for b in batches:
@@ -442,4 +473,4 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             yield out | {"doc_id": b["doc_id"]}
 
     schema = f"doc_id {id_type(docs)}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return by_arrow(met.select("doc_id", "data", "spans"), rows, schema)
+    return by_arrow(judged.select("doc_id", "data", "spans"), rows, schema)
