@@ -129,51 +129,113 @@ METHODS: dict[str, Callable[[Column, str], Column]] = {
 DEFAULT_SITE = "*"
 
 
-def extract_fields(pages: DataFrame, candidates: list[Candidate]) -> DataFrame:
-    """Profile-driven fields, one scan for all sites (PAG5).
+#: Columns of a profile table, one row per candidate.
+PROFILE_SCHEMA = "site string, field string, method string, expr string, priority int"
+#: A profile table is read whole by the driver, which compiles it; a larger one is refused.
+MOST_CANDIDATES = 100_000
 
-    Each field is one expression: the site picks its chain of candidates, and the first
-    non-null one wins. Sites without a chain use the one of ``DEFAULT_SITE``.
+
+def read_profiles(profiles: DataFrame) -> list[Candidate]:
+    """Candidates of a profile table (``PROFILE_SCHEMA``), checked."""
+    rows = profiles.select("site", "field", "method", "expr", F.coalesce("priority", F.lit(0)).alias("priority")).limit(MOST_CANDIDATES + 1).collect()
+    if len(rows) > MOST_CANDIDATES:
+        raise ValueError(f"a profile table has at most {MOST_CANDIDATES} rows")
+    unknown = sorted({str(r.method) for r in rows} - METHODS.keys())
+    if unknown or any(v is None for r in rows for v in r):
+        raise ValueError(f"profile rows need a site, a field, an expression and a known method; unknown: {unknown}")
+    return [Candidate(*r) for r in rows]
+
+
+Chain = tuple[tuple[str, str], ...]
+
+
+def _families(candidates: list[Candidate]) -> dict[tuple[tuple[str, Chain], ...], list[str]]:
+    """Sites with the same chain for every field, by these chains. The default's chains fill in for fields a site does not name."""
+    chains: dict[str, dict[str, list]] = {}
+    for c in sorted(candidates, key=lambda c: (c.priority, c.method, c.expr)):
+        chains.setdefault(c.site, {}).setdefault(c.field, []).append((c.method, c.expr))
+    shared = chains.get(DEFAULT_SITE, {})
+    families: dict[tuple, list[str]] = {}
+    for site in sorted(chains, key=lambda s: (s != DEFAULT_SITE, s)):
+        whole = tuple(sorted((f, tuple(chain)) for f, chain in (shared | chains[site]).items()))
+        families.setdefault(whole, []).append(site)
+    return families
+
+
+def _family_of(families: list[list[str]]) -> Column:
+    """Number of the family that a row's site belongs to, that of ``DEFAULT_SITE`` for all others, -1 without one."""
+    of = {site: i for i, sites in enumerate(families) for site in sites if site != DEFAULT_SITE}
+    rest = F.lit(next((i for i, sites in enumerate(families) if DEFAULT_SITE in sites), -1))
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in of.items() for x in pair])[F.col("site")], rest) if of else rest
+
+
+def _slot(method: str, exprs: dict[int, str], n: int) -> Column:
+    """What ``method`` reads for rows of the families ``exprs`` names, each with its own expression; null for all others.
+
+    Patterns and constants are looked up in an array by family, so that the compiled code does not grow with the number of
+    sites; a pattern is made ready when a row's differs from that of the row before, so pages stored by site cost nothing.
     """
-    site = F.col("site")
+    family, html = F.col("_family"), F.col("html")
+    if len(set(exprs.values())) > 1 and method in ("regex", "constant"):
+        own = F.get(F.array(*[F.lit(exprs.get(i)).cast("string") for i in range(n)]), family)
+        return own if method == "constant" else truthy(F.call_function("regexp_extract", html, own, F.lit(1)), "string")
+    column = F.when(F.lit(False), F.lit(None).cast("string"))
+    for expr in dict.fromkeys(exprs.values()):
+        where = [i for i, e in exprs.items() if e == expr]
+        column = column.when(family.isin(where), METHODS[method](html, expr).cast("string"))
+    return column
+
+
+def extract_fields(pages: DataFrame, profiles: list[Candidate] | DataFrame) -> DataFrame:
+    """Profile-driven fields, one scan for all sites (PAG5). ``profiles``: candidates, or a table of them (``PROFILE_SCHEMA``).
+
+    The first non-null candidate of a field wins, by priority. Sites with the same candidates throughout are one family, looked up
+    once per row. Fields a site does not name, and sites without a profile, use the chains of ``DEFAULT_SITE``.
+    """
+    candidates = read_profiles(profiles) if isinstance(profiles, DataFrame) else profiles
     rows = pages.withColumn("site", codes.domain(F.col("url")))
     if any(c.method == "json_ld" for c in candidates):
         # Parsed once per page, however many candidates look into it.
         rows = rows.withColumn("_ld", json_ld(F.col("html")))
+    families = _families(candidates)
     columns = []
     for field in sorted({c.field for c in candidates}):
-        chains: dict[str, list[Candidate]] = {}
-        for c in sorted((c for c in candidates if c.field == field), key=lambda c: c.priority):
-            chains.setdefault(c.site, []).append(c)
-        read = lambda chain: F.coalesce(*[METHODS[c.method](F.col("html"), c.expr) for c in chain])
-        value = F.when(F.lit(False), F.lit(None).cast("string"))
-        for name, chain in chains.items():
-            if name != DEFAULT_SITE:
-                value = value.when(site == name, read(chain))
-        value = value.otherwise(read(chains[DEFAULT_SITE])) if DEFAULT_SITE in chains else value
-        columns.append(value.alias(field))
-    return rows.select("page_id", "site", *columns)
+        chains = {i: dict(whole).get(field, ()) for i, whole in enumerate(families)}
+        slots = []
+        for place in range(max(map(len, chains.values()))):
+            tried = {i: chain[place] for i, chain in chains.items() if len(chain) > place}
+            for method in dict.fromkeys(m for m, _ in tried.values()):
+                slots.append(_slot(method, {i: e for i, (m, e) in tried.items() if m == method}, len(families)))
+        columns.append(F.coalesce(*slots).alias(field))
+    family = _family_of(list(families.values()))
+    return rows.withColumn("_family", family).select("page_id", "site", *columns)
 
 
-SiteHook = Callable[[DataFrame], DataFrame]
+#: Columns that a site reads from ``page_id``, ``url``, ``html`` and ``site``.
+SiteHook = Callable[[], dict[str, Column]]
 
 
-def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook], store: str, default: SiteHook | None = None) -> DataFrame:
-    """Run each site's own DataFrame function on its pages and union the results (UDF3).
+def apply_site_hooks(pages: DataFrame, hooks: dict[str, SiteHook], default: SiteHook | None = None) -> DataFrame:
+    """Each site's own columns on its pages (UDF3), all hooks in one pass over the pages where they are.
 
-    The pages of these sites are written once under ``store``, by site, so that each hook
-    reads its own partition instead of the whole corpus. ``default`` runs on the pages of all other sites, where they are.
+    Columns that a site's hook does not give are null; columns of one name need one type. Sites with the same hook share a branch.
+    ``default`` gives the columns of all other sites; without it their pages are left out.
     """
-    sited = pages.withColumn("site", codes.domain(F.col("url")))
-    hooked = F.coalesce(F.col("site").isin(*hooks), F.lit(False))
-    rows = sited.where(hooked)
-    rows.write.partitionBy("site").mode("overwrite").parquet(store)
-    stored = pages.sparkSession.read.schema(rows.schema).parquet(store)
-    out = None if default is None else default(sited.where(~hooked))
-    for name, hook in hooks.items():
-        part = hook(stored.where(F.col("site") == name))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    rows = pages.withColumn("site", codes.domain(F.col("url")))
+    if default is None:
+        rows = rows.where(F.col("site").isin(*hooks))
+    families: dict[SiteHook, list[str]] = {}
+    for site, hook in [*hooks.items(), *([(DEFAULT_SITE, default)] if default is not None else [])]:
+        families.setdefault(hook, []).append(site)
+    values = [hook() for hook in families]
+    columns = []
+    for name in dict.fromkeys(n for v in values for n in v):
+        column = F.when(F.lit(False), F.lit(None))
+        for i, own in enumerate(values):
+            if name in own:
+                column = column.when(F.col("_family") == i, own[name])
+        columns.append(column.alias(name))
+    return rows.withColumn("_family", _family_of(list(families.values()))).select("page_id", "site", *columns)
 
 
 def listing_links(pages: DataFrame) -> DataFrame:

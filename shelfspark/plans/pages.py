@@ -8,7 +8,6 @@ from shelfspark.functions import codes
 from shelfspark.functions.text import between
 from shelfspark.operators import pages as op
 from shelfspark.plans.registry import query
-from shelfspark.session import work_path
 
 _UN = ("replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
 _DOMAIN = "replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', '')"
@@ -101,17 +100,17 @@ SELECT page_id, site, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), ''
     WHEN 'cheap-pills.example.com' THEN coalesce(nullif(regexp_extract(html, '<h2>(.*?)</h2>', 1), ''), nullif(title, ''))
     ELSE nullif(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '') END AS title FROM s""")
 def _(t):
-    return op.extract_fields(_rich(t), _PROFILES)
+    return op.extract_fields(_rich(t), t.spark.createDataFrame(_PROFILES, op.PROFILE_SCHEMA))
 
 
 @query("udf3_site_hooks", f"""SELECT page_id, {_DOMAIN} AS site, CASE WHEN {_DOMAIN} = 'casino-win.example.org' THEN length(html) END AS size,
   CASE WHEN {_DOMAIN} = 'spam-farm.example.org' THEN split_part(url, '?', 1) END AS bare FROM pages""")
 def _(t):
     hooks = {
-        "casino-win.example.org": lambda df: df.select("page_id", "site", F.length("html").cast("bigint").alias("size")),
-        "spam-farm.example.org": lambda df: df.select("page_id", "site", codes.without_query(F.col("url")).alias("bare")),
+        "casino-win.example.org": lambda: {"size": F.length("html").cast("bigint")},
+        "spam-farm.example.org": lambda: {"bare": codes.without_query(F.col("url"))},
     }
-    return op.apply_site_hooks(t.pages, hooks, work_path(t.spark, "sites"), default=lambda df: df.select("page_id", "site"))
+    return op.apply_site_hooks(t.pages, hooks, default=dict)
 
 
 @query("pag6_listing_links", """WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS a FROM pages)

@@ -215,6 +215,50 @@ def test_profiles_take_the_first_candidate(spark):
     assert [(r.title, r.note) for r in pages.extract_fields(df, chain).orderBy("page_id").collect()] == [("second", "x"), ("first", "x")]
 
 
+def test_sixty_sites_of_thirty_fields_are_compiled_and_read_once(spark, tmp_path):
+    """Every site has its own candidate for every field; nothing may fall back to interpreted expressions."""
+    sites, fields = [f"shop{i}.example" for i in range(60)], [f"f{i:02}" for i in range(30)]
+    rows = [(100 * i + k, f"https://{s}/p", "".join(f"<{f}-{i}>{f} of {i}.{k}</x>" for f in fields[k:])) for i, s in enumerate(sites) for k in range(3)]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([*rows, (9000, "https://other.example/", "<f00-1>x</x>")], "page_id int, url string, html string").coalesce(2).write.parquet(path)
+    profiles = [(s, f, "regex", f"<{f}-{i}>([^<]*)<", 0) for i, s in enumerate(sites) for f in fields] + [("*", f, "constant", "none", 9) for f in fields]
+    table = spark.createDataFrame(profiles, pages.PROFILE_SCHEMA)
+    old = spark.conf.get("spark.sql.codegen.factoryMode")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        got = pages.extract_fields(spark.read.parquet(path), table)
+        found = {r.page_id: r for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.codegen.factoryMode", old)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    for page_id, url, _ in rows:
+        i, k = divmod(page_id, 100)
+        assert [found[page_id][f] for f in fields] == [f"{f} of {i}.{k}" if n >= k else None for n, f in enumerate(fields)]
+    assert {found[9000][f] for f in fields} == {"none"} and len(found) == len(rows) + 1
+
+
+def test_profile_tables_are_checked(spark):
+    df = page_frame(spark, "<h1>a</h1>")
+    for row in (("*", "x", "xpath", "//h1", 0), ("*", None, "regex", "a", 0)):
+        with pytest.raises(ValueError, match="profile"):
+            pages.extract_fields(df, spark.createDataFrame([row], pages.PROFILE_SCHEMA))
+    same = [(s, "t", "regex", "<h1>([^<]*)", None) for s in ("a.example", "b.example", "shop.example")]
+    assert len(pages._families(pages.read_profiles(spark.createDataFrame(same, pages.PROFILE_SCHEMA)))) == 1
+
+
+def test_site_hooks_leave_pages_where_they_are(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    rows = [(1, "https://a.example/x?y", "<p>"), (2, "https://b.example/", "abc"), (3, "https://c.example/", ""), (4, None, "x")]
+    spark.createDataFrame(rows, "page_id int, url string, html string").write.parquet(path)
+    size = lambda: {"size": F.length("html"), "kind": F.lit("sized")}
+    hooks = {"a.example": size, "b.example": size, "c.example": lambda: {"kind": F.upper("url")}}
+    got = pages.apply_site_hooks(spark.read.parquet(path), hooks)
+    assert {r.page_id: (r.size, r.kind) for r in got.collect()} == {1: (3, "sized"), 2: (3, "sized"), 3: (None, "HTTPS://C.EXAMPLE/")}
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert pages.apply_site_hooks(spark.read.parquet(path), hooks, default=dict).count() == 4
+
+
 def test_deep_search_stops_at_a_hit(spark):
     docs = ['{"a":{"k":{"k":1},"x":{"k":2}},"b":[{"k":3},[{"k":null}]]}', '{"k":"é","c":{"k":9}}', "broken \"k\"", None, '{"z":1}']
     df = spark.createDataFrame([(d,) for d in docs], "d string")
