@@ -188,28 +188,35 @@ def other_skus(variants: DataFrame, products: DataFrame) -> DataFrame:
 def leaf_counts(nodes: DataFrame, pinned) -> DataFrame:
     """Leaves below every root of a forest (AGG21). ``nodes``: id, parent_id (null at a root), each id once.
 
-    A node whose parent is not among the nodes is a root as well. Roots are handed down one level per round, so each node
-    is visited once and rounds end with the deepest one; nodes on or below a cycle have no root and are never reached
+    A node whose parent is not among the nodes is a root as well. Nodes on or below a cycle have no root and are left out
     (``rootless`` names them). ``pinned`` cuts the lineage per round.
     """
     inner = nodes.select(F.col("parent_id").alias("id")).where("id IS NOT NULL").distinct()
-    leaves = _rooted(nodes, pinned).join(inner, "id", "left_anti")
+    leaves = _rooted(nodes, pinned)[0].join(inner, "id", "left_anti")
     return leaves.groupBy(F.col("root").alias("id")).agg(F.count("*").alias("leaves"))
 
 
 def rootless(nodes: DataFrame, pinned) -> DataFrame:
     """Nodes on or below a cycle."""
-    return nodes.join(_rooted(nodes, pinned).select("id"), "id", "left_anti")
+    return _rooted(nodes, pinned)[1]
 
 
-def _rooted(nodes: DataFrame, pinned) -> DataFrame:
-    """(id, root) of every node that has a root."""
+def _rooted(nodes: DataFrame, pinned) -> tuple[DataFrame, DataFrame]:
+    """(id, root) of every node that has a root, and the ids of those that have none.
+
+    Pointers double: a node knows the ancestor 1, 2, 4, ... levels above, and in each round takes over what that one knows, so
+    rounds grow with the logarithm of the depth. Only nodes still on their way are stored again. A round that brings
+    no node to a root ends it: depths have no gaps, so what is left lies on or below cycles.
+    """
     known = nodes.select(F.col("id").alias("_id")).distinct()
-    tops = nodes.join(known, nodes["parent_id"] == known["_id"], "left_anti").select("id", F.col("id").alias("root"))
-    level = pinned(tops)
-    done = level
-    while not level.isEmpty():
-        above = level.select(F.col("id").alias("parent_id"), "root")
-        level = pinned(nodes.join(above, "parent_id").select("id", "root"))
-        done = done.unionByName(level)
-    return done
+    first = nodes.join(known, nodes["parent_id"] == known["_id"], "left")
+    first = pinned(first.select("id", F.coalesce("_id", "id").alias("up"), F.col("_id").isNull().alias("at_root")))
+    done, open_ = first.where("at_root"), first.where("NOT at_root")
+    while not open_.isEmpty():
+        above = done.unionByName(open_).select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("at_root").alias("_at_root"))
+        moved = pinned(open_.drop("at_root").join(above, "up").select("id", F.col("_up").alias("up"), F.col("_at_root").alias("at_root")))
+        arrived, open_ = moved.where("at_root"), moved.where("NOT at_root")
+        if arrived.isEmpty():
+            break
+        done = done.unionByName(arrived)
+    return done.select("id", F.col("up").alias("root")), open_.select("id")

@@ -104,32 +104,36 @@ def _(t):
 # ---- sinks ----------------------------------------------------------------
 
 def write_export_files(t, chunk=export.LIST_CHUNK):
-    """Write the records, and the further parts of long marketplace lists beside them; the paths of both."""
+    """Write the records, and the further parts of long marketplace lists beside them; the path of both.
+
+    The run is named, and started a second time, which adds nothing.
+    """
     path = work_path(t.spark, "export")
     items, parts = export_items(t, chunk)
     records = export.export_records(items)
     day = F.make_date(F.lit(2024), F.col("_size") % 3 + 1, F.lit(5))
     sized = records.join(t.part.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_size").alias("_size")), "product_id")
-    tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"))
-    parts.write.mode("append").json(f"{path}-marketplace")
-    return path, f"{path}-marketplace"
+    for _ in range(2):
+        tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"), run="all-parts", marketplace=parts)
+    return path
 
 
 def exported_marketplace(t, chunk=export.LIST_CHUNK):
     """Marketplace rows in the files, by product and part: part 0 is the record's own list."""
-    path, further = write_export_files(t, chunk)
-    schema = "product_id string, sellers struct<marketplace_sellers:array<string>>"
-    first = t.spark.read.schema(schema).json(path).select("product_id", F.lit(0).cast("bigint").alias("part"), F.col("sellers.marketplace_sellers").alias("names"))
-    rest = t.spark.read.schema("product_id string, part bigint, marketplace array<struct<name:string>>").json(further)
-    return first.unionByName(rest.select("product_id", "part", F.col("marketplace.name").alias("names"))).where(F.size("names") > 0).select(
-        "product_id", "part", F.size("names").cast("bigint").alias("n"), F.element_at("names", 1).alias("first_name"), F.element_at("names", -1).alias("last_name"))
+    path = write_export_files(t, chunk)
+    rows = "marketplace array<struct<name:string>>"
+    first = tables.read_export(t.spark, path, f"product_id string, {rows}").select("product_id", F.lit(0).cast("bigint").alias("part"), "marketplace")
+    rest = tables.read_export(t.spark, path, f"product_id string, part bigint, {rows}", part="marketplace")
+    names = F.col("marketplace.name")
+    return first.unionByName(rest).where(F.size("marketplace") > 0).select(
+        "product_id", "part", F.size("marketplace").cast("bigint").alias("n"), F.element_at(names, 1).alias("first_name"), F.element_at(names, -1).alias("last_name"))
 
 
 @query("snk1_export_files", f"""WITH {_ITEMS_SQL} SELECT p_partkey::VARCHAR AS product_id, p_name AS title, '2024' AS y, lpad((1 + p_size % 3)::VARCHAR, 2, '0') AS m, '05' AS d, coalesce(n, 0) AS review_count FROM items""")
 def _(t):
-    path, _ = write_export_files(t)
+    path = write_export_files(t)
     schema = "product_id string, title string, reviews struct<review_count:bigint>, y string, m string, d string"
-    return t.spark.read.schema(schema).json(path).select("product_id", "title", "y", "m", "d", F.col("reviews.review_count").alias("review_count"))
+    return tables.read_export(t.spark, path, schema).select("product_id", "title", "y", "m", "d", F.col("reviews.review_count").alias("review_count"))
 
 
 @query("snk1_export_marketplace", f"""WITH r AS (SELECT l_partkey, s_name, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1 AS p FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey IN (SELECT p_partkey FROM part))

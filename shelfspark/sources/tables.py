@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfspark.operators.archive import bucket_of, last_writes, not_stored, storable, with_keys
 from shelfspark.operators.export import record_json
@@ -51,13 +55,66 @@ def append_archive(responses: DataFrame, path: str, archive: DataFrame | None =
     rows.write.options(**ARCHIVE_OPTIONS).partitionBy(*folders).mode("append").parquet(path)
 
 
-def write_export(records: DataFrame, path: str, day: Column) -> None:
+def commit_run(spark: SparkSession, path: str, run: str, write: Callable[[str], None]) -> bool:
+    """Have ``write`` fill a folder of its own below ``path``, then name that folder in the run's manifest; whether it came to that.
+
+    A run with a manifest is not written again. One that broke off has none; its files are never read, and the next attempt
+    writes others. The manifest is created only if it is absent, so of two attempts at a time one counts.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    manifest = jvm.Path(f"{path}/commits/{run}")
+    files = manifest.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def named() -> bool:
+        # An empty manifest is one whose writer broke off in between.
+        return files.exists(manifest) and files.getFileStatus(manifest).getLen() > 0
+
+    if named():
+        return False
+    attempt = f"run={run}/attempt={uuid.uuid4().hex}"
+    write(f"{path}/runs/{attempt}")
+    if named():
+        return False
+    out = files.create(manifest, files.exists(manifest))
+    out.writeBytes(f"{attempt}\n")
+    out.close()
+    return True
+
+
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """Folders that manifests name, one per run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    return sorted(f"{path}/runs/{r.value}" for r in spark.read.text(f"{path}/commits").distinct().collect())
+
+
+def write_export(records: DataFrame, path: str, day: Column, run: str | None = None, marketplace: DataFrame | None = None) -> bool:
     """JSON Lines under year, month and day (SNK1): item fields without nulls, and every key of the record.
 
-    Empty partitions write no file; Spark names the files.
+    ``run`` names the run (of letters, digits, ``-`` and ``_``); repeated under the same name, it writes nothing, and broken off, it
+    leaves nothing that ``read_export`` reads. ``marketplace`` are further parts of long lists, committed with the records. Empty
+    partitions write no file; Spark names the files.
     """
     dated = records.select(record_json(records).alias("value"), *[F.date_format(day, f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"))])
-    dated.write.partitionBy("y", "m", "d").mode("append").text(path)
+
+    def write(folder: str) -> None:
+        dated.write.partitionBy("y", "m", "d").text(f"{folder}/table=records")
+        if marketplace is not None:
+            marketplace.write.json(f"{folder}/table=marketplace")
+
+    return commit_run(records.sparkSession, path, run or uuid.uuid4().hex, write)
+
+
+def read_export(spark: SparkSession, path: str, schema: str, part: str = "records") -> DataFrame:
+    """Exported rows of all committed runs; records have the columns ``y``, ``m`` and ``d`` as well if ``schema`` names them."""
+    files = spark._jvm.org.apache.hadoop.fs
+    folders = [f"{folder}/table={part}" for folder in committed(spark, path)]
+    folders = [f for f in folders if files.Path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(files.Path(f))]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", f"{path}/runs").json(folders)
+    return rows.select(StructType.fromDDL(schema).names)
 
 
 def write_messages(messages: DataFrame, path: str) -> None:

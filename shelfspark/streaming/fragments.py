@@ -2,98 +2,78 @@
 
 Fragments: guid, ts, kind ('request' or 'response'), fingerprint, initial, ok, seq and one
 text column per field. An item leaves as soon as nothing is outstanding; one that stays
-silent leaves incomplete when its timer fires, so no state is kept for ever.
+silent leaves incomplete when its time is over, so no state is kept for ever.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+#: Requests, last event time, open requests by fingerprint, and the first value of each field with its place.
+STATE = "requests bigint, seen bigint, open map<string, bigint>, best map<string, struct<seq: bigint, value: string>>"
 
-class FragmentMerge(StatefulProcessor):
-    """One state value per guid, read and written at most once a micro-batch.
 
-    It holds, as JSON, the number of requests, the last event time, the open requests by fingerprint and the best
-    [seq, value] of each field; an item has few of either.
-    """
-
-    def __init__(self, fields: list[str], silence_ms: int):
-        self.fields = fields
-        self.silence_ms = silence_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.item = handle.getValueState("item", "item string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.item.get()
-        requests, seen, open_, best = json.loads(stored[0]) if stored else (0, 0, {}, {})
-        seen = max(seen, timerValues.getCurrentWatermarkInMs())
-        columns = ["kind", "fingerprint", "initial", "ok", "seq", *self.fields]
-        for batch in rows:
-            seen = max(seen, int(pd.Timestamp(batch["ts"].max()).timestamp() * 1000))
-            # Most groups are a few rows, where plain lists beat frame operations.
-            for kind, name, initial, ok, seq, *values in zip(*(batch[c].tolist() for c in columns)):
-                if kind == "request":
-                    requests += 1
-                    open_[name] = open_.get(name, 0) + 1
-                elif ok or not initial:
-                    # A failed answer settles a request, except the initial one.
-                    open_[name] = open_.get(name, 0) - 1
-                if kind == "response" and ok:
-                    for field, value in zip(self.fields, values):
-                        if value is not None and (field not in best or seq < best[field][0]):
-                            best[field] = [int(seq), value]
-        if requests and not self._outstanding(open_):
-            yield self._emit(key, True, open_, best)
-            if stored:
-                self._forget()
-            return
-        self.item.update((json.dumps([requests, seen, {name: n for name, n in open_.items() if n}, best]),))
-        if stored:
-            self._drop_timers()
-        # Silence counts from the item's own last event: the watermark is still 0 in the first micro-batch.
-        self.handle.registerTimer(seen + self.silence_ms)
+def outstanding(open_: dict[str, int]) -> int:
+    return sum(n for n in open_.values() if n > 0)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        stored = self.item.get()
-        if stored:
-            _, _, open_, best = json.loads(stored[0])
-            yield self._emit(key, False, open_, best)
-            self._forget()
 
-    def close(self) -> None:
-        pass
+def fold(state: tuple, rows: pd.DataFrame, fields: list[str]) -> tuple:
+    """State after the fragments of one item."""
+    requests, seen, open_, best = state
+    seen = max(seen, int(rows["_ms"].max()))
+    for kind, name, initial, ok, seq, *values in zip(*(rows[c].tolist() for c in ("kind", "fingerprint", "initial", "ok", "seq", *fields))):
+        if kind == "request":
+            requests += 1
+            open_[name] = open_.get(name, 0) + 1
+        elif ok or not initial:
+            # A failed answer settles a request, except the initial one.
+            open_[name] = open_.get(name, 0) - 1
+        if kind == "response" and ok:
+            for field, value in zip(fields, values):
+                if value is not None and (field not in best or seq < best[field][0]):
+                    best[field] = (int(seq), value)
+    return requests, seen, {name: n for name, n in open_.items() if n}, best
 
-    def _drop_timers(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
 
-    def _forget(self) -> None:
-        self._drop_timers()
-        self.item.clear()
+def merged_stream(fragments: DataFrame, fields: list[str], silence: int = 3600, delay: str = "10 minutes") -> DataFrame:
+    """guid, complete, outstanding and the fields; ``silence`` in seconds of event time.
 
-    @staticmethod
-    def _outstanding(open_: dict[str, int]) -> int:
-        return sum(n for n in open_.values() if n > 0)
+    A fragment delivered again (same item, kind, fingerprint, place and time) within ``delay`` is left out before the merge. The
+    state of an item travels with its rows, typed, and is read and written once a micro-batch.
+    """
+    schema = StructType([StructField("guid", StringType()), StructField("complete", BooleanType()), StructField("outstanding", LongType())]
+                        + [StructField(f, StringType()) for f in fields])
 
-    def _emit(self, key, complete: bool, open_: dict[str, int], best: dict[str, list]) -> pd.DataFrame:
-        out = {"guid": key[0], "complete": complete, "outstanding": self._outstanding(open_)}
-        out.update({name: best[name][1] if name in best else None for name in self.fields})
-        return pd.DataFrame([out])
+    def item(key: tuple, complete: bool, open_: dict[str, int], best: dict) -> pd.DataFrame:
+        out = [key[0], complete, outstanding(open_), *(best[f][1] if f in best else None for f in fields)]
+        return pd.DataFrame([out], columns=schema.names)
 
+    def merge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        requests, seen, open_, best = state.get if state.exists else (0, 0, {}, {})
+        if state.hasTimedOut:
+            yield item(key, False, open_, best)
+            state.remove()
+            return
+        now = requests, max(seen, state.getCurrentWatermarkMs()), dict(open_), {f: tuple(v) for f, v in best.items()}
+        for rows in batches:
+            now = fold(now, rows, fields)
+        requests, seen, open_, best = now
+        if requests and not outstanding(open_):
+            yield item(key, True, open_, best)
+            if state.exists:
+                state.remove()
+            return
+        state.update(now)
+        # Silence counts from the item's own last event: the watermark is still 0 in the first micro-batch.
+        state.setTimeoutTimestamp(seen + silence * 1000)
 
-def merged_stream(fragments: DataFrame, fields: list[str], silence: int = 3600, delay: str = "10 minutes") -> DataFrame:
-    """guid, complete, outstanding and the fields; ``silence`` in seconds of event time."""
-    schema = StructType([StructField("guid", StringType()), StructField("complete", BooleanType()), StructField("outstanding", LongType())]
-                        + [StructField(f, StringType()) for f in fields])
     rows = fragments.select("guid", F.col("ts").cast("timestamp").alias("ts"), "kind", "fingerprint", "initial", "ok", "seq", *fields)
-    return rows.withWatermark("ts", delay).groupBy("guid").transformWithStateInPandas(
-        statefulProcessor=FragmentMerge(fields, silence * 1000), outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    rows = rows.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["guid", "kind", "fingerprint", "seq", "ts"])
+    rows = rows.withColumn("_ms", F.unix_millis("ts"))
+    return rows.groupBy("guid").applyInPandasWithState(merge, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)

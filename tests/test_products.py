@@ -367,7 +367,7 @@ def test_export_files_keep_every_key(spark, tmp_path):
     items = spark.createDataFrame([("1", "a", (1, 5, {1: 2, 5: 3, 3: 0}, 5, 3.4, None), "7"), ("2", None, None, None)], ddl)
     records = export.export_records(items)
     tables.write_export(records, str(tmp_path / "out"), F.lit("2018-05-07").cast("date"))
-    files = list((tmp_path / "out").glob("y=2018/m=05/d=07/part-*"))
+    files = list((tmp_path / "out").glob("runs/*/*/table=records/y=2018/m=05/d=07/part-*"))
     one, two = sorted((json.loads(line) for f in files for line in f.read_text().splitlines()), key=lambda r: r["product_id"])
     assert set(export.RECORD_KEYS) <= set(one) & set(two)
     # Null item fields are left out, keys of the record are not.
@@ -384,6 +384,48 @@ def test_export_files_keep_every_key(spark, tmp_path):
     assert not list((tmp_path / "none").glob("**/part-*"))
 
 
+def test_an_export_run_counts_once(spark, tmp_path):
+    path, day = str(tmp_path / "out"), F.lit("2018-05-07").cast("date")
+    records = export.export_records(spark.createDataFrame([("1", "a"), ("2", "b")], "product_id string, title string"))
+    more = spark.createDataFrame([("1", 1, [("s",)])], "product_id string, part bigint, marketplace array<struct<name:string>>")
+    read = lambda: sorted((r.product_id, r.y, r.m, r.d) for r in tables.read_export(spark, path, "product_id string, y string, m string, d string").collect())
+    assert read() == []
+    broken = records.where(F.raise_error(F.lit("half-way")).isNull() | (F.col("product_id") == "1"))
+    with pytest.raises(Exception, match="half-way"):
+        tables.write_export(broken, path, day, run="r1")
+    assert read() == []
+
+    def half(folder):
+        spark.range(3).write.json(f"{folder}/table=records")
+        raise RuntimeError("half-way")
+
+    with pytest.raises(RuntimeError):
+        tables.commit_run(spark, path, "r1", half)
+    assert list((tmp_path / "out").glob("runs/run=r1/*/table=records/part-*")) and read() == []
+    assert tables.write_export(records, path, day, run="r1", marketplace=more)
+    assert not tables.write_export(records, path, day, run="r1", marketplace=more)
+    once = [("1", "2018", "05", "07"), ("2", "2018", "05", "07")]
+    assert read() == once
+    assert tables.write_export(records.limit(0), path, day, run="empty", marketplace=more.limit(0)) and read() == once
+    assert tables.write_export(records.where("product_id = 2"), path, day, run="r2", marketplace=more.limit(0)) and read() == [*once, once[1]]
+    assert tables.read_export(spark, path, "product_id string, part bigint", part="marketplace").count() == 1
+
+
+def test_chains_take_few_rounds_and_cycles_end(spark):
+    rounds = []
+
+    def counted(df):
+        rounds.append(1)
+        return pinned(df)
+
+    chain = spark.range(100_000).select(F.col("id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"))
+    loops = spark.createDataFrame([(200_000, 200_001), (200_001, 200_000), (200_002, 200_000), (200_003, 200_003), (200_004, 200_002)], "id bigint, parent_id bigint")
+    nodes = chain.union(loops).repartition(4)
+    assert {r.id: r.leaves for r in variants.leaf_counts(nodes, counted).collect()} == {0: 1}
+    assert len(rounds) < 20
+    assert {r.id for r in variants.rootless(nodes, pinned).collect()} == {200_000, 200_001, 200_002, 200_003, 200_004}
+
+
 def test_schema_has_all_declared_columns(spark):
     df = schemas.conform(spark.createDataFrame([("t", 5)], "title string, ranking int"))
     assert len(df.columns) >= 109 and df.schema["ranking"].dataType.simpleString() == "bigint"

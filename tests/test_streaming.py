@@ -52,6 +52,47 @@ def test_a_late_answer_still_completes_its_item(spark, tmp_path):
     assert got == {"a": (True, "late"), "other": (False, None), "end": (True, None)}
 
 
+def test_repeated_deliveries_over_several_runs(spark, tmp_path):
+    """Each run gets its files, and some of the last run's fragments once more; the result is that of the batch over distinct rows."""
+    empty = (None, None, None)
+    asked = [(f"g{i}", at(i % 50), "request", f"f{j}", j == 0, None, j, None, None) for i in range(60) for j in range(i % 3 + 1)]
+    answers = [(g, at(t.minute + 1), "response", f, first, int(g[1:]) % 7 != 0 or first, 10 - j, f"t{j} {g}" if j else None, f"{j}") for g, t, _, f, first, _, j, *_ in asked if (int(g[1:]), j) != (4, 1)]
+    end = [("z", at(900), "request", "f", True, *empty, None), ("z", at(900), "response", "f", True, True, 1, None, None)]
+    runs_ = [asked, asked[::2] + answers[:40], answers[10:], answers[50:] + asked[-3:], end]
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for rows in runs_:
+        spark.createDataFrame(rows, FRAGMENT).coalesce(1).write.mode("append").parquet(source)
+        stream = runs.file_stream(spark, source, "*.parquet", spark.createDataFrame([], FRAGMENT).schema)
+        runs.drain_to_table(fragments.merged_stream(stream, ["title", "price"], silence=1800, delay="3 hours"), out, state)
+    got = {r.guid: (r.complete, r.outstanding, r.title, r.price) for r in spark.read.parquet(out).collect()}
+    rows = spark.createDataFrame([r for part in runs_ for r in part], FRAGMENT).distinct()
+    twin = merge.merged_items(rows.where("kind = 'request'"), rows.where("kind = 'response'"), ["title", "price"])
+    want = {r.guid: (r.complete, r.outstanding, r.title, r.price) for r in twin.collect()}
+    assert got == want and not got["g4"][0] and spark.read.parquet(out).count() == 61
+
+
+def stored_rows(spark, path):
+    return sum(spark.read.parquet(str(f)).count() for f in path.glob("b*=*"))
+
+
+def test_job_log_storage_grows_with_jobs_not_with_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "MERGE_AFTER", 3)
+    schema = "job_id string, ord bigint, ts timestamp_ntz, event string, value string, latency double"
+    batches = [[(f"j{i}", 10 * n + i, at(n), "response_received" if n else "item_scraped", str(200 + n), float(n)) for i in range(5)] for n in range(8)]
+    stream = written(spark, tmp_path, *batches, schema=schema)
+    jobs.run_job_log(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    (base,) = (f.name for f in (tmp_path / "out").glob("b*=*"))
+    assert stored_rows(spark, tmp_path / "out") == 5 and base in ("base=7", "base=8")
+    twin = {r.job_id: r.asDict() for r in joblog.job_log(spark.createDataFrame([r for b in batches for r in b], schema)).collect()}
+    assert {r.job_id: r.asDict() for r in jobs.settled_log(spark, str(tmp_path / "out")).collect()} == twin
+    # A merge that broke off is no base, and an older batch that is written again changes nothing.
+    (tmp_path / "out" / "base=99").mkdir()
+    spark.read.parquet(str(tmp_path / "out" / base)).limit(1).write.parquet(str(tmp_path / "out" / "batch=2"))
+    assert {r.job_id: r.asDict() for r in jobs.settled_log(spark, str(tmp_path / "out")).collect()} == twin
+    jobs.merge_folds(spark, str(tmp_path / "out"))
+    assert [f.name for f in (tmp_path / "out").glob("b*=*")] == [base]
+
+
 def test_job_log_stream_joins_a_job_across_batches_and_horizons(spark, tmp_path):
     schema = "job_id string, ord bigint, ts timestamp_ntz, event string, value string, latency double"
     first = [("j", 1, at(0), "request_scheduled", None, None), ("j", 2, at(1), "response_received", "200", 0.5), ("k", 1, at(2), "item_scraped", None, None)]
