@@ -29,29 +29,40 @@ SHALLOW = 24
 HOT = 4096
 #: A segment has at most so many windows; its start and their number share one integer.
 RUN, RUN_BITS = 100, 7
-#: Bytes hashed, and bytes sorted, at a time.
-CHUNK, BUCKETS = 1 << 20, 1 << 20
+#: Bytes hashed, and bytes sorted, at a time: what fits a core's cache.
+CHUNK, BUCKETS = 1 << 16, 1 << 18
 FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def windows_hash(data: np.ndarray, k: int) -> np.ndarray:
-    """A 64-bit hash of each ``k``-byte string, put together from those of half as many bytes."""
+def windows_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """A 64-bit hash of each string of ``k`` bytes, for each ``k`` of ``sizes``, put together from strings of 1, 2, 4, ... bytes."""
     factor = 0x9E3779B97F4A7C15
     power, have = data.astype(np.uint64) + np.uint64(1), 1
-    out, done = None, 0
+    made: list = [(None, 0)] * len(sizes)
     while True:
-        if k & have:
-            n = len(data) - done - have + 1
-            shifted = np.uint64(pow(factor, have, 1 << 64))
-            out = power[:n] if out is None else out[:n] * shifted + power[done : done + n]
-            done += have
-        if done == k:
+        shift = np.uint64(pow(factor, have, 1 << 64))
+        for i, k in enumerate(sizes):
+            if k & have:
+                out, done = made[i]
+                n = len(data) - done - have + 1
+                if out is None:
+                    made[i] = power.copy(), have
+                else:
+                    out = out[:n]
+                    out *= shift
+                    out += power[done : done + n]
+                    made[i] = out, done + have
+        if 2 * have > max(sizes):
             break
-        power = power[: len(power) - have] * np.uint64(pow(factor, have, 1 << 64)) + power[have:]
+        longer = power[: len(power) - have] * shift
+        longer += power[have:]
+        power = longer
         have *= 2
-    out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(31))
+    for out, _ in made:
+        out ^= out >> np.uint64(30)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(29)
+    return [out for out, _ in made]
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,16 +77,20 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 def anchors_of(data: np.ndarray, length: int) -> np.ndarray:
     """The anchor of each window of ``data`` (at most ``2**21`` bytes)."""
     if length < 8:
-        return windows_hash(data, length)
+        return windows_hashes(data, length)[0]
     w = (length - 4) // 2
     few = length + 1 - 2 * w
     low = np.uint64((1 << 21) - 1)
-    hashes = windows_hash(data, few)
+    hashes, anchors = windows_hashes(data, few, length + 1 - w)
     # The first of the smallest hashes of a window: places in the lowest bits settle ties.
-    places = np.arange(len(hashes), dtype=np.uint64)
-    first = (sliding_minimum((hashes & ~low) | places, length + 1 - few) & low).astype(np.int64)
-    at = np.arange(len(first))
-    return windows_hash(data, length + 1 - w)[at + (first - at) % w]
+    hashes &= ~low
+    hashes |= np.arange(len(hashes), dtype=np.uint64)
+    first = (sliding_minimum(hashes, length + 1 - few) & low).astype(np.int32)
+    at = np.arange(len(first), dtype=np.int32)
+    first -= at
+    first %= w
+    first += at
+    return anchors[first]
 
 
 def segments_of(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -83,13 +98,14 @@ def segments_of(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarr
 
     def cut(first: int, sizes: list[int], data: np.ndarray, base: int):
         ends = np.cumsum(sizes)
-        owner = np.repeat(np.arange(len(sizes)), sizes)[: len(data) - length + 1]
-        at = np.arange(len(owner))
-        inside = at + length <= ends[owner]
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[: len(data) - length + 1]
+        inside = np.ones(len(owner), dtype=bool)
+        for end in ends[:-1].tolist():
+            inside[max(0, end - length + 1) : end] = False
         anchors = anchors_of(data, length)
         fresh = np.ones(len(anchors), dtype=bool)
         fresh[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])
-        stops = np.append(np.flatnonzero(fresh | ~inside), len(at))
+        stops = np.append(np.flatnonzero(fresh | ~inside), len(owner))
         starts = np.flatnonzero(fresh & inside)
         runs = stops[np.searchsorted(stops, starts, "right")] - starts
         if len(runs) and runs.max() > RUN:
