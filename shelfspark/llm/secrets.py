@@ -3,9 +3,8 @@
 A candidate is a run of at least 16 key characters that stands shortly after a sensitive word. Its novelty is the number of bytes
 by which it lengthens the zstandard frame of the text around it, with a dictionary of common identifiers loaded, per character.
 Names and paths cost little; random keys cost over half a byte a character. A run without a digit is more often a name, and new
-names cost 0.55 to 0.75, so it must cost 0.8. Other copies of the candidate are taken out of the text around it, unless copies
-that follow no sensitive word outnumber the others there: what a text names that openly is no secret. A novel string is reported
-wherever the text holds it.
+names cost 0.55 to 0.75, so it must cost 0.8. Other copies of the candidate are taken out of the text around it, however many there
+are. A novel string is reported wherever the text holds it.
 """
 
 import re
@@ -98,16 +97,15 @@ class SecretScanner:
         for a, b in candidates:
             places.setdefault(text[a:b], []).append(a)
         # A string is measured at each of its places until it is novel at one.
-        novel = {s for s, own in places.items() if any(self._is_novel(text, a, a + len(s), own) for a in own)}
+        novel = {s for s, own in places.items() if any(self._is_novel(text, a, a + len(s)) for a in own)}
         if novel:
             new = [(a, 3, b) for a, b in self._copies(text, novel) if free(a, b)]
         return new
 
-    def _is_novel(self, text: str, start: int, end: int, own: list[int]) -> bool:
-        """``own``: where the string follows a sensitive word, in order."""
+    def _is_novel(self, text: str, start: int, end: int) -> bool:
         if self.digit.search(text, start, end):
-            return self.marginal(text, start, end, own) >= self.novelty
-        return self.marginal(text, start, end, own, PROSE) >= self.letters
+            return self.marginal(text, start, end) >= self.novelty
+        return self.marginal(text, start, end, PROSE) >= self.letters
 
     def _copies(self, text: str, novel: set[str]) -> list[tuple[int, int]]:
         """All places of the strings, also inside longer runs; of those that overlap, the first and longest."""
@@ -128,22 +126,13 @@ class SecretScanner:
         more = re.compile(r"[A-Za-z0-9+/_=-]*").match(text, end)
         return more.end()
 
-    def marginal(self, text: str, start: int, end: int, own: list[int] | None = None, lead: str = "") -> float:
-        """Compressed bytes that ``text[start:end]`` adds to what surrounds it, per character.
-
-        Its other copies there count as surroundings only if those beside ``own``, the places after sensitive words, are more.
-        """
+    def marginal(self, text: str, start: int, end: int, lead: str = "") -> float:
+        """Compressed bytes that ``text[start:end]`` adds to what surrounds it, per character. Its other copies there do not count
+        as surroundings: no string hides itself."""
         string, size = text[start:end], end - start
         first, last = max(0, start - self.around), end + self.around
         # By a copy's length more on both sides, so that no part of a copy stays at an edge.
-        before, after = text[max(0, first - size) : start], text[end : last + size]
-        copies = 1 + before.count(string) + after.count(string)
-        if copies > 1:
-            marked = copies
-            if own is not None:
-                marked = bisect_left(own, last + 1) - bisect_left(own, max(0, first - size))
-            if copies - marked <= marked:
-                before, after = (x.replace(string, "\0" * size) for x in (before, after))
+        before, after = (x.replace(string, "\0" * size) for x in (text[max(0, first - size) : start], text[end : last + size]))
         before, after = (x.replace("\0", "") for x in (before[len(before) - (start - first) :], after[: self.around]))
         rest = len(self.press.compress((lead + before + after).encode("utf-8", "replace")))
         return (len(self.press.compress((lead + before + after + string).encode("utf-8", "replace"))) - rest) / size

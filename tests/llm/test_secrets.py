@@ -45,7 +45,7 @@ def test_novelty_needs_a_sensitive_word_and_random_text():
     assert scanner.spans(f"the order number is {random_key} as of today") == []
     assert scanner.spans("credential file: configuration_configuration_v1_2 and so on") == []
     repeated = f"{random_key} {random_key} credential is {random_key} again"
-    assert scanner.spans(repeated) == []
+    assert [(a, b) for a, k, b in scanner.spans(repeated) if k == 3] == [(0, 20), (21, 41), (56, 76)]
 
 
 def test_many_spans_in_one_text_take_time_in_step_with_its_length():
@@ -102,3 +102,56 @@ def test_letters_only_runs_are_measured():
     assert all(novel(f"the credential for the server is {k} as of today") == [k] for k in keys)
     for name in ("authentication_middleware_settings", "default_session_token_handler", "application/configuration/production"):
         assert novel(f"the credential for the server is {name} as of today") == [], name
+
+
+def test_a_key_that_a_text_names_openly_is_found_everywhere():
+    import random
+    import string
+
+    r = random.Random(13)
+    for _ in range(200):
+        key = "".join(r.choices(string.ascii_letters + string.digits, k=40))
+        assert novel(f"order {key} came in, and {key} again; the credential of the shop is {key} for now") == [key] * 3
+
+
+def plainly_novel(text):
+    """Spans by looking at every place after every sensitive word, without an index of copies or base spans."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(
+        level=3, dict_data=zstandard.ZstdCompressionDict(S.IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False)
+    size = lambda t: len(press.compress(t.encode("utf-8", "replace")))
+    taken = [(a, b) for a, _, b in base(text)]
+    runs = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text)]
+    chosen = set()
+    for word in re.finditer("|".join(S.SENSITIVE), text, re.IGNORECASE | re.ASCII):
+        for a, b in runs:
+            a = max(a, word.end())
+            if b - a < 16 or a > word.end() + 48 or any(a < d and c < b for c, d in taken):
+                continue
+            key = text[a:b]
+            sides = [text[max(0, a - 256 - len(key)) : a].replace(key, "\0" * len(key)), text[b : b + 256 + len(key)].replace(key, "\0" * len(key))]
+            near = min(a, 256)
+            around = (sides[0][len(sides[0]) - near :] + sides[1][:256]).replace("\0", "")
+            lead, limit = ("", 0.55) if re.search("[0-9]", key) else (S.PROSE, 0.8)
+            if (size(lead + around + key) - size(lead + around)) / len(key) >= limit:
+                chosen.add(key)
+    out = []
+    for key in sorted(chosen, key=len, reverse=True):
+        for m in re.finditer(re.escape(key), text):
+            if not any(m.start() < d and c < m.end() for c, d in taken + out):
+                out.append((m.start(), m.end()))
+    return sorted(out)
+
+
+def test_novel_spans_against_a_plain_search():
+    import random
+    import string
+
+    r = random.Random(14)
+    words = ["the", "bearer", "a", "credential", "house", "token", "of", "password=", "AKIA" + "Q" * 16, "deadbeef" * 3, "river,", "configuration_settings_path"]
+    for _ in range(300):
+        keys = ["".join(r.choices(string.ascii_letters + string.digits, k=r.choice([16, 24, 40]))) for _ in range(2)]
+        text = " ".join(r.choice(words + keys * 3) for _ in range(r.randrange(5, 60)))
+        got = [(a, b) for a, k, b in S.SecretScanner().spans(text) if k == 3]
+        assert got == plainly_novel(text), text
