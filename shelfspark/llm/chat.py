@@ -12,12 +12,14 @@ the mask's text is the intersection of the two spans.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.alignment import byte_level
 from shelfspark.llm.common import id_type, map_rows, ready, stored
 
 OPEN, CLOSE = "<s>", "</s>\n"
@@ -65,56 +67,96 @@ def loss_mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     return mask
 
 
-def masked_text(text: str, offsets: np.ndarray, mask: np.ndarray, spans: list[tuple[int, int]]) -> list[str]:
-    """For each span, what the masked tokens cover of it."""
-    out, chosen = [], offsets[mask]
-    for start, end in spans:
-        first = int(np.searchsorted(chosen[:, 1], start, "right")) if len(chosen) else 0
-        parts, at = [], start
-        for a, b in chosen[first:].tolist():
-            if a >= end:
-                break
-            a, b = max(a, at), min(b, end)
-            if a < b:
-                parts.append(text[a:b])
-                at = b
-        out.append("".join(parts))
+def masked_text(text: str, offsets: np.ndarray, mask: np.ndarray, spans: np.ndarray) -> list[str]:
+    """For each of the ascending spans, what the masked tokens cover of it."""
+    chosen = offsets[mask]
+    if not len(chosen):
+        return [""] * len(spans)
+    # Tokens that touch or overlap make one stretch; those of one turn mostly do.
+    reach = np.maximum.accumulate(chosen[:, 1])
+    fresh = np.flatnonzero(np.append(True, chosen[1:, 0] > reach[:-1]))
+    starts, stops = chosen[fresh, 0], reach[np.append(fresh[1:] - 1, len(reach) - 1)]
+    first, last = np.searchsorted(stops, spans[:, 0], "right"), np.searchsorted(starts, spans[:, 1], "left")
+    out = []
+    for a, b, (s, e) in zip(first.tolist(), last.tolist(), spans.tolist(), strict=True):
+        out.append("".join([text[max(s, x) : min(e, y)] for x, y in zip(starts[a:b].tolist(), stops[a:b].tolist())]))
     return out
 
 
+def offset_encoder(path: str):
+    """``texts -> [(ids, offsets)]``: ids, and the code points (start, end) of each as rows of an array.
+
+    A byte-level tokenizer's ids spell the text's bytes, so their offsets are sums of their lengths: a token starts with the
+    character of its first byte and ends with that of its last one. Other tokenizers give the offsets themselves.
+    """
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    split = spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") is not None or split.get("type") != "ByteLevel" or split.get("add_prefix_space"):
+        model = Tokenizer.from_file(path)
+
+        def library(texts: list[str]):
+            made = model.encode_batch(texts, add_special_tokens=False)
+            return [(np.array(e.ids, dtype=np.uint32), np.array(e.offsets, dtype=np.int32).reshape(-1, 2)) for e in made]
+
+        return library
+    table, encode = byte_level(path)
+    lengths = np.array([len(b) for b in table], dtype=np.int32)
+
+    def by_bytes(texts: list[str]):
+        out = []
+        for text, found in zip(texts, encode(texts), strict=True):
+            ids = np.array(found, dtype=np.uint32)
+            ends = np.cumsum(lengths[ids], dtype=np.int32)
+            data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
+            if len(data) == len(text):
+                out.append((ids, np.stack([ends - lengths[ids], ends], axis=1)))
+                continue
+            character = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32) - 1
+            out.append((ids, np.stack([character[ends - lengths[ids]], character[ends - 1] + 1], axis=1)))
+        return out
+
+    return by_bytes
+
+
+def packed(spans: list[tuple[int, int]] | np.ndarray) -> bytes:
+    return np.array(spans, dtype="<i4").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """Rows (start, end) of ``packed`` spans or offsets."""
+    return np.frombuffer(data, dtype="<i4").reshape(-1, 2)
+
+
 def format_chats(conversations: DataFrame, tokenizer: str, learnt: str = "assistant") -> DataFrame:
-    """One row per conversation: ``conv_id, formatted, ids, starts, ends, mask, turn_spans, loss_spans``.
+    """One row per conversation: ``conv_id, formatted, n_tokens, ids, offsets, mask, turn_spans, loss_spans``.
 
     Rows go by turn, then role, then text, nulls first; a null text or role is an empty one; rows without ``conv_id`` make
-    one conversation. Offsets are code points. Repeated rows are repeated turns.
+    one conversation. Repeated rows are repeated turns. Ids are little-endian unsigned 32-bit numbers; offsets and spans are pairs
+    (start, end) of signed ones, in code points (``unpacked`` reads them); the mask has one bit a token, first bit highest.
     """
     ready(conversations.sparkSession)
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
     def rows(batches):
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(tokenizer)
+        encode = offset_encoder(tokenizer)
         for b in batches:
-            out = {n: [] for n in ("conv_id", "formatted", "ids", "starts", "ends", "mask", "turn_spans", "loss_spans")}
+            out = {n: [] for n in ("conv_id", "formatted", "n_tokens", "ids", "offsets", "mask", "turn_spans", "loss_spans")}
             made = [render([(t["role"], t["text"]) for t in turns]) for turns in b["turns"]]
-            encoded = model.encode_batch([text for text, _ in made], add_special_tokens=False)
-            for conv_id, turns, (text, spans), e in zip(b["conv_id"], b["turns"], made, encoded, strict=True):
-                offsets = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)
+            for conv_id, turns, (text, spans), (ids, offsets) in zip(b["conv_id"], b["turns"], made, encode([t for t, _ in made]), strict=True):
                 loss = [s for s, t in zip(spans, turns, strict=True) if t["role"] == learnt]
-                for name, value in (
-                    ("conv_id", conv_id), ("formatted", text), ("ids", e.ids), ("starts", offsets[:, 0]), ("ends", offsets[:, 1]),
-                    ("mask", loss_mask(offsets, loss)), ("turn_spans", [{"start": s, "end": t} for s, t in spans]),
-                    ("loss_spans", [{"start": s, "end": t} for s, t in loss]),
-                ):
+                for name, value in zip(out, (
+                        conv_id, text, len(ids), ids.astype("<u4").tobytes(), packed(offsets), np.packbits(loss_mask(offsets, loss)).tobytes(),
+                        packed(spans), packed(loss)), strict=True):
                     out[name].append(value)
             yield out
 
-    span = "array<struct<start:bigint,end:bigint>>"
     schema = (
-        f"conv_id {id_type(conversations, 'conv_id')}, formatted string, ids array<bigint>, starts array<bigint>, "
-        f"ends array<bigint>, mask array<boolean>, turn_spans {span}, loss_spans {span}"
+        f"conv_id {id_type(conversations, 'conv_id')}, formatted string, n_tokens bigint, ids binary, offsets binary, mask binary, "
+        "turn_spans binary, loss_spans binary"
     )
     return map_rows(whole, rows, schema, batch=50)
 
@@ -132,10 +174,10 @@ def digests(formatted: DataFrame) -> DataFrame:
         for b in batches:
             out = {n: [] for n in names}
             for k, conv_id in enumerate(b["conv_id"]):
-                text, mask = b["formatted"][k], np.array(b["mask"][k], dtype=bool)
-                offsets = np.stack([np.array(b[n][k], dtype=np.int64) for n in ("starts", "ends")], axis=1)
+                text, offsets = b["formatted"][k], unpacked(b["offsets"][k])
+                mask = np.unpackbits(np.frombuffer(b["mask"][k], dtype=np.uint8), count=b["n_tokens"][k]).astype(bool)
                 turns = parse(text)
-                loss = "".join(map(unescape, masked_text(text, offsets, mask, [(s["start"], s["end"]) for s in b["loss_spans"][k]])))
+                loss = "".join(map(unescape, masked_text(text, offsets, mask, unpacked(b["loss_spans"][k]))))
                 lines = "".join(f"{role}\n{said}\n" for role, said in turns)
                 for name, value in zip(names, (
                     conv_id, len(turns), hashlib.sha256(lines.encode()).hexdigest(), len(loss),
@@ -147,7 +189,7 @@ def digests(formatted: DataFrame) -> DataFrame:
         f"conv_id {id_type(formatted, 'conv_id')}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
         "loss_sha256 string, formatted_chars bigint, n_tokens bigint, n_loss_tokens bigint"
     )
-    needed = formatted.select("conv_id", "formatted", "starts", "ends", "mask", "loss_spans")
+    needed = formatted.select("conv_id", "formatted", "n_tokens", "offsets", "mask", "loss_spans")
     return map_rows(needed, rows, schema, batch=50)
 
 

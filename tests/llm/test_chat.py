@@ -75,3 +75,31 @@ def test_mask_is_the_overlap(seed):
     got = chat.loss_mask(offsets, spans)
     assert all(g or not w for g, w in zip(got, want))
     assert all(w or a == b for g, w, (a, b) in zip(got, want, offsets.tolist()) if g)
+
+
+def test_offsets_are_the_library_s():
+    from tokenizers import Tokenizer
+
+    model, encode = Tokenizer.from_file(BYTE), chat.offset_encoder(BYTE)
+    r = np.random.default_rng(3)
+    odd = ["", "é", "漢字 かな", "😀😀 x", "a\u0301 ﬁ", " \n\n ", "x" * 3000, *("".join(r.choice([*PIECES, "漢", "ß", "word "], r.integers(0, 60))) for _ in range(400))]
+    odd = [t.replace("<|endoftext|>", "") for t in odd]
+    for text, (ids, offsets) in zip(odd, encode(odd)):
+        e = model.encode(text, add_special_tokens=False)
+        assert ids.tolist() == e.ids and [tuple(o) for o in offsets.tolist()] == e.offsets, text
+    plain = chat.offset_encoder(queries.tokenizer_path(queries.WORD_BPE))(["Hello there, you"])[0]
+    assert plain[0].tolist() == Tokenizer.from_file(queries.tokenizer_path(queries.WORD_BPE)).encode("Hello there, you", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_masked_text_is_the_covered_part(seed):
+    r = np.random.default_rng(seed)
+    text = "".join(map(chr, range(97, 97 + 26))) * 3
+    starts = np.sort(r.integers(0, 70, 20))
+    offsets = np.stack([starts, np.minimum(np.maximum.accumulate(starts + r.integers(0, 6, 20)), 78)], axis=1)
+    marks = np.sort(r.choice(78, 8, replace=False))
+    spans = np.stack([marks[::2], marks[1::2]], axis=1)
+    mask = r.random(20) < 0.7
+    covered = {p for (a, b), m in zip(offsets.tolist(), mask) if m for p in range(a, b)}
+    want = ["".join(text[p] for p in range(s, e) if p in covered) for s, e in spans.tolist()]
+    assert chat.masked_text(text, offsets, mask, spans) == want
