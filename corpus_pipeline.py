@@ -44,26 +44,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows tied by a Jaccard similarity of 0.8 over word 5-grams, one with the smallest id stays, rows without id last.
+    """Of rows tied by a Jaccard similarity of 0.8 over word 5-grams, one with the smallest key stays, rows without id last.
 
-    Of rows that share an id, the first by text stays. A row with neither id nor words goes.
+    Each row stands for itself: rows that share an id but differ in text are different documents, and rows without words stay.
+    Of rows alike in id and text one stays.
     """
-    found = jaccard_join.jaccard_join(keyed(docs), size=5, num=80, den=100).select("doc_id", "n_shingles", "component_id")
+    found = jaccard_join.jaccard_join(keyed(docs), size=5, num=80, den=100, links=False).select("doc_id", "n_shingles", "component_id")
     found = stored(found, "components")
-    kept = without_rows(docs, found.where("doc_id <> component_id OR n_shingles = 0 AND doc_id.no_id"))
-    # An id stands for its rows; a row without one stands for its copies.
-    name = F.struct(F.col("doc_id").alias("id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("hash"))
-    left = found.where("doc_id = component_id").select("doc_id.*")
-    left = left.select(F.struct("id", F.when(F.col("no_id"), F.col("hash")).alias("hash")).alias("_name"))
-    repeated = stored(left.groupBy("_name").count().where("count > 1").select("_name"), "repeated")
+    kept = without_rows(docs, found.where("doc_id <> component_id"))
+    repeated = found.where("n_shingles > 0 AND doc_id = component_id").groupBy(F.col("doc_id").alias("_key")).count().where("count > 1")
+    repeated = stored(repeated.select("_key"), "repeated")
     if repeated.isEmpty():
         return kept
-    others = [c for c in kept.columns if c not in ("doc_id", "text")]
-    row = F.struct("text", *[F.col(f"`{c}`") for c in others])
     repeated = small_side(repeated)
-    again = kept.join(repeated, name.eqNullSafe(repeated["_name"]), "left_semi").groupBy("doc_id", name["hash"]).agg(F.min(row).alias("_row"))
-    first = again.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in kept.columns])
-    return kept.join(repeated, name.eqNullSafe(repeated["_name"]), "left_anti").unionByName(first)
+    alike = kept.join(repeated, key_of().eqNullSafe(repeated["_key"]), "left_semi").withColumn("_text_hash", F.xxhash64("text"))
+    first = alike.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return kept.join(repeated, key_of().eqNullSafe(repeated["_key"]), "left_anti").unionByName(first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

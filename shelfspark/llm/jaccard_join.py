@@ -148,7 +148,7 @@ def sketch_of(tokens: np.ndarray) -> bytes:
 
 
 def shingled(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, cls`` and, at the first row of a class in a task, its signatures and sketch."""
+    """Per row: ``doc_id, hash`` (of the text), ``n_shingles, cls`` and, at the first row of a class in a task, its signatures and sketch."""
 
     def rows(batches):
         shingler, bands, seen = Shingler(size), Bands(num, den), set()
@@ -165,10 +165,14 @@ def shingled(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 else:
                     sigs.append(None)
                     sketches.append(None)
-            yield {"doc_id": b["doc_id"], "n_shingles": n, "cls": cls, "sigs": sigs, "sketch": sketches}
+            yield {"doc_id": b["doc_id"], "hash": b["hash"], "n_shingles": n, "cls": cls, "sigs": sigs, "sketch": sketches}
 
-    schema = f"doc_id {id_type(docs)}, n_shingles bigint, cls bigint, sigs array<bigint>, sketch binary"
-    return map_rows(texts_of(docs), rows, schema, batch=250)
+    schema = f"doc_id {id_type(docs)}, hash bigint, n_shingles bigint, cls bigint, sigs array<bigint>, sketch binary"
+    return map_rows(hashed(docs), rows, schema, batch=250)
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    return texts_of(docs).withColumn("hash", F.xxhash64("text"))
 
 
 def group_of(sig: Column) -> Column:
@@ -181,11 +185,11 @@ def lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     ``center`` is the smallest class that keeps the entry, ``n`` the number of entries kept.
     """
     entries = rows.where("sigs is not null").select("cls", F.explode("sigs").alias("sig"))
-    same = Window.partitionBy("sig")
-    shared = (
-        entries.select("sig", "cls", F.min("cls").over(same).alias("center"), F.max("cls").over(same).alias("_top"), F.count("*").over(same).alias("n"))
-        .where("center <> _top").drop("_top")
-    )
+    # Facts of an entry are combined before the shuffle; only entries that several classes have meet their classes again, and a
+    # join splits a hot one.
+    facts = entries.groupBy("sig").agg(F.min("cls").alias("_low"), F.max("cls").alias("_top"), F.count("*").alias("n"))
+    facts = small_side(stored(facts.where("_low <> _top").select("sig", "n"), "facts"))
+    shared = entries.join(facts, "sig")
     costly = Window.partitionBy("cls", "_group").orderBy(F.desc("n"), "sig")
     bands = Bands(num, den)
     spared = F.array(*[F.lit(s) for s in bands.spared[:256]])
@@ -202,19 +206,27 @@ def lists(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """``cls, tokens`` of the given classes, made again from one document of each."""
-    chosen = rows.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("_id")).withColumnRenamed("cls", "_cls")
-    texts = texts_of(docs)
-    chosen = small_side(stored(chosen, "chosen"))
-    wanted = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_id"])).select("_cls", "text")
+    """``cls, tokens`` of the given classes, once each, made again from one text of each.
+
+    A text is fetched by its row's id and its hash, so rows that share an id, or have none, bring no more than their own text.
+    """
+    chosen = rows.join(classes, "cls").groupBy("cls").agg(F.min(F.struct("doc_id", "hash")).alias("_of"))
+    chosen = small_side(stored(chosen.select(F.col("cls").alias("_cls"), F.col("_of.doc_id").alias("_id"), F.col("_of.hash").alias("_hash")), "chosen"))
+    texts = hashed(docs)
+    wanted = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["_id"]) & (texts["hash"] == chosen["_hash"])).select("_cls", "text")
 
     def again(batches):
-        shingler = Shingler(size)
+        shingler, seen = Shingler(size), set()
         for b in batches:
-            made = [(c, t) for c, t in zip(b["_cls"], map(shingler.tokens, b["text"]), strict=True) if len(t) and class_of(t) == c]
-            yield {"cls": [c for c, _ in made], "tokens": [t.tobytes() for _, t in made]}
+            fresh = [(c, t) for c, t in zip(b["_cls"], b["text"], strict=True) if c not in seen]
+            made = {c: t for c, t in ((c, shingler.tokens(t)) for c, t in dict(fresh).items()) if len(t) and class_of(t) == c}
+            seen.update(made)
+            yield {"cls": list(made), "tokens": [t.tobytes() for t in made.values()]}
 
-    return stored(map_rows(wanted, again, "cls bigint, tokens binary", batch=250), "sets")
+    made = stored(map_rows(wanted, again, "cls bigint, tokens binary", batch=250), "sets")
+    # Repeated rows may have been met in several tasks.
+    repeated = made.groupBy("cls").count().where("count > 1")
+    return made if repeated.isEmpty() else made.dropDuplicates(["cls"])
 
 
 def meet(probes: DataFrame, targets: DataFrame, payload: DataFrame, compare, name: str) -> DataFrame:
@@ -331,20 +343,80 @@ def rest_candidates(entries: DataFrame, labels: DataFrame, sketches: DataFrame,
     return meet(probes, targets, sketches, maybe_linked(num, den), "rest")
 
 
-def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, cls, component_id, n_links``.
+#: Sets of a block while links are counted.
+COUNTED = 512
+
+
+def counted_links(entries: DataFrame, sets: DataFrame, weights: DataFrame, num: int, den: int) -> DataFrame:
+    """``cls, n_links``: rows of all other classes that each class is linked with.
+
+    Two linked classes share a list. A class meets, block by block, the classes of the homes it shares lists with; a class has
+    one home, so no pair meets twice. Pairs are counted where they meet and never written.
+    """
+    homes = entries.groupBy("cls").agg(F.min("center").alias("home"))
+    pairs = entries.select("sig", "cls").join(homes, "cls")
+    pairs = pairs.select("sig", F.col("home").alias("key")).distinct().join(entries.select("sig", "cls"), "sig").select("key", "cls").distinct()
+    pairs = stored(pairs, "met")
+    sizes = homes.groupBy(F.col("home").alias("key")).agg(F.ceil(F.count("*") / COUNTED).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("cls"), "blocks").cast("int")
+    targets = homes.withColumnRenamed("home", "key").join(sizes, "key").select("key", block.alias("part"), F.lit(0).alias("kind"), "cls")
+    probes = pairs.join(sizes, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "cls")
+    dealt = targets.union(probes).join(sets, "cls").join(weights, "cls").repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+    columns = ("key", "part", "kind", "cls", "tokens", "weight")
+
+    def rows(batches: Iterator[dict]):
+        at, held, index = None, [], None
+        for b in batches:
+            found, n = [], []
+            for key, part, kind, cls, tokens, weight in zip(*(b[c] for c in columns), strict=True):
+                if (key, part) != at:
+                    at, held, index = (key, part), [], None
+                tokens = np.frombuffer(tokens, dtype=np.uint64)
+                if kind == 0:
+                    held.append((cls, tokens, weight))
+                elif held:
+                    index = index or indexed(held)
+                    found.append(cls)
+                    n.append(linked_weight(cls, tokens, index, num, den))
+            yield {"cls": found, "n": n}
+
+    met = map_rows(dealt, rows, "cls bigint, n bigint", batch=500)
+    return met.groupBy("cls").agg(F.sum("n").alias("n_links"))
+
+
+def indexed(held: list[tuple[int, np.ndarray, int]]) -> tuple[np.ndarray, ...]:
+    """All elements of the held sets in order, whose they are, and classes, sizes and weights of the sets."""
+    sizes = np.array([len(t) for _, t, _ in held])
+    elements, owner = np.concatenate([t for _, t, _ in held]), np.repeat(np.arange(len(held)), sizes)
+    order = np.argsort(elements, kind="stable")
+    return elements[order], owner[order], np.array([c for c, _, _ in held]), sizes, np.array([w for _, _, w in held])
+
+
+def linked_weight(cls: int, tokens: np.ndarray, index: tuple[np.ndarray, ...], num: int, den: int) -> int:
+    elements, owner, classes, sizes, weights = index
+    low, high = np.searchsorted(elements, tokens, "left"), np.searchsorted(elements, tokens, "right")
+    counts = high - low
+    places = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    both = np.bincount(owner[places], minlength=len(classes))
+    fits = (den * both >= num * (sizes + len(tokens) - both)) & (classes != cls)
+    return int(weights[fits].sum())
+
+
+def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, links: bool = True) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, cls, component_id`` and, if ``links``, ``n_links``.
 
     Rows link when ``den * intersection >= num * union`` of their sets; ``component_id`` is the smallest ``doc_id`` reachable by
-    links, itself included. ``cls`` is the id of the set and ``n_links`` the number of other sets this one was found linked
-    with. Documents without words (null, empty, blank) have no class, link with nothing and keep their own id; null
-    ids take part in links but never name a component unless all its ids are null.
+    links, itself included. ``cls`` is the id of the set and ``n_links`` the number of other rows this one is linked with, those
+    with the same set included. Documents without words (null, empty, blank) have no class, link with nothing and keep
+    their own id; null ids take part in links but never name a component unless all its ids are null. Repeated rows are rows
+    of one class.
     """
     spark = docs.sparkSession
     path = work_path(spark, "shingled")
     rows = shingled(docs, size, num, den)
     rows.write.parquet(path)
     rows = spark.read.schema(rows.schema).parquet(path)
-    plain = stored(rows.select("doc_id", "n_shingles", "cls"), "classes")
+    plain = stored(rows.select("doc_id", "hash", "n_shingles", "cls"), "classes")
     entries = lists(rows, num, den)
     sketches = rows.where("sketch is not null").join(entries.select("cls").distinct(), "cls")
     sketches = stored(sketches.groupBy("cls").agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")), "sketches")
@@ -354,14 +426,19 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
         classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         return meet_pairs(pairs, sets_of(docs, plain, classes, size), surely_linked(num, den), "links")
 
-    links = verified(star_candidates(entries, sketches, num, den))
-    links = stored(links.union(verified(rest_candidates(entries, components(links), sketches, num, den))), "all-links")
-    labels = components(links).withColumnRenamed("node", "cls")
-    ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    degrees = ends.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
-    known = labels.join(degrees, "cls", "left")
-    named = stored(plain.join(known, "cls", "left").withColumn("_part", F.coalesce("label", "cls")).drop("label"), "labelled")
+    found = verified(star_candidates(entries, sketches, num, den))
+    found = stored(found.union(verified(rest_candidates(entries, components(found), sketches, num, den))), "all-links")
+    labels = components(found).withColumnRenamed("node", "cls")
+    named = stored(plain.join(labels, "cls", "left").withColumn("_part", F.coalesce("label", "cls")).drop("label"), "labelled")
     firsts = named.where("_part is not null").groupBy("_part").agg(F.min("doc_id").alias("_first"))
-    joined = named.join(firsts, "_part", "left")
     component = F.when(F.col("_part").isNull(), F.col("doc_id")).otherwise(F.col("_first"))
-    return joined.select("doc_id", "n_shingles", "cls", component.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    out = named.join(firsts, "_part", "left").select("doc_id", "n_shingles", "cls", component.alias("component_id"))
+    if not links:
+        return out
+    weights = plain.where("cls is not null").groupBy("cls").agg(F.count("*").alias("weight"))
+    # Only classes of some link are counted: the others are linked with rows of their own class alone.
+    tied = labels.select("cls")
+    sets = sets_of(docs, plain, tied, size)
+    others = counted_links(entries.join(tied, "cls", "left_semi"), sets, weights, num, den)
+    known = stored(weights.join(others, "cls", "left").select("cls", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "degrees")
+    return out.join(known, "cls", "left").select("doc_id", "n_shingles", "cls", "component_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))

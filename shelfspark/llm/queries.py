@@ -83,7 +83,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,8 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 90 * (x.n + y.n - c)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT d.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, f.component_id
+SELECT d.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, f.component_id, coalesce(k.n, 0)::bigint AS n_links
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) f ON f.a = d.doc_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) k ON k.a = d.doc_id
 """,
 }

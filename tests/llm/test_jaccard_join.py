@@ -77,8 +77,9 @@ def test_blocks_of_a_large_component(spark, monkeypatch):
 
 
 def test_query_on_driver_tables(spark, small):
-    got = [(r.doc_id, r.n_shingles, r.component_id) for r in queries.op8_jaccard_join(spark, SF_DIR).collect()]
-    same(got, brute(small[1], 3, 90, 100))
+    found = queries.op8_jaccard_join(spark, SF_DIR).collect()
+    same([(r.doc_id, r.n_shingles, r.component_id) for r in found], brute(small[1], 3, 90, 100))
+    assert sorted((True, r.doc_id, r.n_links) for r in found) == degrees(small[1], 3, 90, 100)
 
 
 @settings(max_examples=300, deadline=None)
@@ -117,3 +118,29 @@ def test_components(spark):
 
 def test_empty(empty):
     assert J.jaccard_join(empty).collect() == []
+
+
+def degrees(rows, n, num, den):
+    """Number of other rows each row is linked with."""
+    sets = [(d, J.Shingler(n).tokens(t or "")) for d, t in rows]
+    return sorted((d is not None, d or 0, sum(
+        1 for j, (_, b) in enumerate(sets) if j != i and len(a) and len(b) and J.linked(a, b, num, den))) for i, (d, a) in enumerate(sets))
+
+
+@pytest.mark.parametrize("counted", [3, 512])
+def test_links_of_every_row_are_counted(spark, edge, monkeypatch, counted):
+    monkeypatch.setattr(J, "COUNTED", counted)
+    rows = family(60) + [(9000 + i, " ".join(f"w{k}" for k in range(200) if k != i)) for i in range(6)]
+    rows += rows[:5] + [(None, rows[3][1])]
+    for frame, plain in ((spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), rows), (edge, EDGE)):
+        got = J.jaccard_join(frame, 3, 90, 100).collect()
+        assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_links) for r in got) == degrees(plain, 3, 90, 100)
+
+
+def test_rows_without_id_fetch_their_own_text_only(spark):
+    rows = [(None, prose(i, 40) + (f" tail{i}" if i % 2 else "")) for i in range(700)] + [(None, prose(i, 40)) for i in range(1, 700, 2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = J.shingled(frame, 5, 80, 100)
+    sets = J.sets_of(frame, plain, plain.select("cls").distinct(), 5)
+    assert sets.count() == sets.select("cls").distinct().count() == len({t for _, t in rows})
+    assert J.jaccard_join(frame, 5, 80, 100).count() == len(rows)
