@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import id_type, map_rows, small_side, stored, texts_of
 
 #: Bytes of text whose ends are in the dictionaries at a time; a long text is aligned stretch by stretch.
-SPAN = 1 << 16
+SPAN = 1 << 13
 # Fixed value: how byte-level files with their own pattern cut a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
-#: Written groups of one token a side that a worker remembers.
-MEMO = 500_000
 
 
 class Side:
@@ -39,9 +37,9 @@ class Side:
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.table = [piece_bytes(model, i) for i in range(model.get_piece_size())]
-            self.encode = lambda texts: model.encode(texts, num_threads=1)
+            self.encode, self.lossless = lambda texts: model.encode(texts, num_threads=1), False
         else:
-            self.table, self.encode = byte_level(path)
+            self.table, self.encode, self.lossless = byte_level(path)
         self.lengths = np.array([len(b) for b in self.table], dtype=np.int64)
         self.size = len(self.table)
 
@@ -50,12 +48,12 @@ class Side:
         return self.encode(texts if self.adds_space else [" " + t for t in texts])
 
     def spells(self, ids: list[int], data: bytes) -> bool:
-        """Whether the tokens' bytes in a row are ``data``."""
-        return b"".join(map(self.table.__getitem__, ids)) == data
+        """Whether the tokens' bytes in a row are ``data``; byte-level ids by rank are made of the text's own bytes."""
+        return self.lossless or b"".join(map(self.table.__getitem__, ids)) == data
 
 
 def byte_level(path: str):
-    """Bytes of each id, and the encoder, of a byte-level ``.json`` file; strings of special tokens are plain text.
+    """Bytes of each id, the encoder, and whether it encodes by ranks, of a byte-level ``.json`` file; strings of special tokens are plain text.
 
     Where the file's merges make its ids in their order, the encoder by ranks gives the same ids in a third of the time;
     texts with very long words or gaps, which its patterns are slow on, and all other files go to the file's own library.
@@ -85,12 +83,12 @@ def byte_level(path: str):
         and not any(model.get(k) for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
         and all(model["vocab"].get(m) == 256 + i for i, m in enumerate(merged)) and len(model["vocab"].keys() - added) == 256 + len(merged))
     if not in_order:
-        return table, library
+        return table, library, False
     import tiktoken
 
     ranks = {table[i]: i for token, i in model["vocab"].items() if token not in added}
     fast = tiktoken.Encoding("by-rank", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-    return table, lambda texts: [library([t])[0] if LONG_RUN.search(t) else fast.encode_ordinary(t) for t in texts]
+    return table, lambda texts: [library([t])[0] if LONG_RUN.search(t) else fast.encode_ordinary(t) for t in texts], True
 
 
 def piece_bytes(model, i: int) -> bytes:
@@ -126,26 +124,25 @@ def cuts_of(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[np.ndarray
 
 
 class Writer:
-    """Groups as text, ``a1,a2|b1`` each."""
-
-    def __init__(self, size_b: int):
-        self.size_b, self.memo = size_b, {}
-
-    def groups(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[str]:
-        """The slices of both id lists between the cuts; those of one token a side are looked up as a pair."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        last = a[cuts_a[1:] - 1] * self.size_b + b[cuts_b[1:] - 1]
-        single = (np.diff(cuts_a) == 1) & (np.diff(cuts_b) == 1)
-        out: list = [memo.get(p) for p in last.tolist()]
-        for k in np.flatnonzero(~single).tolist():
-            side_a, side_b = a[cuts_a[k] : cuts_a[k + 1]], b[cuts_b[k] : cuts_b[k + 1]]
-            out[k] = ",".join(map(str, side_a.tolist())) + "|" + ",".join(map(str, side_b.tolist()))
-        for k in [k for k, t in enumerate(out) if t is None]:
-            pair = int(last[k])
-            out[k] = memo[pair] = f"{pair // self.size_b}|{pair % self.size_b}"
-        return out
+    """Groups as text, ``a1,a2|b1;...``."""
+
+    def __init__(self, sizes: int):
+        # Every id with each mark that may follow it, in one array of short byte strings.
+        ids = np.arange(sizes).astype(f"S{len(str(sizes))}")
+        self.marked = np.stack([np.char.add(ids, mark) for mark in (b",", b"|", b";")], axis=1).reshape(-1)
+
+    def groups(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> bytes:
+        """The slices of both id lists between the cuts, each with ``;`` after it."""
+        n_a, n_b = np.diff(cuts_a), np.diff(cuts_b)
+        start_a, start_b = cuts_a[0], cuts_b[0]
+        # A group's A ids come before its B ids: an A id moves up by the B ids of earlier groups, a B id by the A ids up to its group.
+        place_a = np.arange(n_a.sum()) + np.repeat(cuts_b[:-1] - start_b, n_a)
+        place_b = np.arange(n_b.sum()) + np.repeat(cuts_a[1:] - start_a, n_b)
+        codes = np.empty(len(place_a) + len(place_b), dtype=np.int64)
+        codes[place_a], codes[place_b] = 3 * a[start_a : cuts_a[-1]], 3 * b[start_b : cuts_b[-1]]
+        codes[place_a[cuts_a[1:] - start_a - 1]] += 1
+        codes[place_b[cuts_b[1:] - start_b - 1]] += 2
+        return self.marked[codes].tobytes().replace(b"\0", b"")
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -160,7 +157,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     size_b, sizes = right.size, Side(path_a).size * right.size
 
     def rows(batches):
-        left, right, writer = Side(path_a), Side(path_b), Writer(size_b)
+        left, right, writer = Side(path_a), Side(path_b), Writer(max(left.size, right.size))
         for batch in batches:
             out = {n: [] for n in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
             found, times = [], []
@@ -169,14 +166,14 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 data = b" " + text.encode("utf-8")
                 if not text or not left.spells(a, data) or not right.spells(b, data):
                     a, b = [], []
-                a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+                ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
                 digest, groups, pairs = hashlib.sha256(), 0, [np.zeros(0, dtype=np.int64)]
-                for cuts_a, cuts_b in cuts_of(np.cumsum(left.lengths[a]), np.cumsum(right.lengths[b])):
-                    written = ";".join(writer.groups(a, b, cuts_a, cuts_b))
-                    digest.update((f";{written}" if groups else written).encode())
+                for cuts_a, cuts_b in cuts_of(np.cumsum(left.lengths[ids_a]), np.cumsum(right.lengths[ids_b])):
+                    written = writer.groups(ids_a, ids_b, cuts_a, cuts_b)
+                    digest.update(b";" + written[:-1] if groups else written[:-1])
                     groups += len(cuts_a) - 1
                     # Every token has bytes, so of a slice only the last tokens of both sides end together.
-                    pairs.append(a[cuts_a[1:] - 1] * size_b + b[cuts_b[1:] - 1])
+                    pairs.append(ids_a[cuts_a[1:] - 1] * size_b + ids_b[cuts_b[1:] - 1])
                 pair, n = np.unique(np.concatenate(pairs), return_counts=True)
                 found.append(pair)
                 times.append(n)

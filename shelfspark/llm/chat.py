@@ -102,7 +102,7 @@ def offset_encoder(path: str):
             return [(np.array(e.ids, dtype=np.uint32), np.array(e.offsets, dtype=np.int32).reshape(-1, 2)) for e in made]
 
         return library
-    table, encode = byte_level(path)
+    table, encode, _ = byte_level(path)
     lengths = np.array([len(b) for b in table], dtype=np.int32)
 
     def by_bytes(texts: list[str]):
