@@ -157,7 +157,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     size_b, sizes = right.size, Side(path_a).size * right.size
 
     def rows(batches):
-        left, right, writer = Side(path_a), Side(path_b), Writer(max(left.size, right.size))
+        left, right = Side(path_a), Side(path_b)
+        writer = Writer(max(left.size, right.size))
         for batch in batches:
             out = {n: [] for n in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
             found, times = [], []
