@@ -5,6 +5,8 @@ Dictionary lines: line_no, value (one ragged CSV line). Aliases: alias, brand_gr
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,36 +153,44 @@ def _short_matches(words: DataFrame, aliases: DataFrame) -> DataFrame:
     return rows.where(F.col("score") >= FIRST_WORD_SCORE).select("key", "alias", "score")
 
 
+#: Lengths of long aliases are indexed in tiers, each this much longer than the one before.
+_TIER = 1.125
+
+
+def _tier(length: Column) -> Column:
+    return F.floor(F.log(length) / math.log(_TIER)).cast("int")
+
+
 def _long_matches(words: DataFrame, aliases: DataFrame) -> DataFrame:
     """Pairs with a long side: one piece of the alias must appear in the word near its place.
 
-    An alias is cut into one piece more than the edits a match allows, so a match leaves at
-    least one piece whole. Only such pairs reach the similarity function.
+    Aliases of similar length make a tier. In a tier all are cut into pieces of one size, one piece more than the edits that any
+    match of the tier allows, so a match leaves at least one piece whole. A word is cut once per tier in its reach, not once per
+    length. Only pairs that share a piece reach the similarity function.
     """
     share = 2 * _MAX_SHARE / (1000 - _MAX_SHARE)
-    edits = lambda n: F.floor(n * share)
     least = int(_DELETION_LENGTH * (1000 - _MAX_SHARE) / (1000 + _MAX_SHARE))
-    long_alias = aliases.where(F.length("key") >= least).select("alias", F.col("key").alias("akey"))
-    n = F.length("akey")
-    pieces = edits(n) + 1
-    start = lambda i, size, count: F.floor(i * size / count)
-    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), pieces - 1), lambda i: F.struct(
-        i.alias("i"), F.substring(F.col("akey"), (start(i, n, pieces) + 1).cast("int"), (start(i + 1, n, pieces) - start(i, n, pieces)).cast("int")).alias("piece")))
-    right = long_alias.select("alias", "akey", n.cast("bigint").alias("b"), F.inline(cut))
-    wide = words.where(F.length("key") >= least)
-    a = F.length("key").cast("bigint")
-    lengths = F.sequence(F.greatest(F.lit(least).cast("bigint"), F.floor(a / (1 + share))), F.ceil(a * (1 + share)))
-    # Only lengths that some alias has are cut any further, so a long word without such aliases costs a row per length.
-    left = wide.select("key", F.explode(lengths).alias("b")).join(right.select("b").distinct(), "b")
-    left = left.select("key", "b", F.explode(F.sequence(F.lit(0).cast("bigint"), edits(F.col("b")))).alias("i"))
-    count = edits(F.col("b")) + 1
-    at, size = start(F.col("i"), F.col("b"), count), start(F.col("i") + 1, F.col("b"), count) - start(F.col("i"), F.col("b"), count)
-    reach = edits(F.col("b"))
-    last = F.length("key") - size
-    left = left.withColumns({"_lo": F.greatest(F.lit(0).cast("bigint"), at - reach), "_hi": F.least(last, at + reach), "_size": size}).where("_lo <= _hi")
-    left = left.select("key", "b", "i", F.explode(F.sequence("_lo", "_hi")).alias("_p"), "_size")
-    left = left.select("key", "b", "i", F.substring(F.col("key"), (F.col("_p") + 1).cast("int"), F.col("_size").cast("int")).alias("piece")).distinct()
-    pairs = left.join(right, ["b", "i", "piece"]).select("key", "alias", "akey").distinct()
+    long_alias = aliases.where(F.length("key") >= least).select("alias", F.col("key").alias("akey"), _tier(F.length("key")).alias("tier"))
+    # The tier's own shortest and longest alias: one row per tier that has any.
+    tiers = long_alias.groupBy("tier").agg(F.min(F.length("akey")).alias("_short"), F.max(F.length("akey")).alias("_long"))
+    tiers = tiers.withColumn("_edits", F.floor(F.col("_long") * share).cast("int")).withColumn("_size", F.floor(F.col("_short") / (F.col("_edits") + 1)).cast("int"))
+    pieces = F.sequence(F.lit(0), F.col("_edits"))
+
+    def cut(text: str, at: Column) -> Column:
+        return F.substring(F.col(text), at + 1, F.col("_size"))
+
+    right = long_alias.join(tiers, "tier").select("alias", "akey", "tier", "_size", F.explode(pieces).alias("i"))
+    right = right.select("alias", "akey", "tier", "i", cut("akey", F.col("i") * F.col("_size")).alias("piece"))
+    n = F.length("key")
+    near = F.sequence(_tier(F.greatest(F.lit(least), F.floor(n / (1 + share)))) - 1, _tier(F.ceil(n * (1 + share))) + 1)
+    left = words.where(n >= least).select("key", F.explode(near).alias("tier")).join(tiers, "tier")
+    left = left.where((F.col("_short") <= F.ceil(n * (1 + share))) & (F.col("_long") >= F.floor(n / (1 + share))))
+    left = left.select("key", "tier", "_size", "_edits", F.explode(pieces).alias("i"))
+    at = F.col("i") * F.col("_size")
+    low, high = F.greatest(F.lit(0), at - F.col("_edits")), F.least(n - F.col("_size"), at + F.col("_edits"))
+    left = left.where(low <= high).select("key", "tier", "i", "_size", F.explode(F.sequence(low, high)).alias("_at"))
+    left = left.select("key", "tier", "i", cut("key", F.col("_at")).alias("piece")).distinct()
+    pairs = left.join(right, ["tier", "i", "piece"]).select("key", "alias", "akey").distinct()
     pairs = pairs.where((F.length("key") > _DELETION_LENGTH) | (F.length("akey") > _DELETION_LENGTH))
     return pairs.withColumn("score", similarity_udf("key", "akey")).where(F.col("score") >= FIRST_WORD_SCORE).select("key", "alias", "score")
 
@@ -204,33 +214,48 @@ def first_word(title: Column) -> Column:
 
 # ---- stage 2: whole title -------------------------------------------------
 
-def contained_matches(titles: DataFrame, aliases: DataFrame) -> DataFrame:
+#: A word that more rows of the other side have is hot: rows whose words are all hot meet at pairs of them.
+HOT_WORD = 10_000
+
+
+def _inside(inner: DataFrame, key: str, words: str, outer: DataFrame, outer_key: str, outer_words: str, hot: int) -> DataFrame:
+    """(key, outer_key) where all ``words`` are among ``outer_words``; both are sorted sets.
+
+    A row meets the other side at its rarest word there. If even that is hot, it meets at its rarest two words, which far fewer
+    rows have together than one alone; the other side then offers pairs of hot words only. A single hot word needs no second look:
+    all it meets contain it.
+    """
+    words_of = outer.select(outer_key, outer_words, F.explode(outer_words).alias("word"))
+    counts = pinned(words_of.groupBy("word").agg(F.count("*").alias("_n")))
+    # Words the other side lacks rule the row out: its words found there must be all of them.
+    ranked = inner.select(key, words, F.explode(words).alias("word")).join(counts, "word").groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("_n", "word"))).alias("_w"), F.first(words).alias(words))
+    ranked = ranked.where(F.size("_w") == F.size(words))
+    nth = lambda i: F.get("_w", F.lit(i))
+    alone = (F.size("_w") == 1) | (nth(0)["_n"] <= hot)
+    at_word = ranked.where(alone).select(key, words, nth(0)["word"].alias("word")).join(words_of, "word")
+    both = F.concat_ws(" ", F.array_sort(F.array(nth(0)["word"], nth(1)["word"])))
+    hot_words = words_of.join(counts.where(F.col("_n") > hot).select("word"), "word").groupBy(outer_key).agg(
+        F.array_sort(F.collect_list("word")).alias("_h"), F.first(outer_words).alias(outer_words))
+    pairs = F.flatten(F.transform("_h", lambda x, i: F.transform(F.slice("_h", i + 2, F.size("_h")), lambda y: F.concat_ws(" ", x, y))))
+    at_pair = ranked.where(~alone).select(key, words, both.alias("word")).join(hot_words.select(outer_key, outer_words, F.explode(pairs).alias("word")), "word")
+    met = at_word.select(key, words, outer_key, outer_words).unionByName(at_pair.select(key, words, outer_key, outer_words))
+    return met.where(F.size(F.array_except(words, outer_words)) == 0).select(key, outer_key)
+
+
+def contained_matches(titles: DataFrame, aliases: DataFrame, hot: int = HOT_WORD) -> DataFrame:
     """(title_key, alias): longest alias whose words all occur in the title, or the other way round.
 
-    Pairs meet only at one word: the rarest one of the side that must be contained. Each
-    distinct set of title words is matched once. Aliases are expected to be shorter than
-    200 characters, where a full score always means containment.
+    Each distinct set of title words is matched once. Aliases are expected to be shorter than 200 characters, where a full score
+    always means containment.
     """
     sets = titles.select(F.array_sort(F.array_distinct(tokens(F.col("title")))).alias("words")).where("size(words) > 0")
     sets = sets.select(F.array_join("words", " ").alias("title_key"), "words").distinct()
     known = aliases.select("alias", F.array_sort(F.array_distinct(tokens(F.col("alias")))).alias("alias_words")).where("size(alias_words) > 0")
     known = longest(known, ["alias_words"])
-    title_words = sets.select("title_key", "words", F.explode("words").alias("word"))
-    alias_words = known.select("alias", "alias_words", F.explode("alias_words").alias("word"))
-
-    def rarest(inner: DataFrame, key: str, payload: str, outer: DataFrame) -> DataFrame:
-        # Words the other side lacks rule the row out: its words found there must be all of them.
-        counts = outer.groupBy("word").agg(F.count("*").alias("_n"))
-        rows = inner.join(counts, "word").groupBy(key).agg(
-            F.min_by("word", "_n").alias("word"), F.count("*").alias("_found"), F.first(payload).alias(payload))
-        return rows.where(F.col("_found") == F.size(payload)).drop("_found")
-
-    inside = rarest(alias_words, "alias", "alias_words", title_words).join(title_words, "word")
-    inside = inside.where(F.size(F.array_except("alias_words", "words")) == 0)
-    around = rarest(title_words, "title_key", "words", alias_words).join(alias_words, "word")
-    around = around.where(F.size(F.array_except("words", "alias_words")) == 0)
-    pairs = inside.select("title_key", "alias").union(around.select("title_key", "alias"))
-    return longest(pairs, ["title_key"])
+    inside = _inside(known, "alias", "alias_words", sets, "title_key", "words", hot)
+    around = _inside(sets, "title_key", "words", known, "alias", "alias_words", hot)
+    return longest(inside.unionByName(around), ["title_key"])
 
 
 def title_key(title: Column) -> Column:

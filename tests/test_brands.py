@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.operators import brands
@@ -97,3 +98,64 @@ def test_only_items_with_a_title_and_no_brand_get_a_guess(spark):
     assert sorted((r.id, r.title, r.brand) for r in got if r.title) == [
         (1, "Acme kettle", "Acme"), (2, "Acme kettle", "Acme"), (3, "Acme kettle", "Own"), (6, "nothing known", None), (7, "Super zenith tv", "Zenith"), (7, "Super zenith tv", "Zenith")]
     assert sorted((r.id, r.title, r.brand) for r in got if not r.title) == [(4, None, None), (5, "", None)]
+
+
+def contained(titles, aliases):
+    """Longest alias whose words are a subset or a superset of the title's, by looking at all."""
+    out = {}
+    for title in titles:
+        words = set(title.split())
+        fits = [a for a in aliases if words and (set(a.split()) <= words or words <= set(a.split()))]
+        if fits:
+            out[" ".join(sorted(words))] = min(fits, key=lambda a: (-len(a), a))
+    return out
+
+
+@pytest.mark.parametrize("hot", [0, 3, 50, 10_000])
+def test_containment_with_hot_words_equals_brute_force(spark, hot):
+    """A third of titles and aliases share a word, many share two; hot words meet in pairs."""
+    rnd = random.Random(hot)
+    rare = [f"w{i}" for i in range(60)]
+    draw = lambda n: " ".join(w for w, p in (("the", 0.4), ("of", 0.3), ("new", 0.2)) if rnd.random() < p) + " " + " ".join(rnd.choices(rare, k=rnd.randrange(n)))
+    titles = sorted({draw(5).strip() for _ in range(500)} | {"the", "of the", "new of the"})
+    aliases = sorted({draw(3).strip() for _ in range(150)} | {"of new", "the of new"} - {""})
+    got = brands.contained_matches(spark.createDataFrame([(t,) for t in titles], "title string"), spark.createDataFrame([(a, "g") for a in aliases if a], "alias string, brand_group string"), hot)
+    assert {r.title_key: r.alias for r in got.collect()} == contained(titles, [a for a in aliases if a])
+
+
+def test_pairs_of_hot_words_bound_what_meets(spark):
+    """Every title and alias has two of forty hot words: at single words 400 times as many pairs would meet as match."""
+    hot = [f"h{i:02}" for i in range(40)]
+    both = [(a, b) for i, a in enumerate(hot) for b in hot[i + 1:]]
+    titles = spark.createDataFrame([(f"{a} {b} t{i}",) for i, (a, b) in enumerate(both)], "title string")
+    aliases = spark.createDataFrame([(f"{a} {b}", "g") for a, b in both], "alias string, brand_group string")
+    words = lambda df, c: df.select(c, F.split(c, " ").alias("w"))
+    found = brands._inside(words(aliases, "alias"), "alias", "w", words(titles, "title").withColumnRenamed("w", "o"), "title", "o", 10)
+    assert found.count() == len(both)
+    plan = found._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.toString() else plan
+    joined = []
+
+    def walk(node):
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            joined.append(node.metrics().get("numOutputRows").get().value())
+        for source in (node.children(), *([node.plan().children()] if hasattr(node, "plan") and "Stage" in node.nodeName() else [])):
+            for i in range(source.size()):
+                walk(source.apply(i))
+
+    walk(plan)
+    assert max(joined, default=0) <= 4 * len(both)
+
+
+def test_long_words_over_tiers_equal_brute_force(spark):
+    rnd = random.Random(21)
+    aliases = {"".join(rnd.choice("abcdefgh") for _ in range(n)) for n in range(17, 90) for _ in range(3)}
+    words = [edited(rnd, rnd.choice(sorted(aliases)), rnd.randint(0, 9)) for _ in range(250)]
+    titles = spark.createDataFrame([(w,) for w in words], "title string")
+    got = {r.word: r.alias for r in brands.first_word_matches(titles, spark.createDataFrame([(a, "g") for a in aliases], "alias string, brand_group string")).collect()}
+    want = {}
+    for w in set(words):
+        ranked = sorted((-score(w, a), -len(a), a) for a in aliases if abs(len(a) - len(w)) < 30 and score(w, a) >= 90)
+        if ranked:
+            want[w] = ranked[0][2]
+    assert got == want and len(want) > 150
