@@ -9,6 +9,7 @@ templates' pairs. Templates are the usual wordings of notices, titles and, from
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from pathlib import Path
 
@@ -145,18 +146,46 @@ def units(text: str) -> list[tuple[int, str]]:
     return out
 
 
+#: Notices up to so many word pairs are told apart by their numbers: one pair more or less hardly changes the coefficient.
+NOTICE = 40
+_DENIED = (b"licensed", b"released", b"distributed", b"available", b"covered")
+
+
+def numbers(words: list[bytes]) -> set[bytes]:
+    """Version numbers and other words of digits, without a leading ``v``."""
+    return {w.lstrip(b"v") for w in words if w.lstrip(b"v").isdigit()}
+
+
+def denied(words: list[bytes]) -> bool:
+    return any(a == b"not" and b in _DENIED for a, b in zip(words, words[1:]))
+
+
 class LicenseScanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], limit: float):
         self.limit = limit
-        self.templates = [(name, bigrams(words_of(t))) for name, texts in sorted(templates.items()) for t in texts]
-        self.templates = [(name, pairs, pairs.total()) for name, pairs in self.templates if pairs]
+        made = [(name, words_of(t)) for name, texts in sorted(templates.items()) for t in texts]
+        made = [(bigrams(w).total(), name, w) for name, w in made if len(w) > 1]
+        # By size: the templates that a unit of n pairs may reach the limit with are neighbours.
+        made.sort(key=lambda m: m[:2])
+        self.sizes = [n for n, _, _ in made]
+        self.names = [name for _, name, _ in made]
+        self.numbers = [numbers(w) if n <= NOTICE else set() for n, _, w in made]
+        self.denied = [denied(w) for _, _, w in made]
         self.least = limit / (2 - limit)
-        self.small = min((n for _, _, n in self.templates), default=1) * self.least
-        self.large = max((n for _, _, n in self.templates), default=0) / self.least
-        self.holders: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
-        for t, (_, pairs, _) in enumerate(self.templates):
-            for pair, times in pairs.items():
-                self.holders.setdefault(pair, []).append((t, times))
+        self.small = min(self.sizes, default=1) * self.least
+        self.large = max(self.sizes, default=0) / self.least
+        self.pruned = 0
+        self.holders: dict[tuple[bytes, bytes], tuple[list[int], list[int]]] = {}
+        for t, (_, _, words) in enumerate(made):
+            for pair, times in bigrams(words).items():
+                own, counts = self.holders.setdefault(pair, ([], []))
+                own.append(t)
+                counts.append(times)
+
+    def candidates(self, n: int) -> tuple[int, int]:
+        """Templates whose size lets a unit of ``n`` pairs reach the limit, as a range: both sizes sum to 2 * common / limit, and
+        no more than the smaller one is common."""
+        return bisect_left(self.sizes, n * self.least * 0.999), bisect_right(self.sizes, n / self.least * 1.001)
 
     def scan(self, text: str) -> list[tuple[int, str, float]]:
         """(first line, licence, coefficient) of each unit's best template at or over the limit."""
@@ -172,17 +201,23 @@ class LicenseScanner:
             shared = pairs.keys() & self.holders.keys()
             if sum(pairs[p] for p in shared) < self.least * n * 0.999:
                 continue
+            first, last = self.candidates(n)
+            self.pruned += len(self.sizes) - (last - first)
             common: Counter = Counter()
             for pair in shared:
                 times = pairs[pair]
-                for t, own in self.holders[pair]:
-                    common[t] += min(times, own)
+                own, counts = self.holders[pair]
+                for k in range(bisect_left(own, first), bisect_left(own, last)):
+                    common[own[k]] += min(times, counts[k])
+            digits, is_denied = numbers(words), denied(words)
             best = None
-            for t, both in sorted(common.items()):
-                name, _, size = self.templates[t]
-                score = 2 * both / (n + size)
-                if score >= self.limit and (best is None or score > best[2]):
-                    best = (line, name, score)
+            for t in sorted(common, key=lambda t: (self.names[t], t)):
+                score = 2 * common[t] / (n + self.sizes[t])
+                # A notice of another version, or one that is denied, is not that licence, however alike.
+                if score < self.limit or digits and not self.numbers[t] <= digits or is_denied and not self.denied[t]:
+                    continue
+                if best is None or score > best[2]:
+                    best = (line, self.names[t], score)
             if best:
                 found.add(best)
         return sorted(found)

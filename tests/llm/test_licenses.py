@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 from shelfspark.llm import licenses as L
@@ -6,6 +7,15 @@ from shelfspark.llm.decontamination import words_of
 from tests.llm.conftest import EDGE, SF_DIR, prose, same
 
 
+def agrees(unit, notice):
+    """Numbers of a short notice must be in a unit that has numbers; what a unit denies, the notice must deny."""
+    plain = lambda words: {w.decode().lstrip("v") for w in words if w.decode().lstrip("v").isdigit()}
+    no = lambda words: re.search(r"\bnot (licensed|released|distributed|available|covered)\b", " ".join(w.decode() for w in words))
+    if len(notice) <= 41 and plain(unit) and plain(notice) - plain(unit):
+        return False
+    return not no(unit) or bool(no(notice))
+
+
 def brute(text, limit=0.8):
     """Every unit against every template, without size bounds."""
     found = set()
@@ -15,7 +25,7 @@ def brute(text, limit=0.8):
             for notice in notices:
                 b = Counter(zip(words_of(notice), words_of(notice)[1:]))
                 score = 2 * (a & b).total() / max(1, a.total() + b.total())
-                if score >= limit and (best is None or score > best[2]):
+                if score >= limit and agrees(words_of(unit), words_of(notice)) and (best is None or score > best[2]):
                     best = (line, name, score)
         if best:
             found.add(best)
@@ -72,3 +82,27 @@ def test_whole_texts_are_found():
     lines = L.TEXTS["MIT"].split("\n")
     assert names("\n".join([prose(1, 400), "", "Copyright (c) 2024 Some One", "", *lines, "", prose(2, 400)])) == {"MIT"}
     assert names("\n".join([prose(1, 40), *(f"# {x}" for x in lines), prose(2, 20)])) == {"MIT"}
+
+
+def test_versions_are_told_apart():
+    for line, wrong in (
+        ("This work is licensed under a Creative Commons Attribution 3.0 International License.", "CC-BY-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under the GNU General Public License, version 1.", "GPL-2.0-only"),
+        ("This work is licensed under the GNU General Public License, version 1.", "GPL-3.0-only"),
+        ("This project is not licensed under the MIT License.", "MIT"), ("It is not released under the MIT License.", "MIT"),
+    ):
+        assert wrong not in names(line), line
+    assert names("Licensed under the Apache License, Version 2.0") == {"Apache-2.0"}
+
+
+def test_size_bounds_leave_out_templates_but_no_match():
+    scanner = L.LicenseScanner(L.TEMPLATES, 0.8)
+    line = "This work is licensed under the GNU General Public License, version 3."
+    assert names(line) == {"GPL-3.0-only"}
+    scanner.scan(line)
+    assert scanner.pruned > len(scanner.sizes) / 2
+    for n in range(1, 3000, 7):
+        first, last = scanner.candidates(n)
+        outside = scanner.sizes[:first] + scanner.sizes[last:]
+        assert all(2 * min(n, size) / (n + size) < 0.8 for size in outside)
