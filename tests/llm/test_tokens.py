@@ -116,6 +116,50 @@ def test_every_capacity_holds(rule):
         packing.vector_best_fit(np.array([600]), 1000, 5, 250_000, (1, 1, 1), rule)
 
 
+def plain_best_fit(lengths, room, weights, rule):
+    """Sequence contents piece by piece, every sequence looked at; the first of equally good ones by number of its opening."""
+    sequences = []
+    for n in sorted(lengths, reverse=True):
+        need, best = (n, 1, n * n), None
+        for s in sequences:
+            left = [r - sum(p[i] for p in s) for i, r in enumerate(room)]
+            if all(x >= d for x, d in zip(left, need)):
+                if rule == "dot":
+                    score = -sum(w * (x / r) * (d / r) for w, x, d, r in zip(weights, left, need, room))
+                else:
+                    score = sum(w * ((x - d) / r) ** 2 for w, x, d, r in zip(weights, left, need, room))
+                if best is None or score < best[0] - 1e-15:
+                    best = (score, s)
+        if best:
+            best[1].append(need)
+        else:
+            sequences.append([need])
+    return sequences
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("weights", [(1.0, 0.3, 0.5), packing.TIES])
+def test_sequences_are_as_many_as_plain_best_fit_makes(rule, weights):
+    r = np.random.default_rng(7)
+    for _ in range(8):
+        lengths = r.choice(np.arange(1, 500), 160)
+        room = (1000, 6, 400_000)
+        bins, _ = packing.vector_best_fit(lengths, *room, weights, rule)
+        got = sorted(tuple(sorted(lengths[bins == b].tolist())) for b in range(bins.max() + 1))
+        want = plain_best_fit(lengths.tolist(), room, weights, rule)
+        assert abs(len(got) - len(want)) <= 1
+        assert [sum(map(sum, got))] == [sum(p[0] for s in want for p in s)]
+
+
+def test_ties_by_documents_and_attention_make_no_more_sequences():
+    r = np.random.default_rng(9)
+    for _ in range(6):
+        lengths = np.minimum(4096, (r.pareto(1.1, 3000) * 300 + 1).astype(np.int64))
+        plain, _ = packing.vector_best_fit(lengths, 4096, 4096, 4096 * 4096, (1.0, 0.0, 0.0), "norm")
+        tied, _ = packing.vector_best_fit(lengths, 4096, 4096, 4096 * 4096, packing.TIES, "norm")
+        assert tied.max() <= plain.max()
+
+
 def piece_counts(texts):
     import sentencepiece
 
