@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,18 @@ def small_side(df: DataFrame, most: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df.hint("shuffle_hash")
 
 
+@contextmanager
+def finished_shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark remove a query's shuffle files when it ends: for steps that end in stored tables, which need them no more."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that ``work_path`` named, once all its readers are done."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import discard, id_type, map_rows, small_side, stored, texts_of
+from shelfspark.llm.common import discard, finished_shuffles_freed, id_type, map_rows, ready, small_side, stored, texts_of
 from shelfspark.llm.components import components
 from shelfspark.llm.encoding import LOWER
 from shelfspark.session import work_path
@@ -188,8 +188,8 @@ def lists(rows: DataFrame, num: int, den: int) -> DataFrame:
     # Facts of an entry are combined before the shuffle; only entries that several classes have meet their classes again, and a
     # join splits a hot one.
     facts = entries.groupBy("sig").agg(F.min("cls").alias("_low"), F.max("cls").alias("_top"), F.count("*").alias("n"))
-    facts = small_side(stored(facts.where("_low <> _top").select("sig", "n"), "facts"))
-    shared = entries.join(facts, "sig")
+    facts = stored(facts.where("_low <> _top").select("sig", "n"), "facts")
+    shared = entries.join(facts.hint("shuffle_hash"), "sig")
     costly = Window.partitionBy("cls", "_group").orderBy(F.desc("n"), "sig")
     bands = Bands(num, den)
     spared = F.array(*[F.lit(s) for s in bands.spared[:256]])
@@ -343,8 +343,8 @@ def rest_candidates(entries: DataFrame, labels: DataFrame, sketches: DataFrame,
     return meet(probes, targets, sketches, maybe_linked(num, den), "rest")
 
 
-#: Sets of a block while links are counted.
-COUNTED = 512
+#: Elements of the sets of a block while links are counted: what a task holds, and how seldom a set is sent anew.
+COUNTED = 2_000_000
 
 
 def counted_links(entries: DataFrame, sets: DataFrame, weights: DataFrame, num: int, den: int) -> DataFrame:
@@ -357,7 +357,8 @@ def counted_links(entries: DataFrame, sets: DataFrame, weights: DataFrame, num:
     pairs = entries.select("sig", "cls").join(homes, "cls")
     pairs = pairs.select("sig", F.col("home").alias("key")).distinct().join(entries.select("sig", "cls"), "sig").select("key", "cls").distinct()
     pairs = stored(pairs, "met")
-    sizes = homes.groupBy(F.col("home").alias("key")).agg(F.ceil(F.count("*") / COUNTED).cast("int").alias("blocks"))
+    elements = sets.select("cls", (F.octet_length("tokens") / 8).alias("_size"))
+    sizes = homes.join(elements, "cls").groupBy(F.col("home").alias("key")).agg(F.ceil(F.sum("_size") / COUNTED).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("cls"), "blocks").cast("int")
     targets = homes.withColumnRenamed("home", "key").join(sizes, "key").select("key", block.alias("part"), F.lit(0).alias("kind"), "cls")
     probes = pairs.join(sizes, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "cls")
@@ -411,6 +412,17 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100,
     their own id; null ids take part in links but never name a component unless all its ids are null. Repeated rows are rows
     of one class.
     """
+    with finished_shuffles_freed(ready(docs.sparkSession)):
+        labelled, firsts, known = _joined(docs, size, num, den, links)
+    component = F.when(F.col("_part").isNull(), F.col("doc_id")).otherwise(F.col("_first"))
+    out = labelled.join(firsts, "_part", "left").select("doc_id", "n_shingles", "cls", component.alias("component_id"))
+    if known is None:
+        return out
+    return out.join(known, "cls", "left").select("doc_id", "n_shingles", "cls", "component_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def _joined(docs: DataFrame, size: int, num: int, den: int, links: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Stored: rows with the part they belong to, the smallest id of each part, and the links of each class."""
     spark = docs.sparkSession
     path = work_path(spark, "shingled")
     rows = shingled(docs, size, num, den)
@@ -430,15 +442,13 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100,
     found = stored(found.union(verified(rest_candidates(entries, components(found), sketches, num, den))), "all-links")
     labels = components(found).withColumnRenamed("node", "cls")
     named = stored(plain.join(labels, "cls", "left").withColumn("_part", F.coalesce("label", "cls")).drop("label"), "labelled")
-    firsts = named.where("_part is not null").groupBy("_part").agg(F.min("doc_id").alias("_first"))
-    component = F.when(F.col("_part").isNull(), F.col("doc_id")).otherwise(F.col("_first"))
-    out = named.join(firsts, "_part", "left").select("doc_id", "n_shingles", "cls", component.alias("component_id"))
+    firsts = stored(named.where("_part is not null").groupBy("_part").agg(F.min("doc_id").alias("_first")), "firsts")
     if not links:
-        return out
+        return named, firsts, None
     weights = plain.where("cls is not null").groupBy("cls").agg(F.count("*").alias("weight"))
     # Only classes of some link are counted: the others are linked with rows of their own class alone.
     tied = labels.select("cls")
     sets = sets_of(docs, plain, tied, size)
     others = counted_links(entries.join(tied, "cls", "left_semi"), sets, weights, num, den)
-    known = stored(weights.join(others, "cls", "left").select("cls", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "degrees")
-    return out.join(known, "cls", "left").select("doc_id", "n_shingles", "cls", "component_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    known = weights.join(others, "cls", "left").select("cls", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    return named, firsts, stored(known, "degrees")

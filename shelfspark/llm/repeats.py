@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import discard, give_back, id_type, ready, small_side, stored
+from shelfspark.llm.common import discard, finished_shuffles_freed, give_back, id_type, ready, small_side, stored
 from shelfspark.session import work_path
 
 SHALLOW = 24
@@ -31,7 +31,6 @@ HOT = 4096
 RUN, RUN_BITS = 100, 7
 #: Bytes hashed, and bytes sorted, at a time: what fits a core's cache.
 CHUNK, BUCKETS = 1 << 16, 1 << 18
-FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def windows_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
@@ -411,15 +410,8 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
 
     ``spans`` are (``start``, ``stop``) in bytes of what such strings cover, in no order; they may overlap. Texts without any are left out.
     """
-    spark = docs.sparkSession
-    ready(spark)
-    before = spark.conf.get(FREES_SHUFFLES)
-    # Each step ends in a stored table, so the shuffle files behind it are of no more use.
-    spark.conf.set(FREES_SHUFFLES, "true")
-    try:
+    with finished_shuffles_freed(ready(docs.sparkSession)):
         return _repeated_spans(docs, length)
-    finally:
-        spark.conf.set(FREES_SHUFFLES, before)
 
 
 def _repeated_spans(docs: DataFrame, length: int) -> DataFrame:
