@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import codes, flags
 from shelfspark.functions.select import first_truthy, truthy
-from shelfspark.operators.groups import first_by, numbered
+from shelfspark.operators.groups import numbered
 
 
 def reprice(variants: DataFrame, feed: DataFrame) -> DataFrame:
