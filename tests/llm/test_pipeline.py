@@ -1,6 +1,3 @@
-import pytest
-from pyspark.sql import functions as F
-
 import corpus_pipeline as P
 from shelfspark.llm import queries, ranking_quality
 from shelfspark.llm import secrets as S
