@@ -136,3 +136,21 @@ def test_drained_run_stops_and_continues(spark, tmp_path):
         runs.drain_to_table(stream(), out, state)
         assert spark.read.parquet(out).agg(F.countDistinct("id")).first()[0] == (i + 1) * 10
         assert spark.read.parquet(out).count() == (i + 1) * 10
+
+
+def test_fragment_merge_calls_python_for_buckets_not_for_items(spark, tmp_path):
+    """Many items share the state of few buckets; those that end, wait or fall silent do not disturb each other."""
+    empty = (None, None, None)
+    asked = [(f"g{i}", at(i % 5), "request", "f", True, *empty, None) for i in range(300)] + [(None, at(1), "request", "f", True, *empty, None)]
+    answers = [(g, at(8), "response", "f", True, True, None if i % 2 else i, f"t {g}", None) for i, (g, *_) in enumerate(asked) if i % 3]
+    late = [("late", at(40), "request", "f", True, *empty, None)]
+    end = [("z", at(900), "request", "f", True, *empty, None), ("z", at(900), "response", "f", True, True, 1, None, None)]
+    stream = written(spark, tmp_path, asked, answers, late, end, schema=FRAGMENT)
+    merged = fragments.merged_stream(stream, ["title", "price"], silence=1800, buckets=3)
+    assert "_bucket" in merged._jdf.queryExecution().logical().toString()
+    runs.drain_to_table(merged, str(tmp_path / "out"), str(tmp_path / "state"))
+    got = {r.guid: (r.complete, r.outstanding, r.title) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {g: (bool(i % 3), 0 if i % 3 else 1, f"t {g}" if i % 3 and g else None) for i, (g, *_) in enumerate(asked)}
+    assert got.pop("late") == (False, 1, None) and got.pop("z") == (True, 0, None)
+    assert got.pop(None) == want.pop(None) and got == want
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 303
