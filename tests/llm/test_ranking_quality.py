@@ -46,3 +46,32 @@ def test_nothing_to_learn(spark, edge, empty):
     rows = R.quality_scores(edge, labels).collect()
     assert len({r.score for r in rows}) == 1 and all(r.predicted == 1 for r in rows)
     assert R.quality_scores(empty, labels.limit(0)).collect() == []
+
+
+def test_every_labelled_row_trains(spark, monkeypatch):
+    """The pairs that Newton steps sum over hold each labelled row, however many there are, and the model is that of all rows in memory."""
+    r = np.random.default_rng(3)
+    n = 41_000
+    x = np.round(r.normal(size=(n, len(R.FEATURES))), 3)
+    # The last feature tells rows apart by a number of their own.
+    x[:, -1] = np.arange(n)
+    good = x[:, 0] - x[:, 3] + 0.5 * r.normal(size=n) > -1.0
+    described = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "doc_id bigint, features array<double>")
+    labels = spark.createDataFrame(list(enumerate(good.astype(int).tolist())), "doc_id bigint, quality int")
+    # All rows train here, so that the number of rows is that of the table.
+    monkeypatch.setattr(R, "held_out", lambda doc_id: F.lit(False))
+    seen = []
+    summed = R._summed
+    monkeypatch.setattr(R, "_summed", lambda pairs, w, bins: seen.append(pairs) or summed(pairs, w, bins))
+    model = R.train(described, labels, pairs=1)
+    pairs = seen[0].collect()
+    assert len(pairs) == good.sum() == max(good.sum(), (~good).sum())
+    found = np.array([list(p.better) for p in pairs], dtype=np.uint8)
+    assert sorted(map(bytes, found)) == sorted(map(bytes, R.bin_numbers(x[good], model.cuts)))
+    met = {bytes(p.worse) for p in pairs}
+    assert met == set(map(bytes, R.bin_numbers(x[~good], model.cuts)))
+    assert (model.raw(x) < model.threshold).mean() == pytest.approx((~good).mean(), abs=0.001)
+    # Pairs differ from those in memory only in who meets whom.
+    whole = R.fit(x, good, pairs=1)
+    assert np.abs(whole.cuts[:-1] - model.cuts[:-1]).max() < 0.02
+    assert np.corrcoef(whole.raw(x), model.raw(x))[0, 1] > 0.99
