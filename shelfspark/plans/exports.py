@@ -114,7 +114,7 @@ def write_export_files(t, chunk=export.LIST_CHUNK):
     day = F.make_date(F.lit(2024), F.col("_size") % 3 + 1, F.lit(5))
     sized = records.join(t.part.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_size").alias("_size")), "product_id")
     for _ in range(2):
-        tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"), run="all-parts", marketplace=parts)
+        tables.write_export(sized.withColumn("_day", day).drop("_size"), path, F.col("_day"), run="all-parts", marketplace=parts, compression="gzip")
     return path
 
 

@@ -89,19 +89,21 @@ def committed(spark: SparkSession, path: str) -> list[str]:
     return sorted(f"{path}/runs/{r.value}" for r in spark.read.text(f"{path}/commits").distinct().collect())
 
 
-def write_export(records: DataFrame, path: str, day: Column, run: str | None = None, marketplace: DataFrame | None = None) -> bool:
+def write_export(
+        records: DataFrame, path: str, day: Column, run: str | None = None, marketplace: DataFrame | None = None, compression: str = "none") -> bool:
     """JSON Lines under year, month and day (SNK1): item fields without nulls, and every key of the record.
 
     ``run`` names the run (of letters, digits, ``-`` and ``_``); repeated under the same name, it writes nothing, and broken off, it
     leaves nothing that ``read_export`` reads. ``marketplace`` are further parts of long lists, committed with the records. Empty
-    partitions write no file; Spark names the files.
+    partitions write no file; Spark names the files. Records repeat their keys and sellers, so ``compression`` (``gzip``) makes files
+    of a fraction of the size, which every JSON Lines reader opens by their ending.
     """
     dated = records.select(record_json(records).alias("value"), *[F.date_format(day, f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"))])
 
     def write(folder: str) -> None:
-        dated.write.partitionBy("y", "m", "d").text(f"{folder}/table=records")
+        dated.write.partitionBy("y", "m", "d").option("compression", compression).text(f"{folder}/table=records")
         if marketplace is not None:
-            marketplace.write.json(f"{folder}/table=marketplace")
+            marketplace.write.option("compression", compression).json(f"{folder}/table=marketplace")
 
     return commit_run(records.sparkSession, path, run or uuid.uuid4().hex, write)
 
