@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import json
+import string
 import sys
 from array import array
+from collections.abc import Iterable
 from types import ModuleType
 
-import numpy as np
-
 #: ASCII capitals to small letters, on UTF-8 bytes.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+MARKS = string.punctuation.encode()
+
+
+def latin(word: bytes) -> bool:
+    """Whether ``word`` is of letters below U+0250, without the one capital that turns into a letter and a mark."""
+    text = word.decode("utf-8")
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
 
 
 class WordEncoder:
@@ -18,7 +25,8 @@ class WordEncoder:
 
     A tokenizer whose pre-tokenizer throws white space away never lets a match span white space, so the ids of a text
     are those of its pieces between ASCII white space in a row. The library encodes each distinct piece once; a piece
-    that is a word with a full stop or comma is put together from both. The memo is emptied when it holds ``limit``
+    that is a word with ASCII marks behind it is put together from both, and a word of Latin letters goes straight to the library's
+    merges, since nothing before them changes or cuts it. The memo is emptied of all but the latest when it holds ``limit``
     pieces and never keeps long ones: that bounds memory and changes no result. Any other tokenizer encodes texts whole.
     """
 
@@ -31,10 +39,10 @@ class WordEncoder:
         self.limit, self.longest = limit, longest
         self.memo: dict[bytes, bytes] = {}
         if self.by_piece:
-            self.marks = {m: self._library([m.decode()])[0] for m in (b".", b",")}
-            vocabulary = self.tokenizer.get_vocab()
-            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            # Bytes as the characters that the library's merges know them by; those left out are the same.
+            same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+            self.shown = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in same)}
+            self.marks: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -44,49 +52,52 @@ class WordEncoder:
         raw = [t.encode("utf-8", "replace") for t in texts]
         # Only strings of special tokens, which hold this mark, depend on the case of ASCII letters.
         pieces = [(t if b"<|" in t else t.translate(LOWER)).split() for t in raw]
-        new = set().union(*pieces).difference(memo)
+        met = set().union(*pieces)
+        new = met.difference(memo)
         self._learn(new)
         out = [b"".join(map(memo.__getitem__, p)) for p in pieces]
         for w in new:
             if len(w) > self.longest:
                 del memo[w]
         if len(memo) > self.limit:
+            # The latest pieces stay, if they are few enough: the frequent ones are among them.
+            last = {w: memo[w] for w in met if w in memo} if 2 * len(met) < self.limit else {}
             memo.clear()
+            memo.update(last)
         return out
 
     def _learn(self, new: set[bytes]) -> None:
         words, rest, ended = set(), [], []
         for w in new:
-            text = w.decode("utf-8")
-            stem = text[:-1] if text[-1] in ".," else text
-            # One capital below U+0250 turns into a letter and a mark.
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
+            stem = w.rstrip(MARKS)
+            if stem.isalpha() or latin(stem):
                 words.add(stem)
-                if stem is not text:
-                    ended.append(w)
+                if len(stem) < len(w):
+                    ended.append((w, stem))
             else:
                 rest.append(w)
         memo = self.memo
         memo.update(zip(rest, self._library([w.decode("utf-8") for w in rest]), strict=True))
-        todo = [w for w in words if w.encode() not in memo]
-        for i in range(0, len(todo), 200):
-            some = todo[i : i + 200]
-            memo.update(zip([w.encode() for w in some], self._words(some), strict=True))
-        for w in ended:
-            memo[w] = memo[w[:-1]] + self.marks[w[-1:]]
-        # Stems that were only met with a mark may be long as well.
+        # Stems that were only met with a mark may be long as well; they are not kept.
+        passing = [w for w in words if len(w) > self.longest and w not in new]
+        words.difference_update(memo)
+        self._words(words)
+        # A row of marks up to the end of a piece is one match, whatever its marks are.
+        if len(self.marks) > 10_000:
+            self.marks.clear()
+        unknown = list({w[len(stem):] for w, stem in ended}.difference(self.marks))
+        self.marks.update(zip(unknown, self._library([tail.decode() for tail in unknown]), strict=True))
+        for w, stem in ended:
+            memo[w] = memo[stem] + self.marks[w[len(stem):]]
+        for w in passing:
+            del memo[w]
+
+    def _words(self, words: Iterable[bytes]) -> None:
+        """Learn words of Latin letters: such a word is one match of the pre-tokenizer, and only its case may change before."""
+        merged, shown, memo = self.tokenizer.model.tokenize, self.shown, self.memo
         for w in words:
-            if len(w) > self.longest and w.encode() not in new:
-                del memo[w.encode()]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Words of Latin letters, encoded as one text; each ends where a token with the end-of-word mark stands."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words) or stops[-1] != len(ids):
-            return self._library(words)
-        data, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
-        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+            low = w.lower().decode() if w.isascii() else w.decode("utf-8").lower().encode().decode("latin-1").translate(shown)
+            memo[w] = array("I", [t.id for t in merged(low)]).tobytes()
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -185,3 +185,16 @@ def test_cache_is_used_and_versioned(spark, edge, empty, monkeypatch):
     assert counts.token_counts(empty, PIECE, path).collect() == []
     assert packing.packed(empty, WORD, 1).collect() == []
     assert planes.binary_output(empty, work_path(spark, "t"), WORD, 2).collect() == []
+
+
+def test_words_with_marks_are_put_together():
+    """Each word and each row of marks is learnt once, by itself; the library is not asked for whole pieces that are made of both."""
+    letters = [chr(i) for i in range(0xAA, 0x250) if chr(i).isalpha()]
+    words = [f"{a}x{b}" for a in [*letters, "A", "q"] for b in ("", "é", ".", "'", "'s", "<|", "...,'", "_", "%%%")] + ["x" * 90 + ".,", "a'S", "...", "a1."]
+    encoder = WordEncoder(WORD)
+    asked = []
+    library = encoder._library
+    encoder._library = lambda texts: asked.extend(texts) or library(texts)
+    assert encoder.encode(words) == [a.tobytes() for a in library_ids(words)]
+    assert "qx%%%" not in asked and "éx...,'" not in asked and "%%%" in asked and "İx." in asked
+    assert b"x" * 90 not in encoder.memo and b"qx" in encoder.memo
